@@ -90,3 +90,62 @@ def scoring_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def beam_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second decoding preset: strip only, no first-sentence rule."""
     return raw_predictions(spark, sf_dir).select("image", strip_text("raw").alias("caption"))
+
+
+# Manifest split label by document language.
+SPLIT_BY_LANG = {"en": "train", "es": "val", "fr": "test", "de": "test"}
+
+
+def split_label(lang) -> F.Column:
+    out = F.lit(None).cast("string")
+    expr = None
+    for k, v in SPLIT_BY_LANG.items():
+        expr = (F.when(lang == k, v) if expr is None else expr.when(lang == k, v))
+    return expr.otherwise(out)
+
+
+def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A split manifest flattened to (ordinal, filename, split, sentences).
+
+    Every document is an image (also those with fewer than two sentences,
+    so images with one or no reference occur); ``sentences`` has the nested
+    ``array<struct<raw>>`` shape of the manifest format.
+    """
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), "doc_id")
+    sents = F.filter(F.transform(F.split(F.col("text"), "[.\n]"), lambda s: F.trim(s)), lambda s: s != "")
+    return docs.select(
+        F.col("doc_id").alias("ordinal"),
+        image_name(F.col("doc_id")).alias("filename"),
+        split_label(F.col("lang")).alias("split"),
+        F.transform(sents, lambda s: F.struct(s.alias("raw"))).alias("sentences"),
+    )
+
+
+def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(image, pos, caption): an older beam attempt for every image and a
+    newer greedy one where the document has an even number of sentences."""
+    arr = sentence_arrays(spark, sf_dir)
+    raw = raw_predictions(spark, sf_dir)
+    both = raw.join(arr.select("image", F.size("sents").alias("k")), "image")
+    older = both.select("image", F.lit(0).alias("pos"), strip_text("raw").alias("caption"))
+    newer = both.where(F.col("k") % 2 == 0).select(
+        "image", F.lit(1).alias("pos"), first_sentence(strip_text("raw")).alias("caption")
+    )
+    return older.unionByName(newer)
+
+
+def image_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(image, content): document bytes standing in for image files.
+
+    A document labelled quality 0 has no file (null content); one labelled
+    toxic has unreadable bytes (a 0xFF lead byte is never valid UTF-8).
+    """
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    body = F.encode(F.col("text"), "UTF-8")
+    content = (
+        F.when(F.col("quality") == 0, F.lit(None).cast("binary"))
+        .when(F.col("toxic") == 1, F.concat(F.unhex(F.lit("FF")), body))
+        .otherwise(body)
+    )
+    return docs.join(labels, "doc_id", "left").select(image_name(F.col("doc_id")).alias("image"), content.alias("content"))

@@ -1,0 +1,7 @@
+"""Streaming: none.
+
+The reference evaluates finite lists of images; it has no stream, watermark,
+window or state, so none is built here.  ``caption_images`` is a plain
+``mapInPandas`` and works unchanged on a streaming DataFrame if a user wants
+to caption files as they arrive (``spark.readStream.format("binaryFile")``).
+"""
