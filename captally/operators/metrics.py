@@ -53,7 +53,9 @@ def tokenizers(mode: str):
     if mode == "whitespace":
         return whitespace_tokens, space_tokens
     if mode == "caption":
-        return caption_tokens, caption_tokens
+        # ROUGE-L splits the space-joined tokens again, so an empty caption
+        # is one empty token, as in whitespace mode.
+        return caption_tokens, lambda c: space_tokens(F.array_join(caption_tokens(c), " "))
     raise ValueError(f"unknown tokenizer {mode!r}; expected one of {TOKENIZERS}")
 
 

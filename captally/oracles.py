@@ -151,7 +151,7 @@ per AS (
 
 
 def _bleu_exprs(c, g, tl, rl) -> list[str]:
-    ratio = f"(({tl}) + 1e-15) / (({rl}) + 1e-9)"
+    ratio = f"((({tl}) + 1e-15) / (({rl}) + 1e-9))"
     bp = f"(CASE WHEN {ratio} < 1 THEN exp(1 - 1 / {ratio}) ELSE 1.0 END)"
     out, prod = [], "1.0"
     for k in range(1, 5):
@@ -201,7 +201,8 @@ def _caption_tokens(c: str) -> str:
 def _caption_metrics() -> str:
     ctes = _metric_ctes("spreds")
     ctes = ctes.replace(_ws_tokens("caption") + " AS t, string_split(caption, ' ') AS ts",
-                        _caption_tokens("caption") + " AS t, " + _caption_tokens("caption") + " AS ts")
+                        _caption_tokens("caption") + " AS t, string_split(array_to_string("
+                        + _caption_tokens("caption") + ", ' '), ' ') AS ts")
     return _with(DOCS, PREDS, ctes, CORPUS)
 
 
