@@ -30,10 +30,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from captally.functions.lcs import lcs_udf
+from captally.functions.lcs import lcs_space_udf
 from captally.functions.tokens import caption_tokens, space_tokens, whitespace_tokens
 from captally.operators.ngrams import document_frequency, ngram_counts
 from captally.operators.materialize import Scratch, cut
@@ -48,6 +48,13 @@ METRIC_NAMES = ["Bleu_1", "Bleu_2", "Bleu_3", "Bleu_4", "ROUGE_L", "CIDEr"]
 TOKENIZERS = ("whitespace", "caption")
 
 
+def lcs_text(mode: str):
+    """Text whose single-space split gives the ROUGE-L tokens of a mode."""
+    if mode == "whitespace":
+        return lambda c: c
+    return lambda c: F.array_join(caption_tokens(c), " ")
+
+
 def tokenizers(mode: str):
     """(n-gram tokenizer, LCS tokenizer) for a tokenizer mode (Q13)."""
     if mode == "whitespace":
@@ -86,18 +93,24 @@ def pair(preds: DataFrame, refs: DataFrame, tokenizer: str = "whitespace") -> Pa
         "inner",
         key_counts=ref_counts,
     )
+    # Spread the pairs on (image, pos): even with a hot image every task gets
+    # a fair share, and the per-reference n-gram count below needs no
+    # further shuffle (its keys start with image, pos).
+    n = int(refs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = pairs.repartition(n, "image", "pos")
     return Paired(cand=cand, pairs=pairs, ref_counts=ref_counts, mode=tokenizer)
 
 
 def pair_stats(p: Paired) -> DataFrame:
     """Per image: reference count, ROUGE-L maxima, BLEU lengths (MET-2, MET-4)."""
     ng_tok, lcs_tok = tokenizers(p.mode)
+    text = lcs_text(p.mode)
     c_l, r_l = lcs_tok(F.col("c_caption")), lcs_tok(F.col("caption"))
     per_pair = p.pairs.select(
         "image",
         F.size(ng_tok(F.col("c_caption"))).alias("c_len"),
         F.size(ng_tok(F.col("caption"))).alias("r_len"),
-        lcs_udf(c_l, r_l).alias("lcs"),
+        lcs_space_udf(text(F.col("c_caption")), text(F.col("caption"))).alias("lcs"),
         F.size(c_l).alias("c_tok"),
         F.size(r_l).alias("r_tok"),
     )
@@ -122,7 +135,7 @@ def _cand_grams(p: Paired) -> DataFrame:
 def _ref_grams(p: Paired) -> DataFrame:
     ng_tok, _ = tokenizers(p.mode)
     toks = p.pairs.select("image", "pos", ng_tok(F.col("caption")).alias("t")).withColumn("r_len", F.size("t"))
-    return ngram_counts(toks, "t", ["image", "pos", "r_len"], MAX_N)
+    return ngram_counts(toks, "t", ["image", "pos", "r_len"], MAX_N, partial=False)
 
 
 def _ref_gram_max(ref_grams: DataFrame) -> DataFrame:
@@ -176,8 +189,10 @@ def gram_weights(p: Paired, cand_grams: DataFrame, ref_max: DataFrame, dfreq: Da
             (F.col("cnt") * F.coalesce(F.col("idf"), log_n)).alias("wc"),
         )
     )
-    cand_norm = cand_vec.groupBy("image", "n").agg(F.sqrt(F.sum(F.col("wc") * F.col("wc"))).alias("nc"))
-    cand_vec = cand_vec.join(cand_norm, ["image", "n"])
+    # A candidate is one text, so the (image, n) window is bounded by it.
+    cand_vec = cand_vec.withColumn(
+        "nc", F.sqrt(F.sum(F.col("wc") * F.col("wc")).over(Window.partitionBy("image", "n")))
+    )
     return ref_idf.select("image", "n", "g", "mx", "idf").join(cand_vec, ["image", "n", "g"], "left")
 
 
@@ -229,13 +244,14 @@ def image_scores(p: Paired, materialize: bool = True) -> DataFrame:
     """
     scratch = Scratch()
     keep = scratch.keep if materialize else (lambda d: d)
+    eager = {"eager": True} if materialize else {}
     p = Paired(cand=p.cand, pairs=keep(p.pairs), ref_counts=p.ref_counts, mode=p.mode)
     stats = pair_stats(p)
     cand_grams = keep(_cand_grams(p))
-    ref_grams = keep(_ref_grams(p))
-    ref_max = keep(_ref_gram_max(ref_grams))
-    dfreq = keep(document_frequency(ref_max))
-    weights = keep(gram_weights(p, cand_grams, ref_max, dfreq))
+    ref_grams = keep(_ref_grams(p), **eager)
+    ref_max = keep(_ref_gram_max(ref_grams), **eager)
+    dfreq = keep(document_frequency(ref_max), **eager)
+    weights = keep(gram_weights(p, cand_grams, ref_max, dfreq), **eager)
     correct = bleu_counts(weights)
     cider = cider_sums(ref_grams, weights, ref_max)
     joined = stats.join(correct, "image", "left").join(cider, "image", "left")

@@ -4,7 +4,7 @@
 task.  ``ordinals`` instead range-partitions and sorts, records each row's
 partition and place inside it, writes that once to the checkpoint folder
 (so the numbering never depends on a re-run), then adds the running count of
-the earlier partitions -- a table with one row per partition.
+the earlier partitions (one number per partition, broadcast back).
 
 Built on it: WIN-1 ``image_ordinal``, WIN-2 ``annotation_ids``, LIM-1
 ``slice_images``, JN-4 ``at_positions``; SRT-1 ``sort_images`` is a plain
@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from captally.operators.materialize import cut
@@ -40,12 +40,14 @@ def ordinals(df: DataFrame, order: Sequence[str], out: str = "ordinal") -> DataF
         (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)).alias("_local"),
     )
     placed = cut(placed, "ordinals")
-    counts = placed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per partition: a global window here is tiny by construction.
-    offsets = counts.select(
-        "_pid",
-        (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"),
-    ).fillna(0, subset=["_off"])
+    # One count per range partition: a list bounded by the partition count,
+    # so it is the one thing brought to the driver (turned into offsets there).
+    counts = sorted(tuple(r) for r in placed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect())
+    running, rows = 0, []
+    for pid, n in counts:
+        rows.append((pid, running))
+        running += n
+    offsets = df.sparkSession.createDataFrame(rows or [(0, 0)], "_pid int, _off long")
     return (
         placed.join(F.broadcast(offsets), "_pid")
         .withColumn(out, (F.col("_off") + F.col("_local")).cast("long"))

@@ -12,9 +12,10 @@ a single shuffle partition.  ``skew_join`` splits the join in two:
 * every other key takes the ordinary shuffle join.
 
 Keys beyond the top-k limit simply stay on the shuffle path, so the result is
-always complete; the split only changes where the work runs.  Everything is
-lazy: the hot-key list is a bounded sub-plan, not a driver-side collect.
-AQE's skew-join handling stays enabled as a second line.
+always complete; the split only changes where the work runs.  The hot-key list
+is computed first and is bounded by the top-k limit; when it is empty the
+join is planned as a plain join.  AQE's skew-join handling stays enabled as
+a second line.
 """
 
 from __future__ import annotations
@@ -54,7 +55,9 @@ def skew_join(
 
     ``small`` must be unique on ``on``.  ``key_counts`` (keys + ``count_col``)
     is the number of ``big`` rows per key; when absent it is computed with a
-    partial aggregation over ``big``'s key columns only.
+    partial aggregation over ``big``'s key columns only.  The hot keys are
+    found first (a top-k query, at most ``max_hot`` rows reach the driver);
+    with none, this is a plain join and the plan carries no extra branch.
     ``how`` is one of inner, left, left_semi, left_anti.
     """
     on = list(on)
@@ -63,7 +66,11 @@ def skew_join(
     max_hot = max_hot if max_hot is not None else conf_int(spark, HOT_KEY_LIMIT_CONF, DEFAULT_MAX_HOT_KEYS)
     if key_counts is None:
         key_counts = big.groupBy(*on).agg(F.count(F.lit(1)).alias(count_col))
-    hot = F.broadcast(hot_keys(key_counts, on, count_col, threshold, max_hot))
+    top = hot_keys(key_counts, on, count_col, threshold, max_hot)
+    found = top.collect()
+    if not found:
+        return big.join(small, on, how)
+    hot = F.broadcast(spark.createDataFrame(found, top.schema))
     small_hot = F.broadcast(small.join(hot, on, "left_semi"))
     hot_part = big.join(hot, on, "left_semi").join(small_hot, on, how)
     cold_part = big.join(hot, on, "left_anti").join(small, on, how)
