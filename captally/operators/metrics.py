@@ -8,7 +8,8 @@ Inputs are two tables:
 Only images with a prediction *and* at least one reference are scored (Q10).
 Nothing is collected per image: references stay one row each, the per-image
 figures are algebraic aggregates (partial aggregation absorbs a hot image),
-and the joins keyed by image or by n-gram go through ``skew_join``.
+the image-keyed pairing join goes through ``skew_join``, and the reference
+n-grams are shuffled once, on (n, g, salt) where hot grams get several salts.
 
 Formulas (public definitions: Papineni et al. 2002, Lin 2004, Vedantam et al.
 2015, as implemented by the common caption-evaluation package):
@@ -30,14 +31,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from captally.functions.lcs import lcs_space_udf
 from captally.functions.tokens import caption_tokens, space_tokens, whitespace_tokens
-from captally.operators.ngrams import document_frequency, ngram_counts
+from captally.operators.ngrams import ngram_counts
 from captally.operators.materialize import Scratch, cut
-from captally.operators.skew import skew_join
+from captally.operators.skew import DEFAULT_HOT_KEY_ROWS, DEFAULT_MAX_HOT_KEYS, hot_keys, skew_join
+from captally.session import HOT_KEY_LIMIT_CONF, HOT_KEY_ROWS_CONF, conf_int
 
 MAX_N = 4
 ROUGE_BETA = 1.2
@@ -135,7 +137,7 @@ def _cand_grams(p: Paired) -> DataFrame:
 def _ref_grams(p: Paired) -> DataFrame:
     ng_tok, _ = tokenizers(p.mode)
     toks = p.pairs.select("image", "pos", ng_tok(F.col("caption")).alias("t")).withColumn("r_len", F.size("t"))
-    return ngram_counts(toks, "t", ["image", "pos", "r_len"], MAX_N, partial=False)
+    return ngram_counts(toks, "t", ["image", "pos", "r_len"], MAX_N)
 
 
 def _ref_gram_max(ref_grams: DataFrame) -> DataFrame:
@@ -165,95 +167,137 @@ def bleu_columns(correct, guess, test_len: Column, ref_len: Column) -> list[Colu
     return out
 
 
-def gram_weights(p: Paired, cand_grams: DataFrame, ref_max: DataFrame, dfreq: DataFrame) -> DataFrame:
-    """Per (image, n, g) of the references: BLEU clip input, idf, candidate weight.
+def gram_salts(ref_grams: DataFrame) -> DataFrame:
+    """Bounded table (n, g, ns) of hot grams and the number of salts each gets.
 
-    Returns (image, n, g, mx, cc, idf, wc, nc, c_len); the candidate columns
-    are null where the candidate lacks the gram.
+    A gram with more reference rows than ``captally.skew.hotKeyRows`` is
+    spread over ``ceil(rows / threshold)`` partitions by a hash of the image.
+    Only the top ``captally.skew.maxHotKeys`` grams are listed (the rest keep
+    one salt), so the table is bounded whatever the data.  The row counts are
+    a partial aggregation over (n, g) only.
     """
+    spark = ref_grams.sparkSession
+    threshold = conf_int(spark, HOT_KEY_ROWS_CONF, DEFAULT_HOT_KEY_ROWS)
+    limit = conf_int(spark, HOT_KEY_LIMIT_CONF, DEFAULT_MAX_HOT_KEYS)
+    counts = ref_grams.groupBy("n", "g").agg(F.count(F.lit(1)).alias("n_rows"))
+    top = hot_keys(counts.withColumn("ns", F.ceil(F.col("n_rows") / threshold)), ["n", "g", "ns"], "n_rows", threshold, limit)
+    rows = top.collect()
+    schema = "n int, g string, ns long"
+    return spark.createDataFrame([(r.n, r.g, int(r.ns)) for r in rows], schema)
+
+
+def _salted(df: DataFrame, salts: DataFrame) -> DataFrame:
+    """Add ``s``: 0 for ordinary grams, hash(image) mod ns for hot grams."""
+    return (
+        df.join(F.broadcast(salts), ["n", "g"], "left")
+        .withColumn("s", F.pmod(F.xxhash64("image"), F.coalesce(F.col("ns"), F.lit(1))).cast("int"))
+        .drop("ns")
+    )
+
+
+GRAM_KEYS = ["n", "g", "s"]
+
+
+def gram_tables(p: Paired, cand_grams: DataFrame, ref_grams: DataFrame):
+    """Per-gram statistics with one shuffle of the reference n-grams.
+
+    The reference grams are hash-partitioned on (n, g, salt) once; the per
+    (image, gram) maxima, the document frequency, the idf weights and the
+    candidate counts are then joined and aggregated inside those partitions.
+    Returns (ref_rows, image_grams, cand_rows): reference gram rows with idf
+    and candidate count, (image, n, g) maxima with candidate count, and the
+    candidate grams with idf.
+    """
+    spark = ref_grams.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    salts = gram_salts(ref_grams)
+    rs = _salted(ref_grams, salts).repartition(parts, *GRAM_KEYS)
+    cs = _salted(cand_grams, salts).repartition(parts, *GRAM_KEYS).withColumnRenamed("cnt", "cc")
+    image_grams = rs.groupBy(*GRAM_KEYS, "image").agg(F.max("cnt").alias("mx"))
+    dfreq = image_grams.groupBy(*GRAM_KEYS).agg(F.count(F.lit(1)).alias("df_part"))
+    dfreq = dfreq.groupBy("n", "g").agg(F.sum("df_part").alias("df"))
     n_images = p.cand.agg(F.count(F.lit(1)).alias("n_images"))
     log_n = F.log(F.col("n_images").cast("double"))
     idf = dfreq.crossJoin(F.broadcast(n_images)).select(
         "n", "g", (log_n - F.log(F.greatest(F.col("df"), F.lit(1)).cast("double"))).alias("idf")
     )
-    # idf of every gram the references of an image hold; rows per (n, g) = df.
-    ref_idf = skew_join(
-        ref_max, idf, ["n", "g"], "inner", key_counts=dfreq.select("n", "g", F.col("df").alias("n_rows"))
-    )
-    # Candidate weights; a gram no reference holds has idf = ln N.
-    cand_vec = (
-        skew_join(cand_grams, idf, ["n", "g"], "left")
-        .crossJoin(F.broadcast(n_images))
-        .select(
-            "image", "c_len", "n", "g", F.col("cnt").alias("cc"),
-            (F.col("cnt") * F.coalesce(F.col("idf"), log_n)).alias("wc"),
-        )
+    # Hot grams get one idf row per salt (bounded by the salt table).
+    idf_s = (
+        idf.join(F.broadcast(salts), ["n", "g"], "left")
+        .withColumn("s", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("ns"), F.lit(1)).cast("int") - 1)))
+        .drop("ns")
+        .repartition(parts, *GRAM_KEYS)
     )
-    # A candidate is one text, so the (image, n) window is bounded by it.
-    cand_vec = cand_vec.withColumn(
-        "nc", F.sqrt(F.sum(F.col("wc") * F.col("wc")).over(Window.partitionBy("image", "n")))
+    keys = GRAM_KEYS + ["image"]
+    ref_rows = rs.join(idf_s, GRAM_KEYS).join(cs.select(*keys, "cc", "c_len"), keys, "left")
+    image_grams = image_grams.join(cs.select(*keys, "cc"), keys)
+    cand_rows = cs.join(idf_s, GRAM_KEYS, "left").crossJoin(F.broadcast(n_images)).select(
+        "image", "n", "cc", (F.col("cc") * F.coalesce(F.col("idf"), log_n)).alias("wc")
     )
-    return ref_idf.select("image", "n", "g", "mx", "idf").join(cand_vec, ["image", "n", "g"], "left")
+    return ref_rows, image_grams, cand_rows
 
 
-def bleu_counts(weights: DataFrame) -> DataFrame:
+def bleu_counts(image_grams: DataFrame) -> DataFrame:
     """MET-1 step: clipped matches per image (image, correct_1..4)."""
-    # least() skips nulls, so an absent candidate gram must be tested first.
-    clip = F.when(F.col("cc").isNotNull(), F.least(F.col("cc"), F.col("mx")))
-    return weights.groupBy("image").agg(
+    clip = F.least(F.col("cc"), F.col("mx"))
+    return image_grams.groupBy("image").agg(
         *[F.coalesce(F.sum(_by_n(clip, k)), F.lit(0)).alias(f"correct_{k}") for k in range(1, MAX_N + 1)]
     )
 
 
-def cider_sums(ref_grams: DataFrame, weights: DataFrame, ref_max: DataFrame) -> DataFrame:
-    """MET-5: (image, cider_sum) = sum over references of the per-reference score."""
-    joined = skew_join(
-        ref_grams,
-        weights.select("image", "n", "g", "idf", "wc", "nc", "c_len"),
-        ["image", "n", "g"],
-        "inner",
-        key_counts=ref_max.select("image", "n", "g", F.col("nref").alias("n_rows")),
-    )
-    wr = F.col("cnt") * F.col("idf")
-    wc = F.coalesce(F.col("wc"), F.lit(0.0))
-    per_ref = joined.groupBy("image", "pos").agg(
+def cider_sums(ref_rows: DataFrame, cand_rows: DataFrame) -> DataFrame:
+    """MET-5: (image, cider_sum) = sum over references of the per-reference score.
+
+    With one idf per gram, ``min(w_c, w_r) * w_r = idf^2 * min(c_c, c_r) * c_r``.
+    """
+    cnt, idf = F.col("cnt"), F.col("idf")
+    # least() skips nulls: a gram the candidate lacks must count as 0.
+    shared = F.when(F.col("cc").isNotNull(), F.least(F.col("cc"), cnt)).otherwise(F.lit(0)) * cnt
+    per_ref = ref_rows.groupBy("image", "pos").agg(
         F.max("r_len").alias("r_len"),
-        F.max("c_len").alias("c_len"),
-        *[F.sum(_by_n(wr * wr, k)).alias(f"nr2_{k}") for k in range(1, MAX_N + 1)],
-        *[F.sum(_by_n(F.least(wc, wr) * wr, k)).alias(f"num_{k}") for k in range(1, MAX_N + 1)],
-        *[F.max(_by_n(F.col("nc"), k)).alias(f"nc_{k}") for k in range(1, MAX_N + 1)],
+        *[F.sum(_by_n((cnt * idf) * (cnt * idf), k)).alias(f"nr2_{k}") for k in range(1, MAX_N + 1)],
+        *[F.sum(_by_n(idf * idf * shared, k)).alias(f"num_{k}") for k in range(1, MAX_N + 1)],
     )
+    cand_norm = cand_rows.groupBy("image").agg(
+        *[F.sqrt(F.sum(_by_n(F.col("wc") * F.col("wc"), k))).alias(f"nc_{k}") for k in range(1, MAX_N + 1)]
+    )
+    joined = per_ref.join(cand_norm, "image", "left")
     vals = [
         F.when(
             F.col(f"num_{k}") > 0, F.col(f"num_{k}") / (F.col(f"nc_{k}") * F.sqrt(F.col(f"nr2_{k}")))
         ).otherwise(F.lit(0.0))
         for k in range(1, MAX_N + 1)
     ]
-    delta = F.greatest(F.col("c_len") - 1, F.lit(0)) - F.greatest(F.col("r_len") - 1, F.lit(0))
-    penalty = F.exp(-(delta * delta) / (2 * CIDER_SIGMA * CIDER_SIGMA))
-    score = F.coalesce((vals[0] + vals[1] + vals[2] + vals[3]) / MAX_N * penalty, F.lit(0.0))
-    return per_ref.groupBy("image").agg(F.sum(score).alias("cider_sum"))
+    return joined.select("image", "pos", "r_len", (vals[0] + vals[1] + vals[2] + vals[3]).alias("v"))
 
 
 def image_scores(p: Paired, materialize: bool = True) -> DataFrame:
     """Per-image table: raw counts plus bleu_1..4, rouge_l, cider.
 
-    Runs as one job: intermediates read twice are kept for the job and the
-    result is written to the checkpoint folder (``materialize=False`` returns
-    the lazy plan instead, without caching).
+    Runs as one job whose result is written to the checkpoint folder
+    (``materialize=False`` returns the lazy plan instead).  The gram joins are
+    co-partitioned on a subset of their keys, which the session must allow
+    while the job runs (``spark.sql.requireAllClusterKeysForCoPartition``).
     """
+    spark = p.cand.sparkSession
     scratch = Scratch()
-    keep = scratch.keep if materialize else (lambda d: d)
-    eager = {"eager": True} if materialize else {}
+    keep = scratch.keep if materialize else (lambda d, **_: d)
     p = Paired(cand=p.cand, pairs=keep(p.pairs), ref_counts=p.ref_counts, mode=p.mode)
     stats = pair_stats(p)
-    cand_grams = keep(_cand_grams(p))
-    ref_grams = keep(_ref_grams(p), **eager)
-    ref_max = keep(_ref_gram_max(ref_grams), **eager)
-    dfreq = keep(document_frequency(ref_max), **eager)
-    weights = keep(gram_weights(p, cand_grams, ref_max, dfreq), **eager)
-    correct = bleu_counts(weights)
-    cider = cider_sums(ref_grams, weights, ref_max)
+    cand_grams = _cand_grams(p)
+    ref_grams = keep(_ref_grams(p))
+    ref_rows, image_grams, cand_rows = gram_tables(p, cand_grams, ref_grams)
+    correct = bleu_counts(image_grams)
+    vals = cider_sums(ref_rows, cand_rows)
+    # Per-reference CIDEr needs both lengths (bigram-count penalty).
+    cand_len = p.cand.select("image", F.size(tokenizers(p.mode)[0](F.col("caption"))).alias("c_len"))
+    delta = F.greatest(F.col("c_len") - 1, F.lit(0)) - F.greatest(F.col("r_len") - 1, F.lit(0))
+    penalty = F.exp(-(delta * delta) / (2 * CIDER_SIGMA * CIDER_SIGMA))
+    cider = (
+        vals.join(cand_len, "image")
+        .groupBy("image")
+        .agg(F.sum(F.col("v") / MAX_N * penalty).alias("cider_sum"))
+    )
     joined = stats.join(correct, "image", "left").join(cider, "image", "left")
     joined = joined.select(
         "image",
@@ -277,9 +321,16 @@ def image_scores(p: Paired, materialize: bool = True) -> DataFrame:
     )
     if not materialize:
         return result
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "false")
     try:
         return cut(result, "image_scores")
     finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
         scratch.release()
 
 

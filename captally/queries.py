@@ -14,11 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from captally import fixtures as fx
-from captally.functions.text import first_sentence, image_id, image_path, strip_text
+from captally.functions.text import image_id, image_path
 from captally.functions.tokens import caption_tokens as caption_tokens_fn
 from captally.operators import metrics
 from captally.operators.captioner import PRESETS, caption_images, postprocess, text_captioner
-from captally.operators.materialize import cut
 from captally.operators.ngrams import document_frequency as document_frequency_op
 from captally.operators.ordinals import annotation_ids, image_ordinal
 from captally.operators.pairing import (
