@@ -33,7 +33,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = local_session(cores=cpus, shuffle_partitions=max(8, 4 * cpus), app="captally-bench")
+    spark = local_session(cores=cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(8, 2 * cpus))), app="captally-bench")
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="captally-bench-"))
     names = sys.argv[1:] or HEADLINE

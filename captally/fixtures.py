@@ -36,14 +36,13 @@ def image_name(doc_id) -> F.Column:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-spread rows over the shuffle partitions.
+    """Hash-spread rows over the shuffle partitions (AQE may coalesce them).
 
     The driver's files hold each table in very few row groups, so a scan
     yields one or two input splits; without this every per-document step
     after the scan would run in one task.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *keys)
+    return df.repartition(*keys)
 
 
 def sentence_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -98,8 +98,7 @@ def pair(preds: DataFrame, refs: DataFrame, tokenizer: str = "whitespace") -> Pa
     # Spread the pairs on (image, pos): even with a hot image every task gets
     # a fair share, and the per-reference n-gram count below needs no
     # further shuffle (its keys start with image, pos).
-    n = int(refs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = pairs.repartition(n, "image", "pos")
+    pairs = pairs.repartition("image", "pos")
     return Paired(cand=cand, pairs=pairs, ref_counts=ref_counts, mode=tokenizer)
 
 
