@@ -81,7 +81,7 @@ POSITIONAL = """
 imgs AS (SELECT DISTINCT image FROM refs),
 nimgs AS (SELECT count(*) AS n FROM imgs),
 ranked AS (SELECT image, row_number() OVER (ORDER BY image) - 1 AS ordinal FROM imgs),
-labels AS (
+plabels AS (
   SELECT image, ordinal,
          CASE WHEN ordinal < (SELECT n * 6 // 10 FROM nimgs) THEN 'train'
               WHEN ordinal < (SELECT n * 6 // 10 + n * 2 // 10 FROM nimgs) THEN 'val'
@@ -90,12 +90,12 @@ labels AS (
 """
 
 
-def _metric_ctes(pred_cte: str) -> str:
+def _metric_ctes(pred_cte: str, refs_cte: str = "refs") -> str:
     """Per-image BLEU, ROUGE-L and CIDEr statistics for predictions in ``pred_cte``."""
     return f"""
 cand AS (SELECT image, {_ws_tokens('caption')} AS t, string_split(caption, ' ') AS ts FROM {pred_cte}
-         WHERE image IN (SELECT image FROM refs)),
-rtok AS (SELECT image, pos, {_ws_tokens('caption')} AS t, string_split(caption, ' ') AS ts FROM refs
+         WHERE image IN (SELECT image FROM {refs_cte})),
+rtok AS (SELECT image, pos, {_ws_tokens('caption')} AS t, string_split(caption, ' ') AS ts FROM {refs_cte}
          WHERE image IN (SELECT image FROM cand)),
 cg AS (SELECT image, n, g, count(*) AS cnt
        FROM (SELECT image, n, {_ngrams('t')} AS g FROM cand, (VALUES (1), (2), (3), (4)) v(n)) GROUP BY ALL),
@@ -198,12 +198,15 @@ def _caption_tokens(c: str) -> str:
     return f"list_transform(regexp_extract_all({d2}, '{tok}'), lambda t: replace(t, chr(1), ''''))"
 
 
-def _caption_metrics() -> str:
-    ctes = _metric_ctes("spreds")
-    ctes = ctes.replace(_ws_tokens("caption") + " AS t, string_split(caption, ' ') AS ts",
+def _caption_ctes(pred_cte: str = "spreds", refs_cte: str = "refs") -> str:
+    ctes = _metric_ctes(pred_cte, refs_cte)
+    return ctes.replace(_ws_tokens("caption") + " AS t, string_split(caption, ' ') AS ts",
                         _caption_tokens("caption") + " AS t, string_split(array_to_string("
                         + _caption_tokens("caption") + ", ' '), ' ') AS ts")
-    return _with(DOCS, PREDS, ctes, CORPUS)
+
+
+def _caption_metrics() -> str:
+    return _with(DOCS, PREDS, _caption_ctes(), CORPUS)
 
 
 R6 = "round({0}, 6) AS {1}"
@@ -217,11 +220,11 @@ FROM refs GROUP BY image, pos // 64""",
 SELECT image, sents[1] AS first_caption, CAST(len(sents) AS BIGINT) AS n_refs FROM man""",
     "positional_split_counts": _with(DOCS, POSITIONAL) + """
 SELECT l.split, count(DISTINCT l.image) AS n_images, count(*) AS n_captions
-FROM labels l JOIN refs r USING (image) GROUP BY l.split""",
+FROM plabels l JOIN refs r USING (image) GROUP BY l.split""",
     "manifest_split_rows": _with(DOCS, MANIFEST) + """
 SELECT image, split, CAST(len(sents) AS BIGINT) AS n_refs FROM man WHERE split = 'test'""",
     "image_ordinals": _with(DOCS, POSITIONAL) + """
-SELECT image, split, row_number() OVER (PARTITION BY split ORDER BY image) - 1 AS ordinal FROM labels""",
+SELECT image, split, row_number() OVER (PARTITION BY split ORDER BY image) - 1 AS ordinal FROM plabels""",
     "annotation_rows": _with(DOCS) + """
 SELECT CAST(('0x' || substr(sha256(image), 1, 13)) AS BIGINT) AS image_id,
        row_number() OVER (ORDER BY image, pos) - 1 AS id, caption FROM refs""",
@@ -288,7 +291,7 @@ SELECT metric, round(score, 6) AS score FROM corpus""",
     "caption_scores_ptb": _caption_metrics() + """
 SELECT metric, round(score, 6) AS score FROM corpus""",
     "qualitative_rows": _with(DOCS, PREDS, POSITIONAL) + """,
-test AS (SELECT image, row_number() OVER (ORDER BY image) - 1 AS idx FROM labels WHERE split = 'test'),
+test AS (SELECT image, row_number() OVER (ORDER BY image) - 1 AS idx FROM plabels WHERE split = 'test'),
 wanted AS (SELECT * FROM (VALUES (1090, 0), (50, 1), (200, 2)) w(idx, slot)),
 firstref AS (SELECT image, arg_min(caption, pos) AS reference FROM refs GROUP BY image)
 SELECT CAST(w.slot AS BIGINT) AS slot, CAST(t.idx AS BIGINT) AS idx, t.image, f.reference, p.caption AS prediction,
@@ -344,3 +347,32 @@ WHERE metric IN ('Bleu_4', 'ROUGE_L', 'CIDEr'))"""
 ORACLES["coco_round_trip"] = _with(DOCS, PREDS) + """
 SELECT CAST(('0x' || substr(sha256(p.image), 1, 13)) AS BIGINT) AS image_id, p.caption, count(*) AS n_refs
 FROM preds p JOIN refs r USING (image) GROUP BY p.image, p.caption"""
+
+
+# The stand-in captioner (operators/captioner.py::text_captioner) answers the
+# first sentence of the document text, so its output can be stated in SQL;
+# generation status follows the labels as in fixtures.image_content.
+GENERATIONS = f"""
+gen AS (
+  SELECT 'img' || lpad(CAST(d.doc_id AS VARCHAR), 8, '0') || '.jpg' AS image,
+         {_strip("split_part(replace(d.text, chr(10), ' '), '.', 1)")} AS head,
+         CASE WHEN l.quality = 0 THEN 'missing' WHEN l.toxic = 1 THEN 'error' ELSE 'ok' END AS status
+  FROM documents d LEFT JOIN labels l USING (doc_id))
+"""
+
+ORACLES["evaluate_manifest"] = _with(DOCS, MANIFEST, GENERATIONS) + f""",
+mpreds AS (SELECT g.image, {_strip('g.head')} AS caption FROM gen g JOIN man m USING (image)
+           WHERE m.split = 'test' AND g.status = 'ok'),
+mrefs AS (SELECT image, unnest(range(len(sents))) AS pos, unnest(sents) AS caption FROM man WHERE split = 'test'),
+{_metric_ctes('mpreds', 'mrefs').strip().rstrip(',')},
+{CORPUS.strip()}
+SELECT metric, round(score, 6) AS score FROM corpus"""
+
+ORACLES["evaluate_captions"] = _with(DOCS, POSITIONAL, GENERATIONS) + f""",
+cpreds AS (SELECT g.image, g.head || '.' AS caption FROM gen g JOIN labels_t t USING (image) WHERE g.status = 'ok'),
+crefs AS (SELECT r.image, r.pos, r.caption FROM refs r JOIN labels_t t USING (image)),
+{_caption_ctes('cpreds', 'crefs').strip().rstrip(',')},
+{CORPUS.strip()}
+SELECT metric, round(score, 6) AS score FROM corpus""".replace(
+    "cpreds AS", "labels_t AS (SELECT image FROM plabels WHERE split = 'test'),\ncpreds AS", 1
+)
