@@ -138,3 +138,22 @@ def test_golden_values_from_fixtures(spark):
               "ROUGE_L": 0.922525, "CIDEr": 1.217965}
     for k, v in golden.items():
         assert got[k] == pytest.approx(v, abs=2e-6), k
+
+
+def test_gram_plan_shuffles_references_once_on_gram_keys(spark):
+    import re
+
+    p, r = frames(spark)
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    spark.conf.set(key, "false")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = M.image_scores(M.pair(p, r), materialize=False)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(key)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    parts = {re.sub(r"#\d+L?", "", m) for m in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)}
+    keys = {tuple(x.strip() for x in m.split(",")[:-1]) for m in parts}
+    assert ("n", "g", "s") in keys
+    # the gram joins and aggregates are co-partitioned: no exchange on (image, n, g ...)
+    assert not any(k[:3] == ("image", "n", "g") or k[:4] == ("n", "g", "s", "image") for k in keys)
