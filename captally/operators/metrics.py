@@ -197,7 +197,7 @@ def _salted(df: DataFrame, salts: DataFrame) -> DataFrame:
 GRAM_KEYS = ["n", "g", "s"]
 
 
-def gram_tables(p: Paired, cand_grams: DataFrame, ref_grams: DataFrame):
+def gram_tables(p: Paired, cand_grams: DataFrame, ref_grams: DataFrame, keep=lambda d: d):
     """Per-gram statistics with one shuffle of the reference n-grams.
 
     The reference grams are hash-partitioned on (n, g, salt) once; the per
@@ -210,9 +210,12 @@ def gram_tables(p: Paired, cand_grams: DataFrame, ref_grams: DataFrame):
     spark = ref_grams.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     salts = gram_salts(ref_grams)
-    rs = _salted(ref_grams, salts).repartition(parts, *GRAM_KEYS)
+    # Kept once: several branches read the shuffled grams with different
+    # column sets, which would otherwise re-run the shuffle for each.  A cached
+    # table keeps its hash partitioning, so the joins below stay local.
+    rs = keep(_salted(ref_grams, salts).repartition(parts, *GRAM_KEYS))
     cs = _salted(cand_grams, salts).repartition(parts, *GRAM_KEYS).withColumnRenamed("cnt", "cc")
-    image_grams = rs.groupBy(*GRAM_KEYS, "image").agg(F.max("cnt").alias("mx"))
+    image_grams = keep(rs.groupBy(*GRAM_KEYS, "image").agg(F.max("cnt").alias("mx")))
     dfreq = image_grams.groupBy(*GRAM_KEYS).agg(F.count(F.lit(1)).alias("df_part"))
     dfreq = dfreq.groupBy("n", "g").agg(F.sum("df_part").alias("df"))
     n_images = p.cand.agg(F.count(F.lit(1)).alias("n_images"))
@@ -228,8 +231,13 @@ def gram_tables(p: Paired, cand_grams: DataFrame, ref_grams: DataFrame):
         .repartition(parts, *GRAM_KEYS)
     )
     keys = GRAM_KEYS + ["image"]
-    ref_rows = rs.join(idf_s, GRAM_KEYS).join(cs.select(*keys, "cc", "c_len"), keys, "left")
-    image_grams = image_grams.join(cs.select(*keys, "cc"), keys)
+    # Hash joins inside the co-partitioned stage: the build sides (idf, one row
+    # per gram and salt; candidate grams) are unique on their keys, so each
+    # partition's table is bounded, and the 13.5M-row probe side is never sorted.
+    ref_rows = rs.join(idf_s.hint("shuffle_hash"), GRAM_KEYS).join(
+        cs.select(*keys, "cc", "c_len").hint("shuffle_hash"), keys, "left"
+    )
+    image_grams = image_grams.join(cs.select(*keys, "cc").hint("shuffle_hash"), keys)
     cand_rows = cs.join(idf_s, GRAM_KEYS, "left").crossJoin(F.broadcast(n_images)).select(
         "image", "n", "cc", (F.col("cc") * F.coalesce(F.col("idf"), log_n)).alias("wc")
     )
@@ -245,29 +253,27 @@ def bleu_counts(image_grams: DataFrame) -> DataFrame:
 
 
 def cider_sums(ref_rows: DataFrame, cand_rows: DataFrame) -> DataFrame:
-    """MET-5: (image, cider_sum) = sum over references of the per-reference score.
+    """MET-5 step: (image, pos, r_len, v) with v = sum over n of the per-n similarity.
 
     With one idf per gram, ``min(w_c, w_r) * w_r = idf^2 * min(c_c, c_r) * c_r``.
+    Two plain aggregations (per reference and n, then per reference) keep each
+    aggregate small enough for whole-stage code generation.
     """
     cnt, idf = F.col("cnt"), F.col("idf")
     # least() skips nulls: a gram the candidate lacks must count as 0.
     shared = F.when(F.col("cc").isNotNull(), F.least(F.col("cc"), cnt)).otherwise(F.lit(0)) * cnt
-    per_ref = ref_rows.groupBy("image", "pos").agg(
+    per_n = ref_rows.groupBy("image", "pos", "n").agg(
         F.max("r_len").alias("r_len"),
-        *[F.sum(_by_n((cnt * idf) * (cnt * idf), k)).alias(f"nr2_{k}") for k in range(1, MAX_N + 1)],
-        *[F.sum(_by_n(idf * idf * shared, k)).alias(f"num_{k}") for k in range(1, MAX_N + 1)],
+        F.sum((cnt * idf) * (cnt * idf)).alias("nr2"),
+        F.sum(idf * idf * shared).alias("num"),
     )
-    cand_norm = cand_rows.groupBy("image").agg(
-        *[F.sqrt(F.sum(_by_n(F.col("wc") * F.col("wc"), k))).alias(f"nc_{k}") for k in range(1, MAX_N + 1)]
+    cand_norm = cand_rows.groupBy("image", "n").agg(F.sqrt(F.sum(F.col("wc") * F.col("wc"))).alias("nc"))
+    val = F.when(F.col("num") > 0, F.col("num") / (F.col("nc") * F.sqrt(F.col("nr2")))).otherwise(F.lit(0.0))
+    return (
+        per_n.join(cand_norm, ["image", "n"], "left")
+        .groupBy("image", "pos")
+        .agg(F.max("r_len").alias("r_len"), F.sum(val).alias("v"))
     )
-    joined = per_ref.join(cand_norm, "image", "left")
-    vals = [
-        F.when(
-            F.col(f"num_{k}") > 0, F.col(f"num_{k}") / (F.col(f"nc_{k}") * F.sqrt(F.col(f"nr2_{k}")))
-        ).otherwise(F.lit(0.0))
-        for k in range(1, MAX_N + 1)
-    ]
-    return joined.select("image", "pos", "r_len", (vals[0] + vals[1] + vals[2] + vals[3]).alias("v"))
 
 
 def image_scores(p: Paired, materialize: bool = True) -> DataFrame:
@@ -285,7 +291,9 @@ def image_scores(p: Paired, materialize: bool = True) -> DataFrame:
     stats = pair_stats(p)
     cand_grams = _cand_grams(p)
     ref_grams = keep(_ref_grams(p))
-    ref_rows, image_grams, cand_rows = gram_tables(p, cand_grams, ref_grams)
+    ref_rows, image_grams, cand_rows = gram_tables(
+        p, cand_grams, ref_grams, keep=(lambda d: scratch.keep(d, eager=True)) if materialize else (lambda d: d)
+    )
     correct = bleu_counts(image_grams)
     vals = cider_sums(ref_rows, cand_rows)
     # Per-reference CIDEr needs both lengths (bigram-count penalty).
