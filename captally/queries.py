@@ -22,6 +22,7 @@ from captally.operators.ngrams import document_frequency as document_frequency_o
 from captally.operators.ordinals import annotation_ids, image_ordinal
 from captally.operators.pairing import (
     first_caption,
+    pick_metrics,
     group_captions,
     latest_prediction,
     references_for,
@@ -270,11 +271,9 @@ def caption_scores_ptb(spark, sf):
 
 def preset_comparison(spark, sf):
     """PIP-5, FLT-4: greedy vs beam predictions, same references."""
-    out = None
-    for name in ("greedy", "beam"):
-        s = metrics.corpus_scores(_image_scores(spark, sf, name)).select(F.lit(name).alias("preset"), "metric", _r("score"))
-        out = s if out is None else out.unionByName(s)
-    return out.where(F.col("metric").isin(["Bleu_4", "ROUGE_L", "CIDEr"]))
+    preds = {"greedy": fx.scoring_predictions(spark, sf), "beam": fx.beam_predictions(spark, sf)}
+    out = compare_presets(preds, fx.references(spark, sf))
+    return pick_metrics(out, ["Bleu_4", "ROUGE_L", "CIDEr"]).select("preset", "metric", _r("score"))
 
 
 def qualitative_rows(spark, sf):
