@@ -50,13 +50,6 @@ METRIC_NAMES = ["Bleu_1", "Bleu_2", "Bleu_3", "Bleu_4", "ROUGE_L", "CIDEr"]
 TOKENIZERS = ("whitespace", "caption")
 
 
-def lcs_text(mode: str):
-    """Text whose single-space split gives the ROUGE-L tokens of a mode."""
-    if mode == "whitespace":
-        return lambda c: c
-    return lambda c: F.array_join(caption_tokens(c), " ")
-
-
 def tokenizers(mode: str):
     """(n-gram tokenizer, LCS tokenizer) for a tokenizer mode (Q13)."""
     if mode == "whitespace":
@@ -103,17 +96,27 @@ def pair(preds: DataFrame, refs: DataFrame, tokenizer: str = "whitespace") -> Pa
 
 
 def pair_stats(p: Paired) -> DataFrame:
-    """Per image: reference count, ROUGE-L maxima, BLEU lengths (MET-2, MET-4)."""
-    ng_tok, lcs_tok = tokenizers(p.mode)
-    text = lcs_text(p.mode)
-    c_l, r_l = lcs_tok(F.col("c_caption")), lcs_tok(F.col("caption"))
-    per_pair = p.pairs.select(
+    """Per image: reference count, ROUGE-L maxima, BLEU lengths (MET-2, MET-4).
+
+    Each caption is tokenised once; the LCS text is the raw caption
+    (whitespace mode) or the space-joined caption tokens (caption mode).
+    """
+    ng_tok, _ = tokenizers(p.mode)
+    toks = p.pairs.select("image", ng_tok(F.col("c_caption")).alias("c_ng"), ng_tok(F.col("caption")).alias("r_ng"),
+                          "c_caption", "caption")
+    if p.mode == "whitespace":
+        c_txt, r_txt = F.col("c_caption"), F.col("caption")
+    else:
+        c_txt, r_txt = F.array_join("c_ng", " "), F.array_join("r_ng", " ")
+    texts = toks.select("image", F.size("c_ng").alias("c_len"), F.size("r_ng").alias("r_len"),
+                        c_txt.alias("c_txt"), r_txt.alias("r_txt"))
+    per_pair = texts.select(
         "image",
-        F.size(ng_tok(F.col("c_caption"))).alias("c_len"),
-        F.size(ng_tok(F.col("caption"))).alias("r_len"),
-        lcs_space_udf(text(F.col("c_caption")), text(F.col("caption"))).alias("lcs"),
-        F.size(c_l).alias("c_tok"),
-        F.size(r_l).alias("r_tok"),
+        "c_len",
+        "r_len",
+        lcs_space_udf(F.col("c_txt"), F.col("r_txt")).alias("lcs"),
+        F.size(space_tokens(F.col("c_txt"))).alias("c_tok"),
+        F.size(space_tokens(F.col("r_txt"))).alias("r_tok"),
     )
     return per_pair.groupBy("image").agg(
         F.count(F.lit(1)).alias("n_refs"),
