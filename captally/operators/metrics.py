@@ -48,6 +48,7 @@ BLEU_TINY = 1e-15
 BLEU_SMALL = 1e-9
 METRIC_NAMES = ["Bleu_1", "Bleu_2", "Bleu_3", "Bleu_4", "ROUGE_L", "CIDEr"]
 TOKENIZERS = ("whitespace", "caption")
+GRAMS_PER_PARTITION = 1_000_000
 
 
 def tokenizers(mode: str):
@@ -200,7 +201,7 @@ def _salted(df: DataFrame, salts: DataFrame) -> DataFrame:
 GRAM_KEYS = ["n", "g", "s"]
 
 
-def gram_tables(p: Paired, cand_grams: DataFrame, ref_grams: DataFrame, keep=lambda d: d):
+def gram_tables(p: Paired, cand_grams: DataFrame, ref_grams: DataFrame, keep=lambda d: d, parts: int | None = None):
     """Per-gram statistics with one shuffle of the reference n-grams.
 
     The reference grams are hash-partitioned on (n, g, salt) once; the per
@@ -211,7 +212,7 @@ def gram_tables(p: Paired, cand_grams: DataFrame, ref_grams: DataFrame, keep=lam
     candidate grams with idf.
     """
     spark = ref_grams.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     salts = gram_salts(ref_grams)
     # Kept once: several branches read the shuffled grams with different
     # column sets, which would otherwise re-run the shuffle for each.  A cached
@@ -291,11 +292,21 @@ def image_scores(p: Paired, materialize: bool = True) -> DataFrame:
     scratch = Scratch()
     keep = scratch.keep if materialize else (lambda d, **_: d)
     p = Paired(cand=p.cand, pairs=keep(p.pairs), ref_counts=p.ref_counts, mode=p.mode)
+    parts = None
+    if materialize:
+        # Size the gram stage to the data: about GRAMS_PER_PARTITION n-gram rows
+        # per partition (~4 per reference token, ~10 tokens per reference),
+        # between the default parallelism and spark.sql.shuffle.partitions.
+        n_pairs = p.pairs.count()
+        cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        floor_ = min(spark.sparkContext.defaultParallelism, cap)
+        parts = max(floor_, min(cap, -(-n_pairs * 40 // GRAMS_PER_PARTITION)))
     stats = pair_stats(p)
     cand_grams = _cand_grams(p)
     ref_grams = keep(_ref_grams(p))
     ref_rows, image_grams, cand_rows = gram_tables(
-        p, cand_grams, ref_grams, keep=(lambda d: scratch.keep(d, eager=True)) if materialize else (lambda d: d)
+        p, cand_grams, ref_grams, keep=(lambda d: scratch.keep(d, eager=True)) if materialize else (lambda d: d),
+        parts=parts,
     )
     correct = bleu_counts(image_grams)
     vals = cider_sums(ref_rows, cand_rows)
