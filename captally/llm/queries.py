@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from captally.llm import quality_rules
+from captally.llm import quality_rules, simhash_dedup
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,5 +16,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op4_quality_rules,)}
+def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint and near-duplicate component of every document."""
+    return simhash_dedup.near_duplicates(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op4_quality_rules, op7_simhash_dedup)}
 ORACLES: dict[str, str] = {}
