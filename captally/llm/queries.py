@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from captally.llm import quality_rules, simhash_dedup
+from captally.llm import decontamination, quality_rules, simhash_dedup
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    return table(spark, sf_dir, "documents")
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,5 +25,11 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op4_quality_rules, op7_simhash_dedup)}
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, benchmark item) with a verified overlap."""
+    found = decontamination.contaminated(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_matches", "n_overlap", "first_word")
+
+
+QUERIES = {f.__name__: f for f in (op4_quality_rules, op7_simhash_dedup, op8_decontamination)}
 ORACLES: dict[str, str] = {}

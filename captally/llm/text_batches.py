@@ -62,7 +62,8 @@ def map_texts(
     """``keep`` columns of ``df`` plus ``new_fields`` computed from column ``text``.
 
     ``make`` runs once per task and returns ``f(bytes, offsets)``, which gives
-    one Arrow array (or NumPy array) per new field.
+    one Arrow array (or NumPy array) per new field, or a tuple of row numbers
+    and such arrays where the result has other rows than the input.
     """
     keep = list(keep)
     cols = list(dict.fromkeys([*keep, text]))
@@ -74,8 +75,13 @@ def map_texts(
         for b in batches:
             at = {c: b.column(i) for i, c in enumerate(cols)}
             for lo, hi, data, offsets in text_chunks(at[text]):
-                made = [x if isinstance(x, pa.Array) else pa.array(x) for x in f(data, offsets)]
-                yield pa.RecordBatch.from_arrays([*(at[c].slice(lo, hi - lo) for c in keep), *made], names=names)
+                made = f(data, offsets)
+                kept = [at[c].slice(lo, hi - lo) for c in keep]
+                if isinstance(made, tuple):
+                    rows, made = made
+                    kept = [c.take(pa.array(rows)) for c in kept]
+                made = [x if isinstance(x, pa.Array) else pa.array(x) for x in made]
+                yield pa.RecordBatch.from_arrays([*kept, *made], names=names)
 
     return df.select(*cols).mapInArrow(run, schema)
 
