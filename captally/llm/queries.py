@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from captally.llm import decontamination, quality_rules, simhash_dedup
+from captally.llm import decontamination, pii, quality_rules, simhash_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,5 +31,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "n_matches", "n_overlap", "first_word")
 
 
-QUERIES = {f.__name__: f for f in (op4_quality_rules, op7_simhash_dedup, op8_decontamination)}
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base counts and digest, and all spans."""
+    return pii.find_pii(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op4_quality_rules, op7_simhash_dedup, op8_decontamination, op10_pii)}
 ORACLES: dict[str, str] = {}
