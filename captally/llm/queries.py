@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from captally.llm import decontamination, pii, quality_rules, simhash_dedup
+from captally.llm import decontamination, mixing, pii, quality_rules, simhash_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix of all sources takes of every document."""
+    return mixing.mix_report(documents(spark, sf_dir))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document."""
     return quality_rules.quality_verdicts(documents(spark, sf_dir))
@@ -36,5 +41,5 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op4_quality_rules, op7_simhash_dedup, op8_decontamination, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op4_quality_rules, op7_simhash_dedup, op8_decontamination, op10_pii)}
 ORACLES: dict[str, str] = {}
