@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from captally.llm import decontamination, mixing, pii, quality_rules, simhash_dedup
+from captally.llm import chat_format, decontamination, license_scan, mixing, pii, quality_rules, simhash_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(documents(spark, sf_dir))
 
 
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rendered turns of the conversations that are no prefix of another."""
+    return chat_format.chat_format(table(spark, sf_dir, "conversations"))
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate component of every document."""
     return simhash_dedup.near_duplicates(documents(spark, sf_dir))
@@ -36,10 +41,49 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "n_matches", "n_overlap", "first_word")
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and templates in every document."""
+    return license_scan.scan_licenses(documents(spark, sf_dir))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: base counts and digest, and all spans."""
     return pii.find_pii(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op4_quality_rules, op7_simhash_dedup, op8_decontamination, op10_pii)}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_mixing,
+        op4_quality_rules,
+        op5_chat_format,
+        op7_simhash_dedup,
+        op8_decontamination,
+        op9_license_scan,
+        op10_pii,
+    )
+}
+
+# SQL states the operators whose result is defined by the rows alone; the
+# others are compared with brute force in tests/llm.
+ORACLES: dict[str, str] = {
+    "op5_chat_format": """
+WITH t AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+), p AS (
+  SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS pos FROM t
+), c AS (
+  SELECT conv_id, count(*) AS n_turns, list(role || chr(31) || text ORDER BY pos) AS turns FROM p GROUP BY conv_id
+), k AS (
+  SELECT a.conv_id, a.n_turns FROM c a
+  WHERE NOT EXISTS (
+    SELECT 1 FROM c b
+    WHERE b.turns[1] = a.turns[1] AND b.n_turns >= a.n_turns AND b.turns[1:a.n_turns] = a.turns
+      AND (b.n_turns > a.n_turns OR b.conv_id < a.conv_id)
+  )
+)
+SELECT p.conv_id, p.pos, k.n_turns, p.turn,
+       '<|im_start|>' || p.role || chr(10) || p.text || '<|im_end|>' || chr(10) AS rendered
+FROM p JOIN k ON k.conv_id = p.conv_id
+""",
+}
