@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from captally.llm import chat_format, decontamination, license_scan, mixing, pii, quality_rules, simhash_dedup
+from captally.llm import chat_format, decontamination, language_id, license_scan, mixing, pii, quality_rules, simhash_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(documents(spark, sf_dir))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    return language_id.identify_languages(documents(spark, sf_dir))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document."""
     return quality_rules.quality_verdicts(documents(spark, sf_dir))
@@ -55,6 +60,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_mixing,
+        op3_language_id,
         op4_quality_rules,
         op5_chat_format,
         op7_simhash_dedup,
