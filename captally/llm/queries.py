@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from captally.llm import chat_format, decontamination, language_id, license_scan, mixing, pii, quality_rules, simhash_dedup
+from captally.llm import chat_format, decontamination, language_id, license_scan, lm_scoring, mixing, pii, quality_rules, simhash_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,11 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.chat_format(table(spark, sf_dir, "conversations"))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word unigram and subword lattice log10 probabilities of every document."""
+    return lm_scoring.score_texts(documents(spark, sf_dir))
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate component of every document."""
     return simhash_dedup.near_duplicates(documents(spark, sf_dir))
@@ -63,6 +68,7 @@ QUERIES = {
         op3_language_id,
         op4_quality_rules,
         op5_chat_format,
+        op6_lm_scoring,
         op7_simhash_dedup,
         op8_decontamination,
         op9_license_scan,
