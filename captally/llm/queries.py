@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from captally.llm import chat_format, decontamination, language_id, license_scan, lm_scoring, mixing, pii, quality_rules, simhash_dedup
+from captally.llm import chat_format, decontamination, language_id, license_scan, lm_scoring, mixing, pii, quality_rules, simhash_dedup, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(documents(spark, sf_dir))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without strings that repeat."""
+    return suffix_dedup.repeat_report(documents(spark, sf_dir))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     return language_id.identify_languages(documents(spark, sf_dir))
@@ -65,6 +70,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_mixing,
+        op2_suffix_dedup,
         op3_language_id,
         op4_quality_rules,
         op5_chat_format,
