@@ -124,7 +124,7 @@ def _segments(bloom_words: np.ndarray):
             new = np.ones(len(at), bool)
             new[1:] = (row[at[1:]] != row[at[:-1]]) | (np.diff(at) > 2 * CONTEXT)
             head = np.flatnonzero(new)
-            tail = np.append(head[1:], len(at)) - 1
+            tail = np.append(head, len(at))[1:] - 1
             rows = row[at[head]]
             lo = np.maximum(at[head] - CONTEXT, firsts[:-1][rows])
             hi = np.minimum(at[tail] + len(MASKS[-1]) + CONTEXT, firsts[1:][rows])
