@@ -5,11 +5,11 @@ nothing is image-caption shaped, so the evaluation inputs are derived from
 the prose, by rules that Spark and DuckDB can both state:
 
 * ``sentences``: each document split on '.' or newline, spaces trimmed,
-  empties dropped; documents with at least two sentences.  Whole texts: every
+  empties dropped; documents with at least one sentence.  Whole texts: every
   sentence of every document is kept.
 * ``references``: image ``img<doc_id:08d>.jpg``, one reference per sentence.
 * ``raw_predictions``: tokens of sentence 0 without every fifth one, then
-  ``. `` + sentence 1 + ``.``, padded with spaces.
+  ``. `` + sentence 1 (empty if there is none) + ``.``, padded with spaces.
 * ``predictions``: raw predictions after strip + first-sentence rule (CAP-2).
 * ``scoring_predictions``: predictions without their final '.'.
 """
@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from captally.functions.text import first_sentence, strip_text
+from captally.operators.materialize import scratch_path
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -46,12 +47,12 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def sentence_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, image, sents array<string>) for documents with >= 2 sentences."""
+    """(doc_id, image, sents array<string>) for documents with a sentence."""
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     sents = F.filter(F.transform(F.split(F.col("text"), "[.\n]"), lambda s: F.trim(s)), lambda s: s != "")
     return (
         docs.select("doc_id", sents.alias("sents"))
-        .where(F.size("sents") >= 2)
+        .where(F.size("sents") >= 1)
         .select("doc_id", image_name(F.col("doc_id")).alias("image"), "sents")
     )
 
@@ -72,7 +73,7 @@ def raw_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(image, doc_id, raw): a noisy two-sentence model output per image."""
     arr = sentence_arrays(spark, sf_dir)
     kept = F.filter(F.split(F.get(F.col("sents"), 0), " "), lambda t, i: i % 5 != 4)
-    raw = F.concat(F.lit(" "), F.array_join(kept, " "), F.lit(". "), F.get(F.col("sents"), 1), F.lit(". "))
+    raw = F.concat(F.lit(" "), F.array_join(kept, " "), F.lit(". "), F.coalesce(F.get(F.col("sents"), 1), F.lit("")), F.lit(". "))
     return arr.select("image", "doc_id", raw.alias("raw"))
 
 
@@ -148,3 +149,31 @@ def image_content(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(body)
     )
     return docs.join(labels, "doc_id", "left").select(image_name(F.col("doc_id")).alias("image"), content.alias("content"))
+
+
+# Fixed value: a WBMP picture of 8 x 1 pixels, all but its last byte.
+WBMP_HEAD, WBMP_PIXELS = "\x00\x00\x08\x01", "U"
+
+
+def image_folder(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of image files, one sub-folder ``image=<name>`` per document that has a file.
+
+    A document labelled quality 0 has no file, one labelled toxic has a file
+    that is no picture; every other file is a tiny valid one.
+    """
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.octet_length("text").alias("size"))
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    rows = docs.join(labels, "doc_id", "left").where(F.coalesce("quality", F.lit(1)) == 1)
+    body = F.when(F.col("toxic") == 1, F.repeat(F.lit("?"), F.col("size"))).otherwise(F.lit(WBMP_HEAD))
+    folder = scratch_path(spark, "images")
+    rows = rows.select(image_name(F.col("doc_id")).alias("image"), body.alias("value")).repartition("image")
+    rows.write.partitionBy("image").option("lineSep", WBMP_PIXELS).text(folder)
+    return folder
+
+
+def image_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(image, status) of every document's image: ok, missing or error, by its labels."""
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    status = F.when(F.col("quality") == 0, "missing").when(F.col("toxic") == 1, "error").otherwise("ok")
+    return docs.join(labels, "doc_id", "left").select(image_name(F.col("doc_id")).alias("image"), status.alias("status"))

@@ -1,60 +1,52 @@
-"""Reuse and lineage control for multi-step jobs.
-
-``Scratch`` keeps intermediate tables that a plan reads more than once
-(persisted to executor memory and disk; a lost executor's blocks are
-recomputed from lineage).  ``cut`` writes a finished table to the session's
-checkpoint folder -- the shared folder named by ``spark.checkpoint.dir`` on a
-cluster -- so later steps read it back instead of re-running the job.
+"""Lineage control for multi-step jobs.
+
+``cut`` writes a finished table to the session's checkpoint folder -- the
+shared folder named by ``spark.checkpoint.dir`` on a cluster -- and reads it
+back, so later steps start from it instead of re-running the job, and no
+executor's loss can take it away.  ``scratch_path`` names a folder there for
+files that a job writes and reads itself.  Everything written this way is
+removed when the driver's Python ends.
 """
 
 from __future__ import annotations
 
+import atexit
 import uuid
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark import SparkContext
+from pyspark.sql import DataFrame, SparkSession
 
 from captally.session import ensure_checkpoint_dir
 
+_WRITTEN: list[str] = []
 
-class Scratch:
-    def __init__(self) -> None:
-        self._kept: list[DataFrame] = []
-
-    def keep(self, df: DataFrame, eager: bool = False) -> DataFrame:
-        """Persist ``df``; ``eager`` fills the cache now, in one job.
 
-        Filling it eagerly matters: with AQE, broadcast sub-queries and the
-        main job start concurrently, and each would otherwise build the same
-        shuffle stages of a not-yet-cached table again.
-        """
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        self._kept.append(df)
-        if eager:
-            df.count()
-        return df
-
-    def release(self) -> None:
-        for df in self._kept:
-            df.unpersist()
-        self._kept.clear()
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder name under the checkpoint folder."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/captally-{name}-{uuid.uuid4().hex}"
+    if not _WRITTEN:
+        atexit.register(remove_scratch)
+    _WRITTEN.append(path)
+    return path
 
-    def __enter__(self) -> "Scratch":
-        return self
 
-    def __exit__(self, *exc) -> None:
-        self.release()
+def remove_scratch() -> int:
+    """Delete what this process wrote under the checkpoint folder; returns how many folders went."""
+    sc = SparkContext._active_spark_context
+    gone = 0
+    while _WRITTEN and sc is not None:
+        path = sc._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        gone += bool(path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True))
+    return gone
 
 
 def cut(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once as Parquet under the checkpoint folder and read it back.
 
-    Unlike ``Dataset.checkpoint`` (which runs the plan twice unless it is
-    cached) this is a single pass, and the written table outlives any
-    executor.  The folder is the session's shared checkpoint folder.
+    Unlike ``Dataset.checkpoint`` this keeps a columnar file with statistics,
+    so later joins know its size.
     """
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/captally-{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -5,11 +5,18 @@ Inputs are two tables:
 * ``preds``: (image, caption) -- one candidate per image;
 * ``refs``:  (image, pos, caption) -- any number of references per image.
 
-Only images with a prediction *and* at least one reference are scored (Q10).
-Nothing is collected per image: references stay one row each, the per-image
-figures are algebraic aggregates (partial aggregation absorbs a hot image),
-the image-keyed pairing join goes through ``skew_join``, and the reference
-n-grams are shuffled once, on (n, g, salt) where hot grams get several salts.
+With a ``preset`` column in the predictions, every preset is scored on its own
+in the same job.  Only images with a prediction *and* at least one reference
+are scored (Q10); a second prediction for an image is an error, unless ``pos``
+says which came last.
+
+Nothing is collected per image: references stay one row each, and pairs are
+spread on (image, pos), so a hot image is many tasks.  n-grams are fixed-width
+rows keyed by a 128-bit hash of preset and gram (two XXH64; the odds that two
+of 10^13 grams share one are below 10^-12).  A gram that occurs in one image
+only has the weight ln N, known without a join, so only grams of two or more
+images are joined back; both that join and the counts before it combine
+map-side or are split by AQE, so a frequent gram is no single task either.
 
 Formulas (public definitions: Papineni et al. 2002, Lin 2004, Vedantam et al.
 2015, as implemented by the common caption-evaluation package):
@@ -36,10 +43,10 @@ from pyspark.sql import functions as F
 
 from captally.functions.lcs import lcs_space_udf
 from captally.functions.tokens import caption_tokens, space_tokens, whitespace_tokens
-from captally.operators.ngrams import ngram_counts
-from captally.operators.materialize import Scratch, cut
-from captally.operators.skew import DEFAULT_HOT_KEY_ROWS, DEFAULT_MAX_HOT_KEYS, hot_keys, skew_join
-from captally.session import HOT_KEY_LIMIT_CONF, HOT_KEY_ROWS_CONF, conf_int
+from captally.operators.materialize import cut
+from captally.operators.ngrams import document_frequency, gram_keys, ngram_counts, paired_gram_counts
+from captally.operators.pairing import duplicate_predictions, latest_prediction
+from captally.operators.skew import skew_join
 
 MAX_N = 4
 ROUGE_BETA = 1.2
@@ -48,7 +55,6 @@ BLEU_TINY = 1e-15
 BLEU_SMALL = 1e-9
 METRIC_NAMES = ["Bleu_1", "Bleu_2", "Bleu_3", "Bleu_4", "ROUGE_L", "CIDEr"]
 TOKENIZERS = ("whitespace", "caption")
-GRAMS_PER_PARTITION = 1_000_000
 
 
 def tokenizers(mode: str):
@@ -66,60 +72,69 @@ def tokenizers(mode: str):
 class Paired:
     """Candidates and references of the scored images, ready for every metric."""
 
-    cand: DataFrame  # image, caption
-    pairs: DataFrame  # image, pos, caption (reference), c_caption (candidate)
-    ref_counts: DataFrame  # image, n_rows
+    cand: DataFrame  # unit, preset, image, caption, ln_n (a written table)
+    pairs: DataFrame  # unit, preset, image, pos, caption (reference), c_caption (candidate), ln_n
     mode: str
 
 
+def one_prediction_each(preds: DataFrame) -> DataFrame:
+    """(preset, image, caption), one row per preset and image.
+
+    With a ``pos`` column the last attempt counts (AGG-3); without one a
+    second prediction for an image is an error.
+    """
+    if "preset" not in preds.columns:
+        preds = preds.withColumn("preset", F.lit(""))
+    keys = ["preset", "image"]
+    if "pos" in preds.columns:
+        return latest_prediction(preds, keys=keys).select(*keys, "caption")
+    n = duplicate_predictions(preds, keys).count()
+    if n:
+        raise ValueError(f"{n} image(s) have more than one prediction")
+    return preds.select(*keys, "caption")
+
+
 def pair(preds: DataFrame, refs: DataFrame, tokenizer: str = "whitespace") -> Paired:
     """JN-2/JN-3: restrict to predicted images and pair every reference with its candidate."""
     tokenizers(tokenizer)
     refs = refs.select("image", "pos", "caption").where(F.col("caption").isNotNull())
-    ref_counts = refs.groupBy("image").agg(F.count(F.lit(1)).alias("n_rows"))
-    cand = (
-        preds.select("image", "caption")
-        .where(F.col("caption").isNotNull())
-        .join(ref_counts.select("image"), "image", "left_semi")
-    )
-    pairs = skew_join(
-        refs,
-        cand.withColumnRenamed("caption", "c_caption"),
-        ["image"],
-        "inner",
-        key_counts=ref_counts,
-    )
-    # Spread the pairs on (image, pos): even with a hot image every task gets
-    # a fair share, and the per-reference n-gram count below needs no
-    # further shuffle (its keys start with image, pos).
-    pairs = pairs.repartition("image", "pos")
-    return Paired(cand=cand, pairs=pairs, ref_counts=ref_counts, mode=tokenizer)
+    preds = one_prediction_each(preds).where(F.col("caption").isNotNull())
+    cand = cut(preds.join(refs.select("image").distinct(), "image", "left_semi").withColumn("unit", F.monotonically_increasing_id()), "candidates")
+    n_images = cand.groupBy("preset").agg(F.log(F.count(F.lit(1)).cast("double")).alias("ln_n"))
+    cand = cand.join(n_images, "preset")
+    pairs = skew_join(refs, cand.withColumnRenamed("caption", "c_caption"), ["image"], "inner")
+    return Paired(cand=cand, pairs=cut(pairs, "pairs"), mode=tokenizer)
+
+
+def _spread(p: Paired) -> DataFrame:
+    """Pairs dealt by (unit, pos): a hot image is shared out, and per-reference counts need no further shuffle."""
+    return p.pairs.repartition("unit", "pos")
 
 
 def pair_stats(p: Paired) -> DataFrame:
-    """Per image: reference count, ROUGE-L maxima, BLEU lengths (MET-2, MET-4).
+    """Per unit: reference count, ROUGE-L maxima, BLEU lengths (MET-2, MET-4).
 
     Each caption is tokenised once; the LCS text is the raw caption
     (whitespace mode) or the space-joined caption tokens (caption mode).
     """
     ng_tok, _ = tokenizers(p.mode)
-    toks = p.pairs.select("image", ng_tok(F.col("c_caption")).alias("c_ng"), ng_tok(F.col("caption")).alias("r_ng"),
-                          "c_caption", "caption")
+    toks = _spread(p).select("unit", ng_tok(F.col("c_caption")).alias("c_ng"), ng_tok(F.col("caption")).alias("r_ng"),
+                             "c_caption", "caption")
     if p.mode == "whitespace":
         c_txt, r_txt = F.col("c_caption"), F.col("caption")
     else:
         c_txt, r_txt = F.array_join("c_ng", " "), F.array_join("r_ng", " ")
-    texts = toks.select("image", F.size("c_ng").alias("c_len"), F.size("r_ng").alias("r_len"),
+    texts = toks.select("unit", F.size("c_ng").alias("c_len"), F.size("r_ng").alias("r_len"),
                         c_txt.alias("c_txt"), r_txt.alias("r_txt"))
     per_pair = texts.select(
-        "image",
+        "unit",
         "c_len",
         "r_len",
         lcs_space_udf(F.col("c_txt"), F.col("r_txt")).alias("lcs"),
         F.size(space_tokens(F.col("c_txt"))).alias("c_tok"),
         F.size(space_tokens(F.col("r_txt"))).alias("r_tok"),
     )
-    return per_pair.groupBy("image").agg(
+    return per_pair.groupBy("unit").agg(
         F.count(F.lit(1)).alias("n_refs"),
         F.max("c_len").alias("c_len"),
         # MET-2: nearest reference length, ties to the shorter one.
@@ -131,27 +146,39 @@ def pair_stats(p: Paired) -> DataFrame:
     )
 
 
-def _cand_grams(p: Paired) -> DataFrame:
+def candidate_grams(p: Paired) -> DataFrame:
+    """NGR-1, candidate side: (preset, image, n, g, cnt)."""
     ng_tok, _ = tokenizers(p.mode)
-    toks = p.cand.select("image", ng_tok(F.col("caption")).alias("t")).withColumn("c_len", F.size("t"))
-    return ngram_counts(toks, "t", ["image", "c_len"], MAX_N)
+    toks = p.cand.select("preset", "image", ng_tok(F.col("caption")).alias("t"))
+    return ngram_counts(toks, "t", ["preset", "image"], MAX_N)
 
 
-def _ref_grams(p: Paired) -> DataFrame:
+def reference_grams(p: Paired) -> DataFrame:
+    """NGR-1, reference side: (preset, image, pos, n, g, cnt)."""
     ng_tok, _ = tokenizers(p.mode)
-    toks = p.pairs.select("image", "pos", ng_tok(F.col("caption")).alias("t")).withColumn("r_len", F.size("t"))
-    return ngram_counts(toks, "t", ["image", "pos", "r_len"], MAX_N)
+    toks = p.pairs.select("preset", "image", "pos", ng_tok(F.col("caption")).alias("t"))
+    return ngram_counts(toks, "t", ["preset", "image", "pos"], MAX_N)
+
 
+def _pair_grams(p: Paired) -> DataFrame:
+    """(unit, pos, ln_n, delta, n, h1, h2, cnt, cc): grams of each reference and their count in the candidate.
 
-def _ref_gram_max(ref_grams: DataFrame) -> DataFrame:
-    """Per (image, n, g): max count over references (BLEU clip) and #references."""
-    return ref_grams.groupBy("image", "n", "g").agg(
-        F.max("cnt").alias("mx"), F.count(F.lit(1)).alias("nref")
+    ``delta`` is the difference of the two captions' bigram counts.
+    """
+    ng_tok, _ = tokenizers(p.mode)
+    toks = _spread(p).select(
+        "unit", "pos", "ln_n", "preset", ng_tok(F.col("caption")).alias("r"), ng_tok(F.col("c_caption")).alias("c")
     )
+    bigrams = lambda t: F.greatest(F.size(t) - 1, F.lit(0))
+    toks = toks.withColumn("delta", bigrams("c") - bigrams("r"))
+    return paired_gram_counts(toks, "r", "c", ["unit", "pos", "ln_n", "delta"], MAX_N).where("cnt > 0")
 
 
-def _by_n(value: Column, k: int) -> Column:
-    return F.when(F.col("n") == k, value)
+def _candidate_keys(p: Paired) -> DataFrame:
+    """(unit, ln_n, n, h1, h2, cc) of the candidates alone."""
+    ng_tok, _ = tokenizers(p.mode)
+    toks = p.cand.select("unit", "ln_n", "preset", ng_tok(F.col("caption")).alias("t"))
+    return gram_keys(toks, "t", ["unit", "ln_n"], MAX_N).groupBy("unit", "ln_n", "n", "h1", "h2").agg(F.count(F.lit(1)).alias("cc"))
 
 
 def _guess(k: int) -> Column:
@@ -170,157 +197,70 @@ def bleu_columns(correct, guess, test_len: Column, ref_len: Column) -> list[Colu
     return out
 
 
-def gram_salts(ref_grams: DataFrame) -> DataFrame:
-    """Bounded table (n, g, ns) of hot grams and the number of salts each gets.
+def bleu_counts(grams: DataFrame) -> DataFrame:
+    """MET-1 step: clipped matches per unit (unit, correct_1..4) from ``_pair_grams`` rows."""
+    shared = grams.where(F.col("cc") > 0)
+    best = shared.groupBy("unit", "n", "h1", "h2").agg(F.max(F.least("cnt", "cc")).alias("clip"))
+    by_n = lambda k: F.coalesce(F.sum(F.when(F.col("n") == k, F.col("clip"))), F.lit(0))
+    return best.groupBy("unit").agg(*(by_n(k).alias(f"correct_{k}") for k in range(1, MAX_N + 1)))
 
-    A gram with more reference rows than ``captally.skew.hotKeyRows`` is
-    spread over ``ceil(rows / threshold)`` partitions by a hash of the image.
-    Only the top ``captally.skew.maxHotKeys`` grams are listed (the rest keep
-    one salt), so the table is bounded whatever the data.  The row counts are
-    a partial aggregation over (n, g) only.
-    """
-    spark = ref_grams.sparkSession
-    threshold = conf_int(spark, HOT_KEY_ROWS_CONF, DEFAULT_HOT_KEY_ROWS)
-    limit = conf_int(spark, HOT_KEY_LIMIT_CONF, DEFAULT_MAX_HOT_KEYS)
-    counts = ref_grams.groupBy("n", "g").agg(F.count(F.lit(1)).alias("n_rows"))
-    top = hot_keys(counts.withColumn("ns", F.ceil(F.col("n_rows") / threshold)), ["n", "g", "ns"], "n_rows", threshold, limit)
-    rows = top.collect()
-    schema = "n int, g string, ns long"
-    return spark.createDataFrame([(r.n, r.g, int(r.ns)) for r in rows], schema)
-
-
-def _salted(df: DataFrame, salts: DataFrame) -> DataFrame:
-    """Add ``s``: 0 for ordinary grams, hash(image) mod ns for hot grams."""
-    return (
-        df.join(F.broadcast(salts), ["n", "g"], "left")
-        .withColumn("s", F.pmod(F.xxhash64("image"), F.coalesce(F.col("ns"), F.lit(1))).cast("int"))
-        .drop("ns")
-    )
 
-
-GRAM_KEYS = ["n", "g", "s"]
-
-
-def gram_tables(p: Paired, cand_grams: DataFrame, ref_grams: DataFrame, keep=lambda d: d, parts: int | None = None):
-    """Per-gram statistics with one shuffle of the reference n-grams.
-
-    The reference grams are hash-partitioned on (n, g, salt) once; the per
-    (image, gram) maxima, the document frequency, the idf weights and the
-    candidate counts are then joined and aggregated inside those partitions.
-    Returns (ref_rows, image_grams, cand_rows): reference gram rows with idf
-    and candidate count, (image, n, g) maxima with candidate count, and the
-    candidate grams with idf.
-    """
-    spark = ref_grams.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    salts = gram_salts(ref_grams)
-    # Kept once: several branches read the shuffled grams with different
-    # column sets, which would otherwise re-run the shuffle for each.  A cached
-    # table keeps its hash partitioning, so the joins below stay local.
-    rs = keep(_salted(ref_grams, salts).repartition(parts, *GRAM_KEYS))
-    cs = _salted(cand_grams, salts).repartition(parts, *GRAM_KEYS).withColumnRenamed("cnt", "cc")
-    image_grams = keep(rs.groupBy(*GRAM_KEYS, "image").agg(F.max("cnt").alias("mx")))
-    dfreq = image_grams.groupBy(*GRAM_KEYS).agg(F.count(F.lit(1)).alias("df_part"))
-    dfreq = dfreq.groupBy("n", "g").agg(F.sum("df_part").alias("df"))
-    n_images = p.cand.agg(F.count(F.lit(1)).alias("n_images"))
-    log_n = F.log(F.col("n_images").cast("double"))
-    idf = dfreq.crossJoin(F.broadcast(n_images)).select(
-        "n", "g", (log_n - F.log(F.greatest(F.col("df"), F.lit(1)).cast("double"))).alias("idf")
-    )
-    # Hot grams get one idf row per salt (bounded by the salt table).
-    idf_s = (
-        idf.join(F.broadcast(salts), ["n", "g"], "left")
-        .withColumn("s", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("ns"), F.lit(1)).cast("int") - 1)))
-        .drop("ns")
-        .repartition(parts, *GRAM_KEYS)
-    )
-    keys = GRAM_KEYS + ["image"]
-    # Hash joins inside the co-partitioned stage: the build sides (idf, one row
-    # per gram and salt; candidate grams) are unique on their keys, so each
-    # partition's table is bounded, and the 13.5M-row probe side is never sorted.
-    ref_rows = rs.join(idf_s.hint("shuffle_hash"), GRAM_KEYS).join(
-        cs.select(*keys, "cc", "c_len").hint("shuffle_hash"), keys, "left"
-    )
-    image_grams = image_grams.join(cs.select(*keys, "cc").hint("shuffle_hash"), keys)
-    cand_rows = cs.join(idf_s, GRAM_KEYS, "left").crossJoin(F.broadcast(n_images)).select(
-        "image", "n", "cc", (F.col("cc") * F.coalesce(F.col("idf"), log_n)).alias("wc")
-    )
-    return ref_rows, image_grams, cand_rows
-
-
-def bleu_counts(image_grams: DataFrame) -> DataFrame:
-    """MET-1 step: clipped matches per image (image, correct_1..4)."""
-    clip = F.least(F.col("cc"), F.col("mx"))
-    return image_grams.groupBy("image").agg(
-        *[F.coalesce(F.sum(_by_n(clip, k)), F.lit(0)).alias(f"correct_{k}") for k in range(1, MAX_N + 1)]
-    )
-
-
-def cider_sums(ref_rows: DataFrame, cand_rows: DataFrame) -> DataFrame:
-    """MET-5 step: (image, pos, r_len, v) with v = sum over n of the per-n similarity.
+def cider_sums(grams: DataFrame, cand_keys: DataFrame) -> DataFrame:
+    """MET-5 step: (unit, cider_sum) with the similarities of all references added up.
 
     With one idf per gram, ``min(w_c, w_r) * w_r = idf^2 * min(c_c, c_r) * c_r``.
-    Two plain aggregations (per reference and n, then per reference) keep each
-    aggregate small enough for whole-stage code generation.
+    Sums over grams of one image are whole numbers times (ln N)^2; the others
+    come from the join with the document frequencies.
     """
-    cnt, idf = F.col("cnt"), F.col("idf")
-    # least() skips nulls: a gram the candidate lacks must count as 0.
-    shared = F.when(F.col("cc").isNotNull(), F.least(F.col("cc"), cnt)).otherwise(F.lit(0)) * cnt
-    per_n = ref_rows.groupBy("image", "pos", "n").agg(
-        F.max("r_len").alias("r_len"),
-        F.sum((cnt * idf) * (cnt * idf)).alias("nr2"),
-        F.sum(idf * idf * shared).alias("num"),
+    weights = idf_of_shared_grams(grams)
+    cnt, both = F.col("cnt"), F.least("cnt", "cc") * F.col("cnt")
+    square = F.col("idf") * F.col("idf")
+    all_grams = grams.groupBy("unit", "pos", "n").agg(
+        F.max("ln_n").alias("ln_n"), F.max("delta").alias("delta"), F.sum(cnt * cnt).alias("rr"), F.sum(both).alias("cr")
     )
-    cand_norm = cand_rows.groupBy("image", "n").agg(F.sqrt(F.sum(F.col("wc") * F.col("wc"))).alias("nc"))
-    val = F.when(F.col("num") > 0, F.col("num") / (F.col("nc") * F.sqrt(F.col("nr2")))).otherwise(F.lit(0.0))
-    return (
-        per_n.join(cand_norm, ["image", "n"], "left")
-        .groupBy("image", "pos")
-        .agg(F.max("r_len").alias("r_len"), F.sum(val).alias("v"))
+    known = grams.join(weights, ["h1", "h2"])
+    known = known.groupBy("unit", "pos", "n").agg(
+        F.sum(cnt * cnt).alias("rr_known"), F.sum(both).alias("cr_known"), F.sum(square * cnt * cnt).alias("rr_idf"), F.sum(square * both).alias("cr_idf")
     )
+    cc = F.col("cc")
+    idf = F.coalesce("idf", "ln_n")
+    cand_norm = cand_keys.join(weights, ["h1", "h2"], "left").groupBy("unit", "n").agg(F.sqrt(F.sum(cc * cc * idf * idf)).alias("nc"))
+    per_n = all_grams.join(known, ["unit", "pos", "n"], "left").join(cand_norm, ["unit", "n"], "left")
+    zero = F.lit(0)
+    single = F.col("ln_n") * F.col("ln_n")
+    nr2 = (F.col("rr") - F.coalesce("rr_known", zero)) * single + F.coalesce("rr_idf", F.lit(0.0))
+    num = (F.col("cr") - F.coalesce("cr_known", zero)) * single + F.coalesce("cr_idf", F.lit(0.0))
+    similarity = F.when(num > 0, num / (F.col("nc") * F.sqrt(nr2))).otherwise(F.lit(0.0))
+    per_ref = per_n.groupBy("unit", "pos").agg(F.sum(similarity).alias("v"), F.max("delta").alias("delta"))
+    penalty = F.exp(-(F.col("delta") * F.col("delta")) / (2 * CIDER_SIGMA * CIDER_SIGMA))
+    return per_ref.groupBy("unit").agg(F.sum(F.col("v") / MAX_N * penalty).alias("cider_sum"))
+
+
+def idf_of_shared_grams(grams: DataFrame) -> DataFrame:
+    """(h1, h2, idf) of the grams that occur in the references of two or more images."""
+    seen = document_frequency(grams, ["h1", "h2"], "unit", {"ln_n": F.max("ln_n")})
+    return seen.where(F.col("df") > 1).select("h1", "h2", (F.col("ln_n") - F.log(F.col("df").cast("double"))).alias("idf"))
+
+
+def image_scores(p: Paired) -> DataFrame:
+    """Per preset and image: raw counts plus bleu_1..4, rouge_l, cider; written once to the checkpoint folder.
+
+    The pairs' grams are written once, as fixed-width rows, and read by the
+    three steps that need them.
+    """
+    return cut(image_scores_plan(p, cut(_pair_grams(p), "pair_grams")), "image_scores")
 
 
-def image_scores(p: Paired, materialize: bool = True) -> DataFrame:
-    """Per-image table: raw counts plus bleu_1..4, rouge_l, cider.
-
-    Runs as one job whose result is written to the checkpoint folder
-    (``materialize=False`` returns the lazy plan instead).  The gram joins are
-    co-partitioned on a subset of their keys, which the session must allow
-    while the job runs (``spark.sql.requireAllClusterKeysForCoPartition``).
-    """
-    spark = p.cand.sparkSession
-    scratch = Scratch()
-    keep = scratch.keep if materialize else (lambda d, **_: d)
-    p = Paired(cand=p.cand, pairs=keep(p.pairs), ref_counts=p.ref_counts, mode=p.mode)
-    parts = None
-    if materialize:
-        # Size the gram stage to the data: about GRAMS_PER_PARTITION n-gram rows
-        # per partition (~4 per reference token, ~10 tokens per reference),
-        # between the default parallelism and spark.sql.shuffle.partitions.
-        n_pairs = p.pairs.count()
-        cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        floor_ = min(spark.sparkContext.defaultParallelism, cap)
-        parts = max(floor_, min(cap, -(-n_pairs * 40 // GRAMS_PER_PARTITION)))
-    stats = pair_stats(p)
-    cand_grams = _cand_grams(p)
-    ref_grams = keep(_ref_grams(p))
-    ref_rows, image_grams, cand_rows = gram_tables(
-        p, cand_grams, ref_grams, keep=(lambda d: scratch.keep(d, eager=True)) if materialize else (lambda d: d),
-        parts=parts,
-    )
-    correct = bleu_counts(image_grams)
-    vals = cider_sums(ref_rows, cand_rows)
-    # Per-reference CIDEr needs both lengths (bigram-count penalty).
-    cand_len = p.cand.select("image", F.size(tokenizers(p.mode)[0](F.col("caption"))).alias("c_len"))
-    delta = F.greatest(F.col("c_len") - 1, F.lit(0)) - F.greatest(F.col("r_len") - 1, F.lit(0))
-    penalty = F.exp(-(delta * delta) / (2 * CIDER_SIGMA * CIDER_SIGMA))
-    cider = (
-        vals.join(cand_len, "image")
-        .groupBy("image")
-        .agg(F.sum(F.col("v") / MAX_N * penalty).alias("cider_sum"))
+def image_scores_plan(p: Paired, grams: DataFrame) -> DataFrame:
+    """The lazy plan of ``image_scores`` over the pairs' grams."""
+    units = p.cand.select("unit", "preset", "image")
+    joined = (
+        units.join(pair_stats(p), "unit")
+        .join(bleu_counts(grams), "unit", "left")
+        .join(cider_sums(grams, _candidate_keys(p)), "unit", "left")
     )
-    joined = stats.join(correct, "image", "left").join(cider, "image", "left")
     joined = joined.select(
+        "preset",
         "image",
         "n_refs",
         "c_len",
@@ -334,25 +274,12 @@ def image_scores(p: Paired, materialize: bool = True) -> DataFrame:
     b2 = ROUGE_BETA * ROUGE_BETA
     pm, rm = F.col("prec_max"), F.col("rec_max")
     rouge = F.when((pm != 0) & (rm != 0), (1 + b2) * pm * rm / (rm + b2 * pm)).otherwise(F.lit(0.0))
-    result = joined.select(
+    return joined.select(
         "*",
         *bleu_columns(lambda k: F.col(f"correct_{k}"), lambda k: F.col(f"guess_{k}"), F.col("c_len"), F.col("closest_len")),
         rouge.alias("rouge_l"),
         (F.col("cider_sum") / F.col("n_refs") * 10.0).alias("cider"),
     )
-    if not materialize:
-        return result
-    key = "spark.sql.requireAllClusterKeysForCoPartition"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "false")
-    try:
-        return cut(result, "image_scores")
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
-        scratch.release()
 
 
 def per_image_scores(preds: DataFrame, refs: DataFrame, tokenizer: str = "whitespace") -> DataFrame:
@@ -363,21 +290,21 @@ def per_image_scores(preds: DataFrame, refs: DataFrame, tokenizer: str = "whites
 
 
 def corpus_scores(per_image: DataFrame) -> DataFrame:
-    """MET-7: corpus scores as (metric, score) rows from ``image_scores`` output.
+    """MET-7: corpus scores as (preset, metric, score) rows from ``image_scores`` output.
 
     BLEU sums counts over the corpus first; ROUGE-L and CIDEr are means of
     the per-image scores.  No rows in -> no rows out (Q12).
     """
-    totals = per_image.agg(
-        F.count(F.lit(1)).alias("n_images"),
+    totals = per_image.groupBy("preset").agg(
         F.sum("c_len").alias("c_len"),
         F.sum("closest_len").alias("closest_len"),
         *[F.sum(f"correct_{k}").alias(f"correct_{k}") for k in range(1, MAX_N + 1)],
         *[F.sum(f"guess_{k}").alias(f"guess_{k}") for k in range(1, MAX_N + 1)],
         F.avg("rouge_l").alias("rouge_l"),
         F.avg("cider").alias("cider"),
-    ).where(F.col("n_images") > 0)
+    )
     scored = totals.select(
+        "preset",
         *bleu_columns(
             lambda k: F.col(f"correct_{k}").cast("double"),
             lambda k: F.col(f"guess_{k}").cast("double"),
@@ -390,23 +317,22 @@ def corpus_scores(per_image: DataFrame) -> DataFrame:
     stacked = ", ".join(
         f"'{name}', {col}" for name, col in zip(METRIC_NAMES, ["bleu_1", "bleu_2", "bleu_3", "bleu_4", "rouge_l", "cider"])
     )
-    return scored.selectExpr(f"stack({len(METRIC_NAMES)}, {stacked}) as (metric, score)")
+    return scored.selectExpr("preset", f"stack({len(METRIC_NAMES)}, {stacked}) as (metric, score)")
 
 
 def caption_scores(preds: DataFrame, refs: DataFrame, tokenizer: str = "whitespace") -> DataFrame:
-    """MET-7: all corpus metrics as (metric, score)."""
-    return corpus_scores(image_scores(pair(preds, refs, tokenizer)))
-
-
-def bleu_corpus(preds: DataFrame, refs: DataFrame, tokenizer: str = "whitespace") -> DataFrame:
-    return caption_scores(preds, refs, tokenizer).where(F.col("metric").startswith("Bleu_"))
+    """MET-7: all corpus metrics as (metric, score), with a preset column if the predictions have one."""
+    scores = corpus_scores(image_scores(pair(preds, refs, tokenizer)))
+    return scores if "preset" in preds.columns else scores.drop("preset")
 
 
 def coverage(preds: DataFrame, refs: DataFrame) -> DataFrame:
-    """Scored images, predictions with no reference, images with references but no prediction."""
-    ref_images = refs.select("image").distinct()
-    pred_images = preds.select("image").distinct()
-    scored = pred_images.join(ref_images, "image", "left_semi").agg(F.count(F.lit(1)).alias("scored_images"))
-    unreferenced = pred_images.join(ref_images, "image", "left_anti").agg(F.count(F.lit(1)).alias("unreferenced_predictions"))
-    unpredicted = ref_images.join(pred_images, "image", "left_anti").agg(F.count(F.lit(1)).alias("unpredicted_images"))
-    return scored.crossJoin(unreferenced).crossJoin(unpredicted)
+    """MET-7: scored images, predictions without reference, images with references but no prediction (one join)."""
+    ref_images = refs.select("image", F.lit(1).alias("r")).distinct()
+    pred_images = preds.select("image", F.lit(1).alias("p")).distinct()
+    has_r, has_p = F.col("r").isNotNull(), F.col("p").isNotNull()
+    return pred_images.join(ref_images, "image", "full_outer").agg(
+        F.count_if(has_r & has_p).alias("scored_images"),
+        F.count_if(has_p & ~has_r).alias("unreferenced_predictions"),
+        F.count_if(has_r & ~has_p).alias("unpredicted_images"),
+    )

@@ -70,7 +70,7 @@ def image_ordinal(images: DataFrame, by: str | None = "split") -> DataFrame:
         return ordinals(images, ["image"], "ordinal")
     ranked = ordinals(images, [by, "image"], "_g")
     starts = ranked.groupBy(by).agg(F.min("_g").alias("_start"))
-    return ranked.join(F.broadcast(starts), by).withColumn("ordinal", F.col("_g") - F.col("_start")).drop("_g", "_start")
+    return ranked.join(starts, by).withColumn("ordinal", F.col("_g") - F.col("_start")).drop("_g", "_start")
 
 
 def annotation_ids(refs: DataFrame) -> DataFrame:
@@ -88,10 +88,11 @@ def slice_images(images: DataFrame, lo: int, hi: int | None) -> DataFrame:
 
 
 def at_positions(df: DataFrame, positions: Sequence[int], ordinal: str = "ordinal") -> DataFrame:
-    """JN-4: rows whose ``ordinal`` is in ``positions``, with ``slot`` = request order.
+    """JN-4: one row per requested position, in request order (``slot``).
 
-    Positions past the end are absent from the result.
+    ``found`` is false, and the other columns null, for a position past the end.
     """
     spark = df.sparkSession
     wanted = spark.createDataFrame([(int(p), i) for i, p in enumerate(positions)], f"{ordinal} long, slot int")
-    return df.join(F.broadcast(wanted), ordinal).orderBy("slot")
+    there = df.join(F.broadcast(wanted.select(ordinal).distinct()), ordinal, "left_semi").withColumn("found", F.lit(True))
+    return wanted.join(there, ordinal, "left").withColumn("found", F.coalesce("found", F.lit(False))).orderBy("slot")

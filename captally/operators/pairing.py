@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from captally.operators.ordinals import ordinals
 from captally.operators.skew import skew_join
 
-# Captions per grouped row: a group never exceeds this many captions, so an
-# image with millions of captions becomes many bounded rows, not one.
+# Captions per grouped row.  The output key is (image, chunk): an image with
+# millions of captions becomes many bounded rows, not one.
 GROUP_CHUNK = 64
 
 
@@ -47,17 +47,23 @@ def unique_images(df: DataFrame) -> DataFrame:
     return df.select("image").distinct()
 
 
-def latest_prediction(attempts: DataFrame, order: str = "pos") -> DataFrame:
+def latest_prediction(attempts: DataFrame, order: str = "pos", keys: Sequence[str] = ("image",)) -> DataFrame:
     """AGG-3: keyed upsert, last write wins: (image, caption, attempts).
 
     ``max_by`` is a partial aggregate, so an image with many attempts is
     combined map-side.
     """
-    return attempts.groupBy("image").agg(
+    return attempts.groupBy(*keys).agg(
         F.max_by("caption", order).alias("caption"), F.count(F.lit(1)).alias("attempts")
     )
 
 
+def duplicate_predictions(preds: DataFrame, keys: Sequence[str] = ("image",)) -> DataFrame:
+    """(keys..., n_predictions) of the images with more than one prediction."""
+    counted = preds.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_predictions"))
+    return counted.where(F.col("n_predictions") > 1)
+
+
 def explode_annotations(grouped: DataFrame, refs: str = "refs") -> DataFrame:
     """AGG-4: (image, refs array) -> one row per (image, pos, caption)."""
     return grouped.select("image", F.posexplode(refs).alias("pos", "caption"))
@@ -71,8 +77,7 @@ def first_caption(refs) -> Column:
 def references_for(refs: DataFrame, preds: DataFrame) -> DataFrame:
     """JN-2: references of the predicted images (hot images joined map-side)."""
     keys = preds.select("image").distinct()
-    counts = refs.groupBy("image").agg(F.count(F.lit(1)).alias("n_rows"))
-    return skew_join(refs, keys, ["image"], "left_semi", key_counts=counts)
+    return skew_join(refs, keys, ["image"], "left_semi")
 
 
 def unknown_prediction_ids(preds: DataFrame, refs: DataFrame, key: str = "image_id") -> DataFrame:
@@ -80,11 +85,24 @@ def unknown_prediction_ids(preds: DataFrame, refs: DataFrame, key: str = "image_
     return preds.join(refs.select(key).distinct(), key, "left_anti")
 
 
-def check_prediction_ids(preds: DataFrame, refs: DataFrame, key: str = "image_id", show: int = 10) -> None:
-    """JN-5: raise if any prediction id is unknown (lists at most ``show``)."""
-    bad = [r[key] for r in unknown_prediction_ids(preds, refs, key).select(key).limit(show).collect()]
-    if bad:
-        raise ValueError(f"predictions reference unknown {key} values, e.g. {bad}")
+def check_prediction_ids(preds: DataFrame, refs: DataFrame, key: str = "image_id") -> None:
+    """JN-5: raise if any prediction id is unknown; ``unknown_prediction_ids`` is the full list."""
+    n = unknown_prediction_ids(preds, refs, key).count()
+    if n:
+        raise ValueError(f"{n} prediction(s) have a {key} that the references lack")
+
+
+def id_collisions(images: DataFrame, key: str = "image_id") -> DataFrame:
+    """ID-1 (Q8): ids that stand for more than one image, as (key, n_images)."""
+    once = images.select(key, "image").distinct()
+    return once.groupBy(key).agg(F.count(F.lit(1)).alias("n_images")).where(F.col("n_images") > 1)
+
+
+def check_id_collisions(images: DataFrame, key: str = "image_id") -> None:
+    """Raise if two images share an id: scoring by id would merge them."""
+    n = id_collisions(images, key).count()
+    if n:
+        raise ValueError(f"{n} {key} value(s) stand for more than one image")
 
 
 def existing_images(df: DataFrame, listing: DataFrame) -> DataFrame:

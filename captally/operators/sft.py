@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from captally.functions.tokens import whitespace_tokens
 from captally.operators.ordinals import ordinals
+from captally.operators.pairing import drop_bad_samples
 from captally.operators.skew import skew_join
 
 # Reserved ids, label mask value and the schedule defaults.
@@ -33,26 +34,29 @@ def build_vocab(texts: DataFrame, text: str = "caption", offset: int = VOCAB_OFF
     return ordinals(toks, ["token"], "ordinal").select("token", (F.col("ordinal") + offset).cast("int").alias("id"))
 
 
-def encode(df: DataFrame, text: str, vocab: DataFrame, keys: Sequence[str], bos: bool = True) -> DataFrame:
+def encode(
+    df: DataFrame, text: str, vocab: DataFrame, keys: Sequence[str], bos: bool = True, max_tokens: int | None = None
+) -> DataFrame:
     """SFT-1: (keys..., ids array<int>) -- token ids in text order, unknown -> 0.
 
     ``keys`` must identify a row.  Tokens are joined to the vocabulary with
-    ``skew_join`` (a frequent token is joined map-side) and gathered back per
-    text; one text is one row, so the gather is bounded by the text.
+    ``skew_join`` (a frequent token is dealt over many tasks) and gathered back
+    per text.  With ``max_tokens`` only that many tokens of a text are looked
+    up: what a fixed-length example has room for.
     """
     keys = list(keys)
-    toks = df.select(*keys, F.posexplode(whitespace_tokens(F.col(text))).alias("p", "token"))
+    tokens = whitespace_tokens(F.col(text))
+    if max_tokens is not None:
+        tokens = F.slice(tokens, 1, max_tokens)
+    # An empty text stays as one row without a token.
+    toks = df.select(*keys, F.posexplode_outer(tokens).alias("p", "token"))
     ided = skew_join(toks, vocab.select("token", "id"), ["token"], "left")
-    gathered = ided.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct("p", F.coalesce("id", F.lit(UNK_ID)).alias("id")))).alias("_t")
-    )
+    at = F.when(F.col("p").isNotNull(), F.struct("p", F.coalesce("id", F.lit(UNK_ID)).alias("id")))
+    gathered = ided.groupBy(*keys).agg(F.sort_array(F.collect_list(at)).alias("_t"))
     ids = F.transform("_t", lambda s: s["id"])
-    out = gathered.select(*keys, (F.concat(F.array(F.lit(BOS_ID)), ids) if bos else ids).alias("ids"))
-    # Texts with no token at all still get a row.
-    empty = df.select(*keys).join(out.select(*keys), keys, "left_anti").select(
-        *keys, F.array(*([F.lit(BOS_ID)] if bos else [])).cast("array<int>").alias("ids")
-    )
-    return out.unionByName(empty)
+    if bos:
+        ids = F.concat(F.array(F.lit(BOS_ID)), ids)
+    return gathered.select(*keys, ids.alias("ids"))
 
 
 def truncate_pad(ids: Column, max_len: int = MAX_LEN, pad: int = PAD_ID) -> Column:
@@ -72,17 +76,23 @@ def concat_prompt(prompt_ids: Column, caption_ids: Column) -> Column:
     return F.concat(prompt_ids, caption_ids)
 
 
-def mask_labels(ids: Column, n_prompt: Column, pad: int = PAD_ID, ignore: int = IGNORE_INDEX) -> Column:
+def mask_labels(
+    ids: Column, n_prompt: Column, mask: Column | None = None, mask_eos: bool = True, pad: int = PAD_ID, ignore: int = IGNORE_INDEX
+) -> Column:
     """SFT-4: prompt positions and padding positions -> ``ignore``.
 
-    As in the reference, padding equals the end id, so the true end token is
-    masked too (Q16).
+    Padding equals the end id.  With ``mask_eos`` (as in the reference, Q16)
+    every such id is masked, the true end token too; without it only the
+    positions that ``mask`` marks 0 are, and the end token is learned.
     """
-    return F.transform(ids, lambda x, i: F.when((i < n_prompt) | (x == pad), F.lit(ignore)).otherwise(x))
+    if mask_eos or mask is None:
+        return F.transform(ids, lambda x, i: F.when((i < n_prompt) | (x == pad), F.lit(ignore)).otherwise(x))
+    marked = F.arrays_zip(ids.alias("x"), mask.alias("m"))
+    return F.transform(marked, lambda z, i: F.when((i < n_prompt) | (z["m"] == 0), F.lit(ignore)).otherwise(z["x"]))
 
 
 def training_examples(
-    captions: DataFrame, prompt: str, vocab: DataFrame, max_len: int = MAX_LEN, key: str = "image"
+    captions: DataFrame, prompt: str, vocab: DataFrame, max_len: int = MAX_LEN, key: str = "image", mask_eos: bool = True
 ) -> DataFrame:
     """SFT-5: (image, input_ids, attention_mask, labels) from (image, caption).
 
@@ -92,29 +102,31 @@ def training_examples(
     """
     spark = captions.sparkSession
     prompt_df = spark.createDataFrame([(0, prompt)], "k int, caption string")
-    prompt_ids = encode(prompt_df, "caption", vocab, ["k"]).select(F.col("ids").alias("prompt_ids"))
-    cap = encode(captions, "caption", vocab, [key]).select(
+    # The prompt is one short text given by the caller: its ids are a literal.
+    prompt_ids = encode(prompt_df, "caption", vocab, ["k"]).first()["ids"]
+    n_prompt = F.lit(len(prompt_ids))
+    cap = encode(captions, "caption", vocab, [key], max_tokens=max_len).select(
         key, F.concat("ids", F.array(F.lit(EOS_ID))).alias("cap")
     )
-    both = cap.crossJoin(F.broadcast(prompt_ids))
-    input_ids = concat_prompt(F.col("prompt_ids"), truncate_pad(F.col("cap"), max_len))
-    mask = F.concat(F.array_repeat(F.lit(1), F.size("prompt_ids")), caption_mask(F.col("cap"), max_len))
-    return both.select(
+    both = cap.select(
         key,
-        input_ids.alias("input_ids"),
-        mask.alias("attention_mask"),
-        mask_labels(input_ids, F.size("prompt_ids")).alias("labels"),
+        concat_prompt(F.array(*map(F.lit, prompt_ids)), truncate_pad(F.col("cap"), max_len)).alias("input_ids"),
+        F.concat(F.array_repeat(F.lit(1), n_prompt), caption_mask(F.col("cap"), max_len)).alias("attention_mask"),
     )
+    labels = mask_labels(F.col("input_ids"), n_prompt, F.col("attention_mask"), mask_eos)
+    return both.select(key, "input_ids", "attention_mask", labels.alias("labels"))
 
 
 def assemble_batches(examples: DataFrame, size: int = BATCH_SIZE, key: str = "image") -> DataFrame:
     """SFT-6: drop failed samples, then fixed-size batches in key order.
 
     (batch_id, n_examples, keys array) -- batch ids come from dense
-    ordinals, so each group holds at most ``size`` rows.
+    ordinals, so each group holds at most ``size`` rows.  Failed samples go
+    first and batches are filled without them; the reference drops them from a
+    batch already formed, which only makes that batch smaller.
     """
     if "status" in examples.columns:
-        examples = examples.where(F.col("status") == "ok")
+        examples = drop_bad_samples(examples)
     ranked = ordinals(examples.select(key), [key], "ordinal")
     return ranked.groupBy(F.floor(F.col("ordinal") / size).alias("batch_id")).agg(
         F.count(F.lit(1)).alias("n_examples"),
@@ -127,7 +139,8 @@ def step_plan(
 ) -> DataFrame:
     """SFT-7: optimiser steps implied by the schedule, as one aggregate row.
 
-    batches = ceil(n / batch); steps per epoch = max(floor(batches / accum), 1).
+    batches = ceil(n / batch); steps per epoch = max(floor(batches / accum), 1):
+    the pinned public trainer counts whole accumulation rounds per epoch.
     """
     n = F.count(F.lit(1))
     batches = F.ceil(n / F.lit(batch))

@@ -1,21 +1,19 @@
 """Hot-key aware equi-join.
 
 A join key that holds a large share of one side (one image with millions of
-references, one n-gram such as ``a`` present in every caption) would land in
-a single shuffle partition.  ``skew_join`` splits the join in two:
+references, one token such as ``a`` present in every caption) would land in
+a single shuffle partition.  ``skew_join`` deals such keys out:
 
-* hot keys -- keys whose row count on the big side is above
-  ``captally.skew.hotKeyRows`` -- are joined map-side against a broadcast of
-  the matching rows of the small side.  At most ``captally.skew.maxHotKeys``
-  keys are taken (top-k by count), and the small side must be unique on the
-  join keys, so the broadcast is bounded by that limit, whatever the data;
+* a key is hot if it has more than ``captally.skew.hotKeyRows`` rows *and*
+  more than one part in ``FAIR_SHARES`` of all rows; so there are at most
+  ``FAIR_SHARES`` hot keys, by arithmetic and without a cut-off, and any other
+  key is no larger than a fair share of the work;
+* rows of hot keys get a salt from a hash of the row, and the matching rows of
+  the other side are repeated once per salt;
 * every other key takes the ordinary shuffle join.
 
-Keys beyond the top-k limit simply stay on the shuffle path, so the result is
-always complete; the split only changes where the work runs.  The hot-key list
-is computed first and is bounded by the top-k limit; when it is empty the
-join is planned as a plain join.  AQE's skew-join handling stays enabled as
-a second line.
+With no hot key this is a plain join.  AQE's skew-join handling stays enabled
+as a second line.
 """
 
 from __future__ import annotations
@@ -25,20 +23,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from captally.session import HOT_KEY_LIMIT_CONF, HOT_KEY_ROWS_CONF, conf_int
+from captally.session import HOT_KEY_ROWS_CONF, conf_int
 
 DEFAULT_HOT_KEY_ROWS = 1_000_000
-DEFAULT_MAX_HOT_KEYS = 10_000
+FAIR_SHARES = 10_000
+SALTS = 64
 
 
-def hot_keys(key_counts: DataFrame, on: Sequence[str], count_col: str, threshold: int, limit: int) -> DataFrame:
-    """Top-``limit`` keys whose count is above ``threshold`` (bounded size)."""
-    return (
-        key_counts.where(F.col(count_col) > threshold)
-        .orderBy(F.col(count_col).desc(), *on)
-        .limit(limit)
-        .select(*on)
-    )
+def hot_keys(big: DataFrame, on: Sequence[str], threshold: int) -> list:
+    """Rows of the keys that hold more than ``threshold`` rows and more than a fair share; at most FAIR_SHARES."""
+    counts = big.groupBy(*on).agg(F.count(F.lit(1)).alias("n_rows"))
+    total = F.sum("n_rows").alias("total")
+    rows = counts.agg(total, F.max("n_rows").alias("most")).first()
+    least = max(threshold, (rows["total"] or 0) // FAIR_SHARES)
+    if not rows["most"] or rows["most"] <= least:
+        return []
+    return counts.where(F.col("n_rows") > least).select(*on).collect()
 
 
 def skew_join(
@@ -46,32 +46,22 @@ def skew_join(
     small: DataFrame,
     on: Sequence[str],
     how: str = "inner",
-    key_counts: DataFrame | None = None,
-    count_col: str = "n_rows",
     threshold: int | None = None,
-    max_hot: int | None = None,
 ) -> DataFrame:
-    """``big.join(small, on, how)`` with hot keys of ``big`` joined map-side.
+    """``big.join(small, on, how)`` with the hot keys of ``big`` dealt over ``SALTS`` tasks each.
 
-    ``small`` must be unique on ``on``.  ``key_counts`` (keys + ``count_col``)
-    is the number of ``big`` rows per key; when absent it is computed with a
-    partial aggregation over ``big``'s key columns only.  The hot keys are
-    found first (a top-k query, at most ``max_hot`` rows reach the driver);
-    with none, this is a plain join and the plan carries no extra branch.
     ``how`` is one of inner, left, left_semi, left_anti.
     """
     on = list(on)
     spark = big.sparkSession
     threshold = threshold if threshold is not None else conf_int(spark, HOT_KEY_ROWS_CONF, DEFAULT_HOT_KEY_ROWS)
-    max_hot = max_hot if max_hot is not None else conf_int(spark, HOT_KEY_LIMIT_CONF, DEFAULT_MAX_HOT_KEYS)
-    if key_counts is None:
-        key_counts = big.groupBy(*on).agg(F.count(F.lit(1)).alias(count_col))
-    top = hot_keys(key_counts, on, count_col, threshold, max_hot)
-    found = top.collect()
+    found = hot_keys(big, on, threshold)
     if not found:
         return big.join(small, on, how)
-    hot = F.broadcast(spark.createDataFrame(found, top.schema))
-    small_hot = F.broadcast(small.join(hot, on, "left_semi"))
-    hot_part = big.join(hot, on, "left_semi").join(small_hot, on, how)
+    hot = F.broadcast(spark.createDataFrame(found, big.select(*on).schema))
+    salt = F.pmod(F.xxhash64(*big.columns), F.lit(SALTS)).cast("int")
+    hot_big = big.join(hot, on, "left_semi").withColumn("_salt", salt)
+    hot_small = small.join(hot, on, "left_semi").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    hot_part = hot_big.join(hot_small, [*on, "_salt"], how).drop("_salt")
     cold_part = big.join(hot, on, "left_anti").join(small, on, how)
     return hot_part.unionByName(cold_part)

@@ -2,8 +2,8 @@
 
 They are the correctness oracle: the driver runs each one on the same
 parquet tables and compares row count, schema and values with the Spark
-result.  Queries that run a Python captioner or write files have no entry
-here, except where the captioner's rule can be stated in SQL.
+result.  The stand-in captioner's rule and the fixture's files are stated in
+SQL too, so every query has an entry.
 """
 
 from __future__ import annotations
@@ -53,12 +53,12 @@ docs AS (
   FROM documents),
 arr AS (
   SELECT doc_id, 'img' || lpad(CAST(doc_id AS VARCHAR), 8, '0') || '.jpg' AS image, sents
-  FROM docs WHERE len(sents) >= 2),
+  FROM docs WHERE len(sents) >= 1),
 refs AS (SELECT image, unnest(range(len(sents))) AS pos, unnest(sents) AS caption FROM arr),
 raw AS (
   SELECT image, doc_id, sents,
          ' ' || array_to_string(list_filter(string_split(sents[1], ' '), lambda t, i: (i - 1) % 5 <> 4), ' ')
-         || '. ' || sents[2] || '. ' AS raw
+         || '. ' || coalesce(sents[2], '') || '. ' AS raw
   FROM arr)
 """
 
@@ -209,7 +209,13 @@ def _caption_metrics() -> str:
     return _with(DOCS, PREDS, _caption_ctes(), CORPUS)
 
 
-R6 = "round({0}, 6) AS {1}"
+# Status of each document's image file, by its labels (fixtures.image_status).
+STATUS = """
+st AS (
+  SELECT 'img' || lpad(CAST(d.doc_id AS VARCHAR), 8, '0') || '.jpg' AS image, d.text,
+         CASE WHEN l.quality = 0 THEN 'missing' WHEN l.toxic = 1 THEN 'error' ELSE 'ok' END AS status
+  FROM documents d LEFT JOIN labels l USING (doc_id))
+"""
 
 ORACLES: dict[str, str] = {
     "captions_grouped": _with(DOCS) + """
@@ -221,6 +227,44 @@ SELECT image, sents[1] AS first_caption, CAST(len(sents) AS BIGINT) AS n_refs FR
     "positional_split_counts": _with(DOCS, POSITIONAL) + """
 SELECT l.split, count(DISTINCT l.image) AS n_images, count(*) AS n_captions
 FROM plabels l JOIN refs r USING (image) GROUP BY l.split""",
+    "test_split_captions": _with(DOCS, POSITIONAL) + """
+SELECT r.image, r.pos, r.caption FROM refs r JOIN plabels l USING (image) WHERE l.split = 'test'""",
+    "unique_images": _with(DOCS) + """
+SELECT DISTINCT image FROM refs""",
+    "image_slice": _with(DOCS, POSITIONAL) + """
+SELECT image, ordinal FROM ranked
+WHERE ordinal >= (SELECT n // 10 FROM nimgs) AND ordinal < (SELECT n // 5 FROM nimgs)""",
+    "caption_token_file": _with(DOCS) + """
+SELECT image, pos, caption FROM refs""",
+    "split_manifest_file": _with(DOCS, MANIFEST) + """
+SELECT image AS filename, split, array_to_string(sents, chr(10)) AS refs, CAST(len(sents) AS BIGINT) AS n_refs FROM man""",
+    "caption_csv": _with(DOCS) + """
+SELECT image, count(*) AS n_captions, CAST(sum(length(caption)) AS BIGINT) AS n_chars FROM refs GROUP BY image""",
+    "json_captions": _with(DOCS, PREDS) + """
+SELECT image, CAST(to_json({'image': image, 'captions': [caption || '</s>']}) AS VARCHAR) AS json FROM preds""",
+    "image_listing": _with(STATUS) + """
+SELECT image, CASE WHEN status = 'ok' THEN 5 ELSE strlen(text) + 1 END AS length FROM st WHERE status <> 'missing'""",
+    "image_validity": _with(STATUS) + """
+SELECT image, status = 'ok' AS ok, CASE WHEN status = 'ok' THEN 8 ELSE -1 END AS width,
+       CASE WHEN status = 'ok' THEN 1 ELSE -1 END AS height FROM st WHERE status <> 'missing'""",
+    "image_presence": _with(STATUS) + """
+SELECT image, status <> 'missing' AS present FROM st""",
+    "duplicate_predictions": _with(DOCS) + """
+SELECT image, 2 AS n_predictions FROM arr WHERE len(sents) % 2 = 0""",
+    "prediction_id_check": _with(DOCS, STATUS) + """,
+known AS (SELECT a.image, s.status <> 'missing' AS k FROM arr a JOIN st s USING (image))
+SELECT 'predictions' AS figure, count(*) AS n FROM known
+UNION ALL SELECT 'unknown_ids', count(*) FROM known WHERE NOT k
+UNION ALL SELECT 'id_collisions', count(*) FROM (
+  SELECT substr(sha256(image), 1, 13) AS id FROM known GROUP BY id HAVING count(DISTINCT image) > 1)""",
+    "score_coverage": _with(DOCS, STATUS) + """,
+ok AS (SELECT 'img' || lpad(CAST(doc_id AS VARCHAR), 8, '0') || '.jpg' AS image FROM labels
+       WHERE quality = 1 AND toxic = 0),
+sides AS (SELECT a.image, a.image IN (SELECT image FROM ok) AS p, s.status <> 'missing' AS r FROM arr a JOIN st s USING (image))
+SELECT count(*) FILTER (p AND r) AS scored_images, count(*) FILTER (p AND NOT r) AS unreferenced_predictions,
+       count(*) FILTER (r AND NOT p) AS unpredicted_images FROM sides""",
+    "failed_images": _with(STATUS) + """
+SELECT image, status FROM st WHERE status <> 'ok'""",
     "manifest_split_rows": _with(DOCS, MANIFEST) + """
 SELECT image, split, CAST(len(sents) AS BIGINT) AS n_refs FROM man WHERE split = 'test'""",
     "image_ordinals": _with(DOCS, POSITIONAL) + """
@@ -249,9 +293,9 @@ ok AS (SELECT 'img' || lpad(CAST(doc_id AS VARCHAR), 8, '0') || '.jpg' AS image
        WHERE quality = 1 AND toxic = 0)
 SELECT image, pos, caption FROM refs
 WHERE image IN (SELECT image FROM preds WHERE image IN (SELECT image FROM ok))""",
-    "unknown_prediction_ids": _with(DOCS, MANIFEST) + """
-SELECT CAST(('0x' || substr(sha256(image), 1, 13)) AS BIGINT) AS image_id, image FROM man
-WHERE len(sents) >= 1 AND image NOT IN (SELECT image FROM refs)""",
+    "unknown_prediction_ids": _with(DOCS, STATUS) + """
+SELECT CAST(('0x' || substr(sha256(image), 1, 13)) AS BIGINT) AS image_id, image
+FROM arr JOIN st USING (image) WHERE status = 'missing'""",
     "caption_tokens": _with(DOCS) + f""",
 tk AS (SELECT image, pos, {_caption_tokens('caption')} AS t FROM refs)
 SELECT image, pos, array_to_string(t, ' ') AS tokens, CAST(len(t) AS BIGINT) AS n_tokens FROM tk""",
@@ -267,10 +311,9 @@ WITH st AS (
   FROM documents d LEFT JOIN labels l USING (doc_id)),
 head AS (SELECT image, status, {_strip("split_part(replace(text, chr(10), ' '), '.', 1)")} || '.' AS h FROM st)
 SELECT image, CASE WHEN status = 'ok' THEN {_first_sentence(_strip('h'))} END AS caption, status FROM head""",
-    "ngram_counts": _with(DOCS, PREDS) + f""",
-cand AS (SELECT image, {_ws_tokens('caption')} AS t FROM spreds)
-SELECT image, n, g, count(*) AS cnt
-FROM (SELECT image, n, {_ngrams('t')} AS g FROM cand, (VALUES (1), (2), (3), (4)) v(n)) GROUP BY ALL""",
+    "ngram_counts": _metrics() + """
+SELECT image, 'candidate' AS side, CAST(NULL AS BIGINT) AS pos, CAST(n AS BIGINT) AS n, g, cnt FROM cg
+UNION ALL SELECT image, 'reference', pos, n, g, cnt FROM rg""",
     "document_frequency": _metrics() + """
 SELECT CAST(n AS BIGINT) AS n, g, df FROM dfq""",
     "bleu_corpus": _metrics() + """
@@ -290,20 +333,26 @@ SELECT metric, round(score, 6) AS score FROM corpus WHERE metric = 'CIDEr'""",
 SELECT metric, round(score, 6) AS score FROM corpus""",
     "caption_scores_ptb": _caption_metrics() + """
 SELECT metric, round(score, 6) AS score FROM corpus""",
+    "score_lines": _metrics() + """
+SELECT metric, round(score * 100, 2) AS value, metric || ': ' || printf('%.2f', round(score * 100, 2)) AS line FROM corpus""",
     "qualitative_rows": _with(DOCS, PREDS, POSITIONAL) + """,
 test AS (SELECT image, row_number() OVER (ORDER BY image) - 1 AS idx FROM plabels WHERE split = 'test'),
-wanted AS (SELECT * FROM (VALUES (1090, 0), (50, 1), (200, 2)) w(idx, slot)),
+size AS (SELECT count(*) AS n FROM test),
+wanted AS (SELECT n * 3 // 4 AS idx, 0 AS slot FROM size UNION ALL SELECT n // 10, 1 FROM size
+           UNION ALL SELECT n // 2, 2 FROM size UNION ALL SELECT n, 3 FROM size),
 firstref AS (SELECT image, arg_min(caption, pos) AS reference FROM refs GROUP BY image)
-SELECT CAST(w.slot AS BIGINT) AS slot, CAST(t.idx AS BIGINT) AS idx, t.image, f.reference, p.caption AS prediction,
-       'ID: ' || CAST(t.idx AS VARCHAR) || chr(10) || 'Pred: ' || p.caption AS title
-FROM test t JOIN wanted w ON t.idx = w.idx LEFT JOIN firstref f USING (image) LEFT JOIN preds p USING (image)""",
+SELECT CAST(w.slot AS BIGINT) AS slot, CAST(w.idx AS BIGINT) AS idx, t.image IS NOT NULL AS found, t.image, f.reference,
+       p.caption AS prediction,
+       'ID: ' || CAST(w.idx AS VARCHAR) || chr(10) || 'Pred: ' || coalesce(p.caption, 'null') AS title
+FROM wanted w LEFT JOIN test t ON t.idx = w.idx LEFT JOIN firstref f USING (image) LEFT JOIN preds p USING (image)""",
 }
 
 
 def _training_sql() -> str:
     prompt_tokens = "['Write', 'a', 'short', 'description', 'for', 'the', 'image.']"
-    return _with(DOCS, MANIFEST) + f""",
-train AS (SELECT image, sents[1] AS caption FROM man WHERE split = 'train' AND sents[1] IS NOT NULL),
+    return _with(DOCS, MANIFEST, STATUS) + f""",
+train AS (SELECT man.image, sents[1] AS caption FROM man JOIN st USING (image)
+          WHERE split = 'train' AND sents[1] IS NOT NULL AND status = 'ok'),
 vocab AS (SELECT token, CAST(dense_rank() OVER (ORDER BY token) + 2 AS INTEGER) AS id
           FROM (SELECT DISTINCT unnest({_ws_tokens('caption')}) AS token FROM train)),
 ctok AS (SELECT image, unnest(range(len(t))) AS i, unnest(t) AS token
@@ -321,7 +370,8 @@ ex AS (
   FROM cap, pids),
 examples AS (
   SELECT image, input_ids, attention_mask,
-         list_transform(input_ids, lambda x, i: CASE WHEN i - 1 < len(p) OR x = 2 THEN -100 ELSE x END) AS labels
+         list_transform(input_ids, lambda x, i: CASE WHEN i - 1 < len(p) OR x = 2 THEN -100 ELSE x END) AS labels,
+         list_transform(input_ids, lambda x, i: CASE WHEN i - 1 < len(p) OR attention_mask[i] = 0 THEN -100 ELSE x END) AS end_labels
   FROM ex)
 """
 
@@ -329,6 +379,10 @@ examples AS (
 ORACLES["training_examples"] = _training_sql() + """
 SELECT image, array_to_string(input_ids, ',') AS input_ids, array_to_string(attention_mask, ',') AS attention_mask,
        array_to_string(labels, ',') AS labels FROM examples"""
+ORACLES["usable_samples"] = _training_sql() + """
+SELECT image, caption FROM train"""
+ORACLES["training_labels_with_end"] = _training_sql() + """
+SELECT image, array_to_string(end_labels, ',') AS labels FROM examples"""
 ORACLES["training_batches"] = _training_sql() + """,
 ord AS (SELECT image, row_number() OVER (ORDER BY image) - 1 AS o FROM examples)
 SELECT CAST(o // 4 AS BIGINT) AS batch_id, count(*) AS n_examples, string_agg(image, ',' ORDER BY image) AS images
@@ -338,9 +392,15 @@ SELECT count(*) AS n_examples, CAST(ceil(count(*) / 4) AS BIGINT) AS batches_per
        CAST(greatest(floor(ceil(count(*) / 4) / 4), 1) AS BIGINT) AS steps_per_epoch,
        CAST(greatest(floor(ceil(count(*) / 4) / 4), 1) * 3 AS BIGINT) AS total_steps
 FROM examples"""
+# The settings of the two presets that are compared.
+_SETTINGS = {
+    "greedy": "1 AS num_beams, 30 AS max_length, 5 AS min_length, 2.0::DOUBLE AS repetition_penalty, true AS first_sentence",
+    "beam": "5 AS num_beams, 60 AS max_length, 5 AS min_length, 1.5::DOUBLE AS repetition_penalty, false AS first_sentence",
+}
 ORACLES["preset_comparison"] = " UNION ALL ".join(
     f"""SELECT * FROM ({_with(DOCS, PREDS, _metric_ctes(cte), CORPUS)}
-SELECT '{name}' AS preset, metric, round(score, 6) AS score FROM corpus
+SELECT '{name}' AS preset, metric, round(score, 6) AS score, 'Describe this image.' AS prompt,
+       {_SETTINGS[name]}, 1.0::DOUBLE AS length_penalty FROM corpus
 WHERE metric IN ('Bleu_4', 'ROUGE_L', 'CIDEr'))"""
     for name, cte in (("greedy", "spreds"), ("beam", "beam"))
 )
@@ -368,6 +428,13 @@ mrefs AS (SELECT image, unnest(range(len(sents))) AS pos, unnest(sents) AS capti
 {CORPUS.strip()}
 SELECT metric, round(score, 6) AS score FROM corpus"""
 
+ORACLES["evaluate_manifest_coverage"] = _with(DOCS, MANIFEST, GENERATIONS) + """,
+rows_ AS (SELECT man.image, len(sents) > 0 AS r, gen.status FROM man JOIN gen USING (image) WHERE split = 'test')
+SELECT 'status_' || status AS figure, count(*) AS n FROM rows_ GROUP BY status
+UNION ALL SELECT 'scored_images', count(*) FROM rows_ WHERE r AND status = 'ok'
+UNION ALL SELECT 'unreferenced_predictions', count(*) FROM rows_ WHERE NOT r AND status = 'ok'
+UNION ALL SELECT 'unpredicted_images', count(*) FROM rows_ WHERE r AND status <> 'ok'"""
+
 ORACLES["evaluate_captions"] = _with(DOCS, POSITIONAL, GENERATIONS) + f""",
 cpreds AS (SELECT g.image, g.head || '.' AS caption FROM gen g JOIN labels_t t USING (image) WHERE g.status = 'ok'),
 crefs AS (SELECT r.image, r.pos, r.caption FROM refs r JOIN labels_t t USING (image)),

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from captally.functions.text import plot_title
+from captally.functions.text import plot_title, scale_round
+from captally.operators.materialize import cut
 from captally.operators.ordinals import at_positions, ordinals
 
 # Rows the qualitative viewer shows by default.
@@ -18,7 +19,7 @@ def score_report(scores: DataFrame, scale: float = 100.0, digits: int = 2, metri
     """SNK-4: (metric, value, line) with ``value = round(score * scale, digits)``."""
     if metrics is not None:
         scores = scores.where(F.col("metric").isin(list(metrics)))
-    value = F.round(F.col("score") * F.lit(scale), digits)
+    value = scale_round("score", scale, digits)
     return scores.select(
         "metric",
         value.alias("value"),
@@ -31,16 +32,19 @@ def qualitative_report(
 ) -> DataFrame:
     """PIP-4: chosen rows of ``images`` by position in name order.
 
-    (slot, idx, image, reference, prediction, title): ``reference`` is the
-    first reference in ``pos`` order, rows come in the requested order and
-    positions past the end are left out.
+    (slot, idx, found, image, reference, prediction, title): ``reference`` is
+    the first reference in ``pos`` order; rows come in the requested order,
+    with ``found`` false for a position past the end.
     """
     ranked = ordinals(images.select("image").distinct(), ["image"], "idx")
-    chosen = at_positions(ranked, indices, "idx")
-    first_ref = refs.groupBy("image").agg(F.min_by("caption", "pos").alias("reference"))
+    # One row per requested index: small by what was asked for, so only its images' rows are read on.
+    chosen = cut(at_positions(ranked, indices, "idx"), "chosen")
+    names = F.broadcast(chosen.select("image").distinct())
+    first_ref = refs.join(names, "image", "left_semi").groupBy("image").agg(F.min_by("caption", "pos").alias("reference"))
+    preds = preds.join(names, "image", "left_semi")
     return (
         chosen.join(first_ref, "image", "left")
         .join(preds.select("image", F.col("caption").alias("prediction")), "image", "left")
-        .select("slot", "idx", "image", "reference", "prediction", plot_title("idx", "prediction").alias("title"))
+        .select("slot", "idx", "found", "image", "reference", "prediction", plot_title("idx", "prediction").alias("title"))
         .orderBy("slot")
     )

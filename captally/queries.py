@@ -7,37 +7,52 @@ be compared with the DuckDB statements in ``captally.oracles``.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from captally import fixtures as fx
-from captally.functions.text import image_id, image_path
+from captally.functions.text import append_eos, image_id, image_path, to_json_text, wrap_single
 from captally.functions.tokens import caption_tokens as caption_tokens_fn
 from captally.operators import metrics
-from captally.operators.captioner import PRESETS, caption_images, postprocess, text_captioner
+from captally.operators.captioner import PRESETS, caption_images, decoding_presets, postprocess, text_captioner
+from captally.operators.materialize import cut, scratch_path
 from captally.operators.ngrams import document_frequency as document_frequency_op
-from captally.operators.ordinals import annotation_ids, image_ordinal
+from captally.operators.ordinals import annotation_ids, image_ordinal, slice_images, sort_images
 from captally.operators.pairing import (
+    duplicate_predictions as duplicate_predictions_op,
+    existing_images,
+    failures,
     first_caption,
-    pick_metrics,
     group_captions,
+    id_collisions,
     latest_prediction,
+    missing_images,
+    pick_metrics,
     references_for,
-    scored_only,
+    unique_images as unique_images_op,
     unknown_prediction_ids,
 )
-from captally.operators.splits import by_split, in_split, positional_split, split_counts
+from captally.operators.sft import assemble_batches, step_plan as step_plan_op
+from captally.operators.splits import by_split, in_split, manifest_split, positional_split, split_counts
 from captally.plans.evaluation import compare_presets, evaluate_captions, evaluate_manifest
-from captally.plans.report import qualitative_report
-from captally.plans.training import prepare_training
-from captally.session import ensure_checkpoint_dir
+from captally.plans.report import qualitative_report, score_report
+from captally.plans.training import prepare_training, training_captions
 from captally.sinks import write_captions, write_coco_predictions, write_coco_references
-from captally.sources.captions import parse_token_lines, read_captions
-from captally.sources.coco import read_coco_predictions, read_coco_references
-from captally.sources.manifest import raw_references
+from captally.sources import (
+    lower_header,
+    parse_token_lines,
+    raw_references,
+    read_caption_tokens,
+    read_captions,
+    read_coco_images,
+    read_coco_predictions,
+    read_coco_references,
+    read_split_manifest,
+    scan_images,
+    validate_images,
+)
 
 IMAGE_DIR = "/data/images"
 DIGITS = 6
@@ -51,35 +66,23 @@ def _ints_text(c: str) -> F.Column:
     return F.array_join(F.transform(F.col(c), lambda x: x.cast("string")), ",").alias(c)
 
 
-# Per-image score tables are the expensive shared step; one run per
-# (session, data, tokenizer, prediction set) is kept and reused by the
-# metric queries.  ``clear_cache`` drops it (the bench times cold runs).
-_SCORES: dict = {}
-
-
-def clear_cache() -> None:
-    _SCORES.clear()
-
-
-def _image_scores(spark: SparkSession, sf: str, variant: str = "greedy", mode: str = "whitespace") -> DataFrame:
-    key = (id(spark), sf, variant, mode)
-    if key not in _SCORES:
-        preds = fx.scoring_predictions(spark, sf) if variant == "greedy" else fx.beam_predictions(spark, sf)
-        _SCORES[key] = metrics.image_scores(metrics.pair(preds, fx.references(spark, sf), mode))
-    return _SCORES[key]
+def _image_scores(spark: SparkSession, sf: str, mode: str = "whitespace") -> DataFrame:
+    return metrics.image_scores(metrics.pair(fx.scoring_predictions(spark, sf), fx.references(spark, sf), mode))
 
 
 def _positional_labels(spark: SparkSession, sf: str) -> DataFrame:
-    refs = fx.references(spark, sf)
-    n = refs.select("image").distinct().count()
-    return positional_split(refs, (n * 6 // 10, n * 2 // 10))
+    """(image, n_captions, ordinal, split): 60 / 20 / 20 % of the images in name order."""
+    per_image = fx.references(spark, sf).groupBy("image").agg(F.count(F.lit(1)).alias("n_captions"))
+    images = cut(per_image, "images")
+    n = images.count()
+    return positional_split(images, (n * 6 // 10, n * 2 // 10), unique=True)
 
 
 # ---------------------------------------------------------------- captions
 
 
 def captions_grouped(spark, sf):
-    """AGG-1, AGG-2, PRJ-1, PRJ-2."""
+    """AGG-1, PRJ-2: one row per (image, chunk)."""
     g = group_captions(fx.references(spark, sf), dense=True)
     return g.select(
         "image",
@@ -101,30 +104,44 @@ def first_captions(spark, sf):
 
 
 def positional_split_counts(spark, sf):
-    """SPL-2, SPL-3, JN-1: images and captions per positional split."""
+    """SPL-2, SPL-3: images and captions per positional split."""
     labels = _positional_labels(spark, sf)
-    refs = fx.references(spark, sf)
-    caps = None
-    for name in ("train", "val", "test"):
-        c = in_split(refs, labels, name).agg(F.count(F.lit(1)).alias("n_captions")).select(
-            F.lit(name).alias("split"), "n_captions"
-        )
-        caps = c if caps is None else caps.unionByName(c)
-    return split_counts(labels).join(caps, "split").select(
+    captions = labels.groupBy("split").agg(F.sum("n_captions").alias("n_captions"))
+    return split_counts(labels).join(captions, "split").select(
         "split", F.col("n_images").cast("long").alias("n_images"), F.col("n_captions").cast("long").alias("n_captions")
     )
 
 
+def test_split_captions(spark, sf):
+    """JN-1: the captions of the positional test split."""
+    return in_split(fx.references(spark, sf), cut(_positional_labels(spark, sf), "labels"), "test").select(
+        "image", F.col("pos").cast("long").alias("pos"), "caption"
+    )
+
+
+def unique_images(spark, sf):
+    """AGG-2."""
+    return unique_images_op(fx.references(spark, sf))
+
+
+def image_slice(spark, sf):
+    """LIM-1, SRT-1: the second tenth of the images in name order."""
+    images = cut(unique_images_op(fx.references(spark, sf)), "images")
+    n = images.count()
+    got = sort_images(slice_images(images, n // 10, n // 5))
+    return got.select("image", F.col("ordinal").cast("long").alias("ordinal"))
+
+
 def manifest_split_rows(spark, sf):
     """SPL-1, FLT-1: the manifest's test images."""
     m = fx.manifest(spark, sf)
-    return by_split(m, "test").select(
+    return manifest_split(m, "test").select(
         F.col("filename").alias("image"), "split", F.size("sentences").cast("long").alias("n_refs")
     )
 
 
 def image_ordinals(spark, sf):
-    """WIN-1, SRT-1: position of each image inside its positional split."""
+    """WIN-1: position of each image inside its positional split."""
     labels = _positional_labels(spark, sf).select("image", "split")
     return image_ordinal(labels, "split").select("image", "split", F.col("ordinal").cast("long").alias("ordinal"))
 
@@ -142,14 +159,69 @@ def clean_captions(spark, sf):
 
 
 def token_key_split(spark, sf):
-    """SRC-2, STR-3: ``image#k<TAB>caption`` lines parsed back."""
-    refs = fx.references(spark, sf)
-    lines = refs.select(F.concat_ws("", "image", F.lit("#"), F.col("pos").cast("string"), F.lit("\t"), "caption").alias("value"))
-    return parse_token_lines(lines).select("image", F.col("pos").cast("long").alias("pos"), "caption")
+    """SRC-2 parser, STR-3: ``image#k<TAB>caption`` lines parsed back."""
+    return parse_token_lines(_token_lines(spark, sf)).select("image", F.col("pos").cast("long").alias("pos"), "caption")
+
+
+def _token_lines(spark, sf):
+    key = F.concat("image", F.lit("#"), F.col("pos").cast("string"))
+    return fx.references(spark, sf).select(F.concat(key, F.lit("\t"), "caption").alias("value"))
+
+
+def caption_token_file(spark, sf):
+    """SRC-2: a token file written from the references and read again."""
+    path = scratch_path(spark, "tokens")
+    _token_lines(spark, sf).write.text(path)
+    return read_caption_tokens(spark, path).select("image", F.col("pos").cast("long").alias("pos"), "caption")
+
+
+def split_manifest_file(spark, sf):
+    """SRC-3, PRJ-3: a sharded manifest (JSON lines) written from the documents and read again."""
+    path = scratch_path(spark, "manifest")
+    fx.manifest(spark, sf).select("filename", "split", "sentences").write.json(path)
+    got = read_split_manifest(spark, path, document=False)
+    return got.select("filename", "split", F.array_join("refs", "\n").alias("refs"), F.size("refs").cast("long").alias("n_refs"))
+
+
+def caption_csv(spark, sf):
+    """SRC-1, SNK-3, PRJ-1: a CSV with an upper-case header written from the references and read again."""
+    path = scratch_path(spark, "csv")
+    write_captions(fx.references(spark, sf), path)
+    shouted = read_captions(spark, path).select(F.col("image").alias("IMAGE"), F.col("caption").alias("Caption"))
+    return lower_header(shouted).groupBy("image").agg(
+        F.count(F.lit(1)).alias("n_captions"), F.sum(F.length("caption")).cast("long").alias("n_chars")
+    )
+
+
+def json_captions(spark, sf):
+    """JSN-1, STR-4, ARR-1: predictions with an end mark as JSON text."""
+    preds = fx.predictions(spark, sf).select("image", append_eos("caption", "</s>").alias("caption"))
+    row = preds.select("image", "caption", wrap_single("caption").alias("captions"))
+    return row.select("image", to_json_text("image", "captions").alias("json"))
+
+
+def image_listing(spark, sf):
+    """SRC-4: files of an image folder written from the documents."""
+    got = scan_images(spark, fx.image_folder(spark, sf))
+    return got.select("image", F.col("length").cast("long").alias("length"))
+
+
+def image_validity(spark, sf):
+    """SRC-5: which of the files are pictures."""
+    got = validate_images(spark, fx.image_folder(spark, sf))
+    return got.select("image", "ok", F.col("width").cast("long").alias("width"), F.col("height").cast("long").alias("height"))
+
+
+def image_presence(spark, sf):
+    """FLT-2: images of the documents with and without a file."""
+    rows = fx.manifest(spark, sf).select(F.col("filename").alias("image"))
+    listing = cut(scan_images(spark, fx.image_folder(spark, sf)).select("image"), "listing")
+    there = existing_images(rows, listing).withColumn("present", F.lit(True))
+    return there.unionByName(missing_images(rows, listing).withColumn("present", F.lit(False)))
 
 
 def latest_predictions(spark, sf):
-    """AGG-3, ARR-1: last write wins per image."""
+    """AGG-3: last write wins per image."""
     got = latest_prediction(fx.attempts(spark, sf))
     return got.select("image", "caption", F.col("attempts").cast("long").alias("attempts"))
 
@@ -172,14 +244,38 @@ def references_for_predicted(spark, sf):
     return got.select("image", F.col("pos").cast("long").alias("pos"), "caption")
 
 
+def _labelled_references(spark, sf):
+    """References of the images that have a file (see ``fixtures.image_status``)."""
+    gone = fx.image_status(spark, sf).where(F.col("status") == "missing").select("image")
+    return fx.references(spark, sf).join(gone, "image", "left_anti")
+
+
 def unknown_prediction_ids_q(spark, sf):
-    """JN-5, ID-1: predictions (one per document) whose image has no reference."""
-    m = fx.manifest(spark, sf).select(F.col("filename").alias("image"), raw_references("sentences").alias("refs"))
-    preds = m.where(F.size("refs") >= 1).select(image_id("image").alias("image_id"), "image")
-    refs = fx.references(spark, sf).select(image_id("image").alias("image_id"))
+    """JN-5, ID-1: predictions whose image has no reference: those without a file."""
+    preds = fx.predictions(spark, sf).select(image_id("image").alias("image_id"), "image")
+    refs = _labelled_references(spark, sf).select(image_id("image").alias("image_id"))
     return unknown_prediction_ids(preds, refs)
 
 
+def prediction_id_check(spark, sf):
+    """JN-5, ID-1 (Q8): the figures that the checks of PIP-2 look at."""
+    preds = fx.predictions(spark, sf).select(image_id("image").alias("image_id"), "image")
+    refs = _labelled_references(spark, sf).select(image_id("image").alias("image_id"))
+    one = lambda df, name: df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("figure"), "n")
+    out = one(preds, "predictions").unionByName(one(unknown_prediction_ids(preds, refs), "unknown_ids"))
+    return out.unionByName(one(id_collisions(preds), "id_collisions"))
+
+
+def duplicate_predictions(spark, sf):
+    """JN-3: images that ``pair`` would refuse without an order: more than one prediction."""
+    return duplicate_predictions_op(fx.attempts(spark, sf))
+
+
+def score_coverage(spark, sf):
+    """MET-7: coverage of predictions and references that each miss some images."""
+    return metrics.coverage(_ok_predictions(spark, sf), _labelled_references(spark, sf))
+
+
 def caption_tokens(spark, sf):
     """STR-7: caption tokens of every reference."""
     refs = fx.references(spark, sf)
@@ -196,38 +292,42 @@ def _generations(spark, sf):
 
 
 def failures_by_status(spark, sf):
-    """CAP-1, FLT-3, FLT-5: generation outcomes per status."""
-    gen = _generations(spark, sf)
-    ok = scored_only(gen).agg(F.count(F.lit(1)).alias("n")).select(F.lit("ok").alias("status"), "n")
-    bad = gen.where(F.col("status") != "ok").groupBy("status").agg(F.count(F.lit(1)).alias("n"))
-    return ok.unionByName(bad).where(F.col("n") > 0).select("status", F.col("n").cast("long").alias("n"))
+    """CAP-1: generation outcomes per status, from one pass."""
+    return _generations(spark, sf).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+def failed_images(spark, sf):
+    """FLT-5: failed generations."""
+    return failures(_generations(spark, sf)).select("image", "status")
 
 
 def caption_images_stub(spark, sf):
-    """CAP-1, CAP-2, CAP-3 with the deterministic stand-in captioner."""
+    """CAP-1, CAP-2 with the deterministic stand-in captioner."""
     return _generations(spark, sf).select("image", "caption", "status")
 
 
 def ngram_counts(spark, sf):
-    """NGR-1, STR-5: candidate n-gram counts."""
+    """NGR-1, STR-5: n-gram counts of candidates and references (pos null for a candidate)."""
     p = metrics.pair(fx.scoring_predictions(spark, sf), fx.references(spark, sf))
-    return metrics._cand_grams(p).select("image", F.col("n").cast("long").alias("n"), "g", F.col("cnt").cast("long").alias("cnt"))
+    sides = metrics.candidate_grams(p).withColumns({"side": F.lit("candidate"), "pos": F.lit(None).cast("long")})
+    sides = sides.unionByName(metrics.reference_grams(p).withColumns({"side": F.lit("reference"), "pos": F.col("pos").cast("long")}))
+    return sides.select("image", "side", "pos", F.col("n").cast("long").alias("n"), "g", F.col("cnt").cast("long").alias("cnt"))
 
 
 def document_frequency(spark, sf):
     """MET-6: images whose references hold each n-gram."""
     p = metrics.pair(fx.scoring_predictions(spark, sf), fx.references(spark, sf))
-    d = document_frequency_op(metrics._ref_gram_max(metrics._ref_grams(p)))
+    d = document_frequency_op(metrics.reference_grams(p), ["n", "g"], "image")
     return d.select(F.col("n").cast("long").alias("n"), "g", F.col("df").cast("long").alias("df"))
 
 
 # ---------------------------------------------------------------- metrics
 
 
-def _corpus(spark, sf, names, variant="greedy", mode="whitespace"):
-    scores = metrics.corpus_scores(_image_scores(spark, sf, variant, mode))
+def _corpus(spark, sf, names, mode="whitespace"):
+    scores = metrics.corpus_scores(_image_scores(spark, sf, mode))
     if names is not None:
-        scores = scores.where(F.col("metric").isin(names))
+        scores = pick_metrics(scores, names)
     return scores.select("metric", _r("score"))
 
 
@@ -260,7 +360,7 @@ def cider_corpus(spark, sf):
 
 
 def caption_scores(spark, sf):
-    """MET-7, NUM-1: every metric, whitespace mode."""
+    """MET-7: every metric, whitespace mode."""
     return _corpus(spark, sf, None)
 
 
@@ -269,38 +369,68 @@ def caption_scores_ptb(spark, sf):
     return _corpus(spark, sf, None, mode="caption")
 
 
+def score_lines(spark, sf):
+    """SNK-4, NUM-1: the scores as report lines, times 100 with two digits."""
+    lines = score_report(metrics.caption_scores(fx.scoring_predictions(spark, sf), fx.references(spark, sf)))
+    return lines.select("metric", "value", "line")
+
+
 def preset_comparison(spark, sf):
-    """PIP-5, FLT-4: greedy vs beam predictions, same references."""
+    """PIP-5, FLT-4, CAP-3: greedy vs beam predictions, same references, one job; with the presets' settings."""
     preds = {"greedy": fx.scoring_predictions(spark, sf), "beam": fx.beam_predictions(spark, sf)}
-    out = compare_presets(preds, fx.references(spark, sf))
-    return pick_metrics(out, ["Bleu_4", "ROUGE_L", "CIDEr"]).select("preset", "metric", _r("score"))
+    out = pick_metrics(compare_presets(preds, fx.references(spark, sf)), ["Bleu_4", "ROUGE_L", "CIDEr"])
+    settings = decoding_presets(spark).withColumnRenamed("name", "preset")
+    return out.join(settings, "preset").select(
+        "preset", "metric", _r("score"), "prompt", F.col("num_beams").cast("long").alias("num_beams"),
+        F.col("max_length").cast("long").alias("max_length"), F.col("min_length").cast("long").alias("min_length"),
+        "repetition_penalty", "length_penalty", "first_sentence",
+    )
 
 
 def qualitative_rows(spark, sf):
-    """JN-4, PIP-4, STR-8: rows 1090, 50, 200 of the positional test split."""
-    labels = _positional_labels(spark, sf)
+    """JN-4, PIP-4, STR-8: rows of the positional test split at 3/4, 1/10 and 1/2 of it, and one past its end."""
+    labels = cut(_positional_labels(spark, sf), "labels")
     test = by_split(labels, "test").select("image")
-    rep = qualitative_report(fx.predictions(spark, sf), fx.references(spark, sf), test)
-    return rep.select(F.col("slot").cast("long").alias("slot"), F.col("idx").cast("long").alias("idx"), "image", "reference", "prediction", "title")
+    n = test.count()
+    rep = qualitative_report(fx.predictions(spark, sf), fx.references(spark, sf), test, (n * 3 // 4, n // 10, n // 2, n))
+    return rep.select(
+        F.col("slot").cast("long").alias("slot"), F.col("idx").cast("long").alias("idx"), "found", "image", "reference", "prediction", "title"
+    )
 
 
 # ---------------------------------------------------------------- training
 
 
+def _manifest_rows(spark, sf):
+    return fx.manifest(spark, sf).select("filename", "split", raw_references("sentences").alias("refs"))
+
+
 def _training(spark, sf):
-    m = fx.manifest(spark, sf).select("filename", "split", raw_references("sentences").alias("refs"))
-    return prepare_training(m)
+    return prepare_training(_manifest_rows(spark, sf), fx.image_status(spark, sf))
+
+
+def usable_samples(spark, sf):
+    """FLT-3, PRJ-4: first captions of the train images that can be read."""
+    return training_captions(_manifest_rows(spark, sf), fx.image_status(spark, sf))
 
 
 def training_examples(spark, sf):
-    """SFT-1..5, STR-4."""
-    ex, _, _ = _training(spark, sf)
-    return ex.select("image", _ints_text("input_ids"), _ints_text("attention_mask"), _ints_text("labels"))
+    """SFT-1..5, PIP-3: examples of the train images that can be read."""
+    return _training(spark, sf).select("image", _ints_text("input_ids"), _ints_text("attention_mask"), _ints_text("labels"))
+
+
+def training_labels_with_end(spark, sf):
+    """SFT-4 (Q16), PIP-3 ``out``: labels that keep the true end token, written and read again."""
+    out = scratch_path(spark, "training")
+    got = prepare_training(_manifest_rows(spark, sf), fx.image_status(spark, sf), mask_eos=False, out=out)
+    return got.select("image", _ints_text("labels"))
 
 
 def training_batches(spark, sf):
-    """SFT-6."""
-    _, batches, _ = _training(spark, sf)
+    """SFT-6: batches of the samples that are left when bad ones are dropped."""
+    train = manifest_split(_manifest_rows(spark, sf), "train").where(F.size("refs") > 0)
+    samples = train.select(F.col("filename").alias("image")).join(fx.image_status(spark, sf), "image")
+    batches = assemble_batches(samples)
     return batches.select(
         F.col("batch_id").cast("long").alias("batch_id"),
         F.col("n_examples").cast("long").alias("n_examples"),
@@ -309,66 +439,88 @@ def training_batches(spark, sf):
 
 
 def step_plan(spark, sf):
-    """SFT-7."""
-    _, _, plan = _training(spark, sf)
-    return plan
+    """SFT-7: from a count of the usable samples alone."""
+    return step_plan_op(training_captions(_manifest_rows(spark, sf), fx.image_status(spark, sf)))
 
 
 # ---------------------------------------------------------------- files round trips
 
 
-def _scratch(spark, name):
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/captally-{name}-{uuid.uuid4().hex}"
-
-
 def coco_round_trip(spark, sf):
-    """SNK-1, SNK-2, SRC-6, SRC-7, JSN-1: write COCO files, read them back."""
-    folder = _scratch(spark, "coco")
+    """SNK-1, SNK-2, SRC-6, SRC-7: write COCO files, read all of them back."""
+    folder = scratch_path(spark, "coco")
     preds = fx.predictions(spark, sf).select(image_id("image").alias("image_id"), "caption")
     refs = annotation_ids(fx.references(spark, sf)).select(image_id("image").alias("image_id"), "id", "caption")
     write_coco_predictions(preds, f"{folder}/predictions")
     write_coco_references(refs, f"{folder}/references")
     back_p = read_coco_predictions(spark, f"{folder}/predictions")
     back_r = read_coco_references(spark, f"{folder}/references")
+    images = read_coco_images(spark, f"{folder}/references").select(F.col("id").alias("image_id"))
     counts = back_r.groupBy("image_id").agg(F.count(F.lit(1)).alias("n_refs"))
-    return back_p.join(counts, "image_id").select("image_id", "caption", F.col("n_refs").cast("long").alias("n_refs"))
+    got = back_p.join(images, "image_id").join(counts, "image_id")
+    return got.select("image_id", "caption", F.col("n_refs").cast("long").alias("n_refs"))
+
+
+def _evaluated_manifest(spark, sf):
+    return evaluate_manifest(_manifest_rows(spark, sf), fx.image_content(spark, sf), text_captioner, PRESETS["zero_shot"])
 
 
 def evaluate_manifest_q(spark, sf):
     """PIP-1: manifest test split, stand-in captioner, whitespace-mode scores."""
-    m = fx.manifest(spark, sf).select("filename", "split", raw_references("sentences").alias("refs"))
-    scores, _ = evaluate_manifest(m, fx.image_content(spark, sf), text_captioner, PRESETS["zero_shot"])
-    return scores.select("metric", _r("score"))
+    return _evaluated_manifest(spark, sf).scores.select("metric", _r("score"))
+
+
+def evaluate_manifest_coverage(spark, sf):
+    """PIP-1: images scored, and status rows of every image of the split."""
+    job = _evaluated_manifest(spark, sf)
+    status = job.generations.groupBy("status").agg(F.count(F.lit(1)).alias("n")).select(F.concat(F.lit("status_"), "status").alias("figure"), "n")
+    names = ["scored_images", "unreferenced_predictions", "unpredicted_images"]
+    figures = job.coverage.unpivot([], names, "figure", "n")
+    return status.unionByName(figures)
 
 
 def evaluate_captions_q(spark, sf):
     """PIP-2, SRC-1, SNK-3: caption CSV round trip, positional test split, COCO files, caption-mode scores."""
-    folder = _scratch(spark, "captions")
+    folder = scratch_path(spark, "captions")
     write_captions(fx.references(spark, sf), f"{folder}/captions")
     caps = read_captions(spark, f"{folder}/captions")
-    n = caps.select("image").distinct().count()
-    scores, _ = evaluate_captions(
+    n = unique_images_op(caps).count()
+    job = evaluate_captions(
         caps, fx.image_content(spark, sf), text_captioner, PRESETS["greedy"], out=f"{folder}/coco",
         sizes=(n * 6 // 10, n * 2 // 10),
-    )
-    return scores.select("metric", _r("score"))
+    )
+    return job.scores.select("metric", _r("score"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "captions_grouped": captions_grouped,
+    "unique_images": unique_images,
+    "image_slice": image_slice,
     "first_captions": first_captions,
     "positional_split_counts": positional_split_counts,
+    "test_split_captions": test_split_captions,
     "manifest_split_rows": manifest_split_rows,
     "image_ordinals": image_ordinals,
     "annotation_rows": annotation_rows,
     "clean_captions": clean_captions,
     "token_key_split": token_key_split,
+    "caption_token_file": caption_token_file,
+    "split_manifest_file": split_manifest_file,
+    "caption_csv": caption_csv,
+    "json_captions": json_captions,
+    "image_listing": image_listing,
+    "image_validity": image_validity,
+    "image_presence": image_presence,
     "latest_predictions": latest_predictions,
+    "duplicate_predictions": duplicate_predictions,
     "paired_captions": paired_captions,
     "references_for_predicted": references_for_predicted,
     "unknown_prediction_ids": unknown_prediction_ids_q,
+    "prediction_id_check": prediction_id_check,
+    "score_coverage": score_coverage,
     "caption_tokens": caption_tokens,
     "failures_by_status": failures_by_status,
+    "failed_images": failed_images,
     "caption_images_stub": caption_images_stub,
     "ngram_counts": ngram_counts,
     "document_frequency": document_frequency,
@@ -380,12 +532,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cider_corpus": cider_corpus,
     "caption_scores": caption_scores,
     "caption_scores_ptb": caption_scores_ptb,
+    "score_lines": score_lines,
     "preset_comparison": preset_comparison,
     "qualitative_rows": qualitative_rows,
+    "usable_samples": usable_samples,
     "training_examples": training_examples,
+    "training_labels_with_end": training_labels_with_end,
     "training_batches": training_batches,
     "step_plan": step_plan,
     "coco_round_trip": coco_round_trip,
     "evaluate_manifest": evaluate_manifest_q,
+    "evaluate_manifest_coverage": evaluate_manifest_coverage,
     "evaluate_captions": evaluate_captions_q,
 }

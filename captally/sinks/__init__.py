@@ -1,10 +1,8 @@
 """Writers: COCO-style predictions/references and caption CSV (SNK-1..3).
 
-The default form is sharded JSON lines written by every task in parallel;
-``read_coco_predictions``/``read_coco_references`` read it back.  The
-single-document form (one JSON array / one JSON object, for tools that need
-exactly that file) has to pass through one task, so it is refused above
-``max_rows`` rows, which is checked before anything is gathered.
+Files are sharded JSON lines (or CSV parts) written by every task in
+parallel; ``read_coco_predictions``/``read_coco_references`` read them back.  A
+tool that wants one JSON array can join the lines outside of Spark.
 """
 
 from __future__ import annotations
@@ -12,57 +10,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SINGLE_DOCUMENT_MAX_ROWS = 2_000_000
 
-
-def _check_small(df: DataFrame, max_rows: int) -> None:
-    n = df.limit(max_rows + 1).count()
-    if n > max_rows:
-        raise ValueError(f"single-document output is limited to {max_rows} rows; use the sharded form")
-
-
-def write_coco_predictions(
-    preds: DataFrame, path: str, single_document: bool = False, max_rows: int = SINGLE_DOCUMENT_MAX_ROWS
-) -> None:
+def write_coco_predictions(preds: DataFrame, path: str) -> None:
     """SNK-1: predictions (image_id, caption) as COCO results."""
-    rows = preds.select(F.col("image_id").cast("long").alias("image_id"), "caption")
-    if not single_document:
-        rows.write.mode("overwrite").json(path)
-        return
-    _check_small(rows, max_rows)
-    doc = rows.agg(F.to_json(F.sort_array(F.collect_list(F.struct("image_id", "caption")))).alias("value"))
-    doc.coalesce(1).write.mode("overwrite").text(path)
+    preds.select(F.col("image_id").cast("long").alias("image_id"), "caption").write.mode("overwrite").json(path)
 
 
-def write_coco_references(
-    refs: DataFrame, path: str, single_document: bool = False, max_rows: int = SINGLE_DOCUMENT_MAX_ROWS
-) -> None:
+def write_coco_references(refs: DataFrame, path: str) -> None:
     """SNK-2: references (image_id, id, caption) as a COCO ground-truth set.
 
-    Sharded form: ``<path>/images`` (id) and ``<path>/annotations``
-    (image_id, id, caption).  Single document: ``{info, licenses, images,
-    annotations}``.
+    ``<path>/images`` holds the distinct ids, ``<path>/annotations`` the rows
+    (image_id, id, caption).
     """
     ann = refs.select(F.col("image_id").cast("long").alias("image_id"), F.col("id").cast("long").alias("id"), "caption")
-    images = ann.select(F.col("image_id").alias("id")).distinct()
-    if not single_document:
-        images.write.mode("overwrite").json(f"{path.rstrip('/')}/images")
-        ann.write.mode("overwrite").json(f"{path.rstrip('/')}/annotations")
-        return
-    _check_small(ann, max_rows)
-    imgs = images.agg(F.sort_array(F.collect_list(F.struct("id"))).alias("images"))
-    anns = ann.agg(F.sort_array(F.collect_list(F.struct("id", "image_id", "caption"))).alias("a"))
-    doc = imgs.crossJoin(anns).select(
-        F.to_json(
-            F.struct(
-                F.create_map().alias("info"),
-                F.array().alias("licenses"),
-                F.col("images"),
-                F.transform("a", lambda s: F.struct(s["image_id"].alias("image_id"), s["id"].alias("id"), s["caption"].alias("caption"))).alias("annotations"),
-            )
-        ).alias("value")
-    )
-    doc.coalesce(1).write.mode("overwrite").text(path)
+    ann.write.mode("overwrite").json(f"{path.rstrip('/')}/annotations")
+    ann.select(F.col("image_id").alias("id")).distinct().write.mode("overwrite").json(f"{path.rstrip('/')}/images")
 
 
 def write_captions(df: DataFrame, path: str) -> None:

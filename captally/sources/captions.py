@@ -14,7 +14,7 @@ def lower_header(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower() for c in df.columns])
 
 
-def read_captions(spark: SparkSession, path: str) -> DataFrame:
+def read_captions(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """SRC-1: CSV with a header -> (image, caption, pos).
 
     Quotes are doubled inside quoted fields and captions may hold newlines,
@@ -22,13 +22,16 @@ def read_captions(spark: SparkSession, path: str) -> DataFrame:
     read as a string (no inference).  Rows with an empty image or caption
     are dropped (a missing caption cannot be scored or written as JSON); the
     literal text ``NA`` stays text.  ``pos`` is the row's place in the file
-    order: with ``multiLine`` a file is one task, so the id follows the file.
+    order: with ``multiline`` a file is one task, so the id follows the file;
+    ``multiline=False`` splits large files of one-line captions among tasks.  A
+    row with another number of fields than the header is an error.
     """
     raw = (
         spark.read.option("header", True)
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", True)
+        .option("multiLine", multiline)
+        .option("mode", "FAILFAST")
         .option("inferSchema", False)
         .option("nullValue", "")
         .option("emptyValue", "")

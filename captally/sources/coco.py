@@ -1,4 +1,9 @@
-"""SRC-6/SRC-7: read COCO-style prediction and reference files back."""
+"""SRC-6/SRC-7: read COCO-style prediction and reference files back.
+
+The default is sharded JSON lines.  ``document=True`` reads files that hold one
+JSON value each (an array, or one ``{images, annotations}`` object); such a file
+is read by one task.  A malformed file is an error in both forms.
+"""
 
 from __future__ import annotations
 
@@ -22,19 +27,19 @@ REFERENCES = T.StructType(
 )
 
 
-def read_coco_predictions(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-6: (image_id, caption) from a JSON array file or sharded JSON lines."""
-    return spark.read.schema(PREDICTION).option("multiLine", path.endswith(".json")).json(path)
+def read_coco_predictions(spark: SparkSession, path: str, document: bool = False) -> DataFrame:
+    """SRC-6: (image_id, caption)."""
+    return spark.read.schema(PREDICTION).option("multiLine", document).option("mode", "FAILFAST").json(path)
+
 
+def read_coco_references(spark: SparkSession, path: str, document: bool = False) -> DataFrame:
+    """SRC-7: (image_id, id, caption) of the annotations."""
+    reader = spark.read.option("mode", "FAILFAST")
+    if not document:
+        return reader.schema(ANNOTATION).json(f"{path.rstrip('/')}/annotations")
+    return reader.schema(REFERENCES).option("multiLine", True).json(path).select(F.inline("annotations"))
 
-def read_coco_references(spark: SparkSession, path: str, single_document: bool | None = None) -> DataFrame:
-    """SRC-7: (image_id, id, caption) from the references.
 
-    ``single_document`` reads one ``{images, annotations}`` object; otherwise
-    the sharded annotation table written by ``write_coco_references``.
-    """
-    single = path.endswith(".json") if single_document is None else single_document
-    if not single:
-        return spark.read.schema(ANNOTATION).json(f"{path.rstrip('/')}/annotations")
-    doc = spark.read.schema(REFERENCES).option("multiLine", True).json(path)
-    return doc.select(F.inline("annotations"))
+def read_coco_images(spark: SparkSession, path: str) -> DataFrame:
+    """SRC-7: the ids of the ``images`` table written beside the annotations."""
+    return spark.read.schema("id long").option("mode", "FAILFAST").json(f"{path.rstrip('/')}/images")

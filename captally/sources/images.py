@@ -2,32 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def scan_images(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
     """SRC-4: (path, image, length) of the files in ``folder``.
 
+    ``image`` is the file name, or the value of an ``image=<name>`` folder.
     Only the listing columns are selected, so the file bytes are not read.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
-    return files.select(
-        "path", F.element_at(F.split("path", "/"), -1).alias("image"), "length"
-    )
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(folder)
+    return files.select("path", _image_of("path").alias("image"), "length")
+
+
+def _image_of(path: str) -> Column:
+    folder = F.regexp_extract(F.col(path), "/image=([^/]+)/[^/]*$", 1)
+    return F.when(folder != "", folder).otherwise(F.element_at(F.split(path, "/"), -1))
 
 
 def validate_images(spark: SparkSession, folder: str) -> DataFrame:
     """SRC-5: decode every file and flag the ones that fail.
 
     (path, image, height, width, n_channels, ok).  Spark's image source marks
-    an undecodable file with height -1; ``ok`` also requires 3 or 4 channels
+    an undecodable file with height -1; ``ok`` also requires 1, 3 or 4 channels
     (an RGB conversion is possible).
     """
-    imgs = spark.read.format("image").option("dropInvalid", False).load(folder)
+    imgs = spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", True).load(folder)
     return imgs.select(
         F.col("image.origin").alias("path"),
-        F.element_at(F.split("image.origin", "/"), -1).alias("image"),
+        _image_of("image.origin").alias("image"),
         F.col("image.height").alias("height"),
         F.col("image.width").alias("width"),
         F.col("image.nChannels").alias("n_channels"),

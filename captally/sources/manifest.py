@@ -37,12 +37,15 @@ def manifest_rows(manifest: DataFrame) -> DataFrame:
     )
 
 
-def read_split_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-3: JSON manifest ``{"images": [...]}`` -> (ordinal, filename, split, refs).
+def read_split_manifest(spark: SparkSession, path: str, document: bool = True) -> DataFrame:
+    """SRC-3: split manifest -> (ordinal, filename, split, refs).
 
-    The schema is explicit, so only ``filename``, ``split`` and
-    ``sentences[].raw`` are read.  One manifest document is one JSON value;
-    many manifest files (one per shard) are read in parallel.
+    ``document=True`` reads files of one JSON object ``{"images": [...]}`` each;
+    such a file is read by one task.  ``document=False`` reads the sharded form,
+    JSON lines of one image each, which is split among tasks and has no
+    ``ordinal``.  The schema is explicit and a malformed file is an error.
     """
-    manifest = spark.read.schema(MANIFEST_SCHEMA).option("multiLine", True).json(path)
-    return manifest_rows(manifest)
+    reader = spark.read.option("mode", "FAILFAST")
+    if document:
+        return manifest_rows(reader.schema(MANIFEST_SCHEMA).option("multiLine", True).json(path))
+    return reader.schema(IMAGE).json(path).select("filename", "split", raw_references("sentences").alias("refs"))

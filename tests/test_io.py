@@ -12,6 +12,7 @@ from captally.sinks import write_captions, write_coco_predictions, write_coco_re
 from captally.sources import (
     read_caption_tokens,
     read_captions,
+    read_coco_images,
     read_coco_predictions,
     read_coco_references,
     read_split_manifest,
@@ -109,27 +110,51 @@ def test_images_scan_validate_and_existence(spark, tmp):
     assert [r.image for r in missing_images(wanted, listing).collect()] == ["gone.png"]
 
 
-@pytest.mark.parametrize("single", [False, True])
-def test_coco_round_trip(spark, tmp, single):
+def test_coco_round_trip(spark, tmp):
     preds = spark.createDataFrame([(1, "a dog"), (2, "two cats")], "image_id long, caption string")
     refs = spark.createDataFrame([(1, 0, "a dog runs"), (1, 1, "dog"), (2, 2, "cats")], "image_id long, id long, caption string")
-    suffix = ".json" if single else ""
-    write_coco_predictions(preds, os.path.join(tmp, "p" + suffix), single_document=single)
-    write_coco_references(refs, os.path.join(tmp, "r" + suffix), single_document=single)
-    if single:
-        # the single document is one text file holding the JSON value
-        part = [f for f in os.listdir(os.path.join(tmp, "p.json")) if f.startswith("part-")][0]
-        with open(os.path.join(tmp, "p.json", part)) as f:
-            assert json.load(f) == [{"image_id": 1, "caption": "a dog"}, {"image_id": 2, "caption": "two cats"}]
-        part = [f for f in os.listdir(os.path.join(tmp, "r.json")) if f.startswith("part-")][0]
-        with open(os.path.join(tmp, "r.json", part)) as f:
-            doc = json.load(f)
-        assert doc["images"] == [{"id": 1}, {"id": 2}] and len(doc["annotations"]) == 3
-        return
+    write_coco_predictions(preds, os.path.join(tmp, "p"))
+    write_coco_references(refs, os.path.join(tmp, "r"))
     back_p = read_coco_predictions(spark, os.path.join(tmp, "p"))
     back_r = read_coco_references(spark, os.path.join(tmp, "r"))
     assert sorted(tuple(r) for r in back_p.collect()) == [(1, "a dog"), (2, "two cats")]
     assert sorted(tuple(r) for r in back_r.collect()) == [(1, 0, "a dog runs"), (1, 1, "dog"), (2, 2, "cats")]
+    assert sorted(r.id for r in read_coco_images(spark, os.path.join(tmp, "r")).collect()) == [1, 2]
+
+
+def write(tmp, name, text):
+    path = os.path.join(tmp, name)
+    with open(path, "w") as f:
+        f.write(text)
+    return path
+
+
+def test_coco_documents(spark, tmp):
+    p = write(tmp, "p.json", json.dumps([{"image_id": 1, "caption": "a dog"}]))
+    r = write(tmp, "r.json", json.dumps({"images": [{"id": 1}], "annotations": [{"image_id": 1, "id": 0, "caption": "dog"}]}))
+    assert [tuple(x) for x in read_coco_predictions(spark, p, document=True).collect()] == [(1, "a dog")]
+    assert [tuple(x) for x in read_coco_references(spark, r, document=True).collect()] == [(1, 0, "dog")]
+
+
+def test_sharded_manifest(spark, tmp):
+    path = write(tmp, "m.jsonl", '{"filename": "a", "split": "test", "sentences": [{"raw": "x"}]}\n{"filename": "b", "split": "val"}\n')
+    rows = read_split_manifest(spark, path, document=False).collect()
+    assert sorted((r.filename, r.split, r.refs) for r in rows) == [("a", "test", ["x"]), ("b", "val", [])]
+
+
+@pytest.mark.parametrize("name", ["manifest", "manifest lines", "predictions", "prediction lines", "references", "csv"])
+def test_broken_files_are_errors(spark, tmp, name):
+    cut_off = '{"images": [{"filename": "a.jpg", "split": "te'
+    read = {
+        "manifest": lambda: read_split_manifest(spark, write(tmp, "x", cut_off)),
+        "manifest lines": lambda: read_split_manifest(spark, write(tmp, "x", '{"filename": "a"}\n{"filen'), document=False),
+        "predictions": lambda: read_coco_predictions(spark, write(tmp, "x", '[{"image_id": 1, "cap'), document=True),
+        "prediction lines": lambda: read_coco_predictions(spark, write(tmp, "x", '{"image_id": "one", "caption": 2')),
+        "references": lambda: read_coco_references(spark, write(tmp, "x", cut_off), document=True),
+        "csv": lambda: read_captions(spark, write(tmp, "x", "image,caption\na.jpg\n")),
+    }[name]
+    with pytest.raises(Exception, match="(?i)malformed|MALFORMED"):
+        read().collect()
 
 
 def test_raw_references_handles_null(spark):

@@ -126,7 +126,7 @@ def test_golden_values_from_fixtures(spark):
     """FIXTURES.md section 4: first five sentences, at most 30 tokens per side."""
     from captally import fixtures as fx
 
-    arr = fx.sentence_arrays(spark, "/root/testdata/sf0.01")
+    arr = fx.sentence_arrays(spark, "/root/testdata/sf0.01").where(F.size("sents") >= 2)
     cut30 = lambda toks: F.array_join(F.slice(toks, 1, 30), " ")
     kept = F.filter(F.split(F.get(F.col("sents"), 0), " "), lambda t, i: i % 5 != 4)
     preds = arr.select("image", cut30(kept).alias("caption"))
@@ -140,20 +140,72 @@ def test_golden_values_from_fixtures(spark):
         assert got[k] == pytest.approx(v, abs=2e-6), k
 
 
-def test_gram_plan_shuffles_references_once_on_gram_keys(spark):
-    import re
+def scoring_plan(spark, p, r):
+    paired = M.pair(p, r)
+    df = M.image_scores_plan(paired, M.cut(M._pair_grams(paired), "grams"))
+    df.collect()
+    return paired, df._jdf.queryExecution().executedPlan().toString()
 
+
+def test_plan_that_runs(spark):
+    """One scan of predictions, grams written once, nothing in a single partition, no cross or nested-loop join."""
     p, r = frames(spark)
-    key = "spark.sql.requireAllClusterKeysForCoPartition"
-    spark.conf.set(key, "false")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    paired, plan = scoring_plan(spark, p, r)
+    assert "isFinalPlan=true" in plan
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "SinglePartition" not in plan
+    assert "LocalTableScan" not in plan and "Scan ExistingRDD" not in plan  # the inputs were read once, before
+
+
+def test_hot_image_and_hot_gram_are_shared_out(spark):
+    """One image with most references, all holding one gram: several tasks do its work and scores are right."""
+    cands = {f"i{k}.jpg": "a dog runs here" for k in range(6)}
+    refs = {k: ["a dog"] for k in cands}
+    refs["i0.jpg"] = [f"a dog runs {n} times" for n in range(400)]
+    check(spark, cands, refs)
+    p, r = frames(spark, cands, refs)
+    paired = M.pair(p, r)
+    hot = paired.pairs.where("image = 'i0.jpg'")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # tiny partitions would be merged
     try:
-        plan = M.image_scores(M.pair(p, r), materialize=False)._jdf.queryExecution().executedPlan().toString()
+        dealt = M._spread(M.Paired(paired.cand, hot, paired.mode)).select(F.spark_partition_id().alias("part")).distinct()
+        assert dealt.count() > 4
     finally:
-        spark.conf.unset(key)
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    parts = {re.sub(r"#\d+L?", "", m) for m in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)}
-    keys = {tuple(x.strip() for x in m.split(",")[:-1]) for m in parts}
-    assert ("n", "g", "s") in keys
-    # the gram joins and aggregates are co-partitioned: no exchange on (image, n, g ...)
-    assert not any(k[:3] == ("image", "n", "g") or k[:4] == ("n", "g", "s", "image") for k in keys)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_skew_join_deals_hot_keys(spark):
+    from captally.operators.skew import skew_join
+
+    big = spark.createDataFrame([("hot", i) for i in range(500)] + [(f"k{i}", i) for i in range(50)], "k string, v int")
+    small = spark.createDataFrame([("hot", "H"), ("k1", "one"), ("k2", "two"), ("nope", "x")], "k string, w string")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        want = sorted(map(str, big.join(small, ["k"], how).collect()))
+        assert sorted(map(str, skew_join(big, small, ["k"], how, threshold=100).collect())) == want, how
+
+
+def test_second_prediction_is_an_error_unless_ordered(spark):
+    p = spark.createDataFrame([("a", 0, "old one"), ("a", 1, "a dog"), ("b", 0, "cat")], "image string, pos int, caption string")
+    r = spark.createDataFrame([("a", 0, "a dog"), ("b", 0, "cat")], "image string, pos int, caption string")
+    with pytest.raises(ValueError, match="1 image"):
+        M.pair(p.drop("pos"), r)
+    assert sorted(x.c_caption for x in M.pair(p, r).pairs.collect()) == ["a dog", "cat"]
+
+
+def test_presets_are_scored_apart_in_one_job(spark):
+    p, r = frames(spark)
+    other = {k: "the " + v for k, v in CANDS.items() if k != "b.jpg"}
+    q, _ = frames(spark, other)
+    both = p.withColumn("preset", F.lit("x")).unionByName(q.withColumn("preset", F.lit("y")))
+    got = {(x.preset, x.metric): x.score for x in M.caption_scores(both, r).collect()}
+    for name, preds in (("x", p), ("y", q)):
+        for row in M.caption_scores(preds, r).collect():
+            assert got[name, row.metric] == pytest.approx(row.score, abs=1e-9)
+
+
+def test_lcs_masks_are_shared():
+    from captally.functions.lcs import lcs_length, masked_lcs, token_masks
+
+    a = "a b c a d".split()
+    for b in ("a c d", "", "x", "a b c a d", "d a c b a"):
+        assert masked_lcs(token_masks(a), b.split(" ")) == lcs_length(b.split(" "), a)

@@ -7,6 +7,8 @@ from captally.operators.captioner import PRESETS, caption_images, decoding_prese
 from captally.operators.ordinals import annotation_ids, at_positions, image_ordinal, ordinals, slice_images
 from captally.operators.pairing import (
     caption_positions,
+    check_id_collisions,
+    check_prediction_ids,
     drop_bad_samples,
     failures,
     group_captions,
@@ -14,18 +16,22 @@ from captally.operators.pairing import (
     pick_metrics,
     references_for,
     scored_only,
+    unknown_prediction_ids,
 )
 from captally.operators.sft import (
     IGNORE_INDEX,
     assemble_batches,
     build_vocab,
+    encode,
     mask_labels,
     step_plan,
     training_examples,
     truncate_pad,
 )
 from captally.operators.splits import by_split, positional_split, split_counts
+from captally.plans.evaluation import evaluate_manifest
 from captally.plans.report import score_report
+from captally.plans.training import training_captions
 
 
 def images(spark, n):
@@ -64,7 +70,7 @@ def test_image_ordinal_per_split_and_slices(spark):
     assert sorted(r.image for r in sl.collect()) == ["img00005.jpg", "img00006.jpg", "img00007.jpg"]
     ranked = ordinals(images(spark, 30).select("image"), ["image"], "ordinal")
     picked = at_positions(ranked, [12, 3, 99]).collect()
-    assert [(r.slot, r.image) for r in picked] == [(0, "img00012.jpg"), (1, "img00003.jpg")]
+    assert [(r.slot, r.image, r.found) for r in picked] == [(0, "img00012.jpg", True), (1, "img00003.jpg", True), (2, None, False)]
 
 
 def test_annotation_ids_dense_over_image_then_pos(spark):
@@ -138,3 +144,103 @@ def test_score_report_and_pick(spark):
     assert [r.metric for r in pick_metrics(scores, ["CIDEr"]).collect()] == ["CIDEr"]
     rep3 = {r.metric: r.line for r in score_report(scores, 1.0, 3).collect()}
     assert rep3["CIDEr"] == "CIDEr: 0.941"
+
+
+def test_step_plan_that_does_not_divide(spark):
+    """117 images in batches of 4 and rounds of 4: 30 batches, 7 whole rounds an epoch."""
+    plan = step_plan(spark.range(117)).first()
+    assert (plan.batches_per_epoch, plan.steps_per_epoch, plan.total_steps) == (30, 7, 21)
+
+
+def test_end_token_can_be_learned(spark):
+    caps = spark.createDataFrame([("i", "a dog")], "image string, caption string")
+    vocab = build_vocab(caps)
+    masked, kept = (training_examples(caps, "p", vocab, 6, mask_eos=m).first().labels for m in (True, False))
+    assert masked == [-100, -100, 1, 3, 4, -100, -100, -100]
+    assert kept == [-100, -100, 1, 3, 4, 2, -100, -100]
+
+
+def test_long_text_is_cut_before_lookup(spark):
+    caps = spark.createDataFrame([("i", "a b " * 500)], "image string, caption string")
+    vocab = build_vocab(caps)
+    row = training_examples(caps, "p", vocab, 5).first()
+    assert row.input_ids == [1, 0, 1, 3, 4, 3, 4]
+
+
+def test_encode_hot_tokens(spark):
+    caps = spark.createDataFrame([(i, "the cat " * 20 if i % 2 else "") for i in range(30)], "image int, caption string")
+    vocab = build_vocab(caps)
+    want = {r.image: r.ids for r in encode(caps, "caption", vocab, ["image"]).collect()}
+    spark.conf.set("captally.skew.hotKeyRows", "10")
+    try:
+        got = {r.image: r.ids for r in encode(caps, "caption", vocab, ["image"]).collect()}
+        assert [r.image for r in references_for(images(spark, 6), images(spark, 2)).orderBy("image").collect()] == ["img00000.jpg", "img00001.jpg"]
+    finally:
+        spark.conf.unset("captally.skew.hotKeyRows")
+    assert got == want and want[0] == [1] and want[1] == [1] + [4, 3] * 20
+
+
+def test_bad_samples_leave_training(spark):
+    manifest = spark.createDataFrame([(f"i{k}", "train", [f"cap {k}"]) for k in range(4)] + [("none", "train", [])], "filename string, split string, refs array<string>")
+    status = spark.createDataFrame([("i0", "ok"), ("i1", "missing"), ("i2", "error"), ("i3", "ok"), ("none", "ok")], "image string, status string")
+    assert sorted(r.image for r in training_captions(manifest, status).collect()) == ["i0", "i3"]
+
+
+def test_unknown_ids_and_collisions_stop_the_job(spark):
+    preds = spark.createDataFrame([(1, "a"), (2, "b")], "image_id long, image string")
+    refs = spark.createDataFrame([(1, "a")], "image_id long, image string")
+    assert [r.image_id for r in unknown_prediction_ids(preds, refs).collect()] == [2]
+    with pytest.raises(ValueError, match="1 prediction"):
+        check_prediction_ids(preds, refs)
+    check_prediction_ids(refs, preds)
+    clash = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (2, "c")], "image_id long, image string")
+    with pytest.raises(ValueError, match="1 image_id"):
+        check_id_collisions(clash)
+    check_id_collisions(preds)
+
+
+def test_captioner_is_made_once_per_worker(spark, tmp):
+    """16 partitions on 4 cores: no more factory calls than Python workers."""
+    import os
+
+    def factory(preset):
+        import tempfile
+
+        tempfile.mkstemp(prefix="made-", dir=tmp)
+        return lambda blob: "caption."
+
+    imgs = spark.range(64).selectExpr("concat('i', id) as image", "cast('x' as binary) as content").repartition(16)
+    assert caption_images(imgs, factory, PRESETS["greedy"]).where("status = 'ok'").count() == 64
+    assert 1 <= len(os.listdir(tmp)) <= 8
+
+
+def test_evaluation_reports_every_image_of_the_split(spark):
+    rows = [("a", "test", ["a dog runs"]), ("b", "test", ["cat"]), ("c", "test", ["gone"]), ("d", "train", ["x"]), ("e", "test", [])]
+    manifest = spark.createDataFrame(rows, "filename string, split string, refs array<string>")
+    files = [("a", bytearray(b"a dog")), ("b", bytearray(b"\xff")), ("d", bytearray(b"x")), ("e", bytearray(b"e"))]
+    imgs = spark.createDataFrame(files, "image string, content binary")
+    job = evaluate_manifest(manifest, imgs, text_captioner)
+    assert {r.image: r.status for r in job.generations.collect()} == {"a": "ok", "b": "error", "c": "missing", "e": "ok"}
+    assert tuple(job.coverage.first()) == (1, 1, 2)
+    assert job.scores.count() == 6
+
+
+def test_generations_run_once(spark):
+    from captally import queries
+
+    plan = queries.failures_by_status(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInPandas") == 1
+
+
+def test_scratch_is_removed(spark):
+    import os
+
+    from captally.operators import materialize
+
+    path = materialize.scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    local = path.removeprefix("file:")
+    assert os.path.exists(local)
+    keep, materialize._WRITTEN[:] = [p for p in materialize._WRITTEN if p != path], [path]
+    assert materialize.remove_scratch() == 1 and not os.path.exists(local)
+    materialize._WRITTEN[:] = keep
