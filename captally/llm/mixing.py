@@ -132,7 +132,9 @@ def slots(sources: DataFrame, shard_blocks: int = SHARD_BLOCKS, seed: int = 0) -
     counts = counts.join(sources.select("sid", "quota"), "sid").withColumn("upto", F.sum("n").over(by_shard))
     counts = counts.withColumn("first", F.col("upto") - F.col("n"))
     counts = counts.withColumn("kept", F.greatest(F.lit(0), F.least(F.col("n"), F.col("quota") - F.col("first"))))
-    fair = counts.where(F.col("kept") > 0).select("shard", "sid", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("kept") - 1)).alias("nth"))
+    # Few rows make many slots: spread them by their number, not by their bytes.
+    spread = counts.where(F.col("kept") > 0).repartition(n // shard_blocks + 1, "shard", "sid")
+    fair = spread.select("shard", "sid", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("kept") - 1)).alias("nth"))
 
     # Slots beyond a source's quota, numbered through, meet the missing slots of other sources.
     numbered = Window.orderBy("sid", "shard").rowsBetween(Window.unboundedPreceding, -1)
