@@ -41,6 +41,8 @@ ZIPF_SHIFT = 10.0
 FREQUENT = 1 << 17
 FREQUENT_BYTES = 32
 MAX_PIECE_CHARS = 16
+#: Distinct words of one training task.
+TASK_WORDS = 1 << 17
 #: Word characters of one lattice batch.
 BATCH_CHARS = 1 << 18
 WORD_MARK = "▁".encode()
@@ -233,8 +235,10 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return both.groupBy("word").agg(F.sum(F.when(F.col("training"), F.col("n")).otherwise(0)).alias("c"))
 
 
-def train_pieces(counts: DataFrame, ends: int, pieces: Pieces, rounds: int = EM_ROUNDS) -> Pieces:
+def train_pieces(counts: DataFrame, n_types: int, ends: int, pieces: Pieces, rounds: int = EM_ROUNDS) -> Pieces:
     """Expectation-maximisation over the distinct training words; at most one count per piece reaches the driver."""
+    # A task sends a count per piece whatever its size, so tasks should have many words each.
+    words = counts.where("c > 0").select("word", "c").coalesce(n_types // TASK_WORDS + 1)
     for _ in range(rounds):
 
         def expect(batches, now=pieces):
@@ -246,7 +250,7 @@ def train_pieces(counts: DataFrame, ends: int, pieces: Pieces, rounds: int = EM_
                 used = np.flatnonzero(total)
                 yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], names=["piece", "n"])
 
-        found = counts.where("c > 0").select("word", "c").mapInArrow(expect, "piece int, n double")
+        found = words.mapInArrow(expect, "piece int, n double")
         expected = np.zeros(len(pieces.prior))
         for r in found.groupBy("piece").agg(F.sum("n").alias("n")).collect():
             expected[r["piece"]] = r["n"]
@@ -334,6 +338,25 @@ def _scorer(frequent: list[tuple[str, int, float]]):
     return make
 
 
+def frequent_words(table: DataFrame, most: int) -> list[tuple[str, int, float]]:
+    """The words above the least count that at most ``most`` words reach (in sixteenths of an octave).
+
+    Found from a histogram of a few hundred rows, so nothing but these words
+    is sent to the driver, however many partitions the table has.
+    """
+    short = table.where((F.col("c") > 0) & (F.octet_length("word") <= FREQUENT_BYTES))
+    short = short.withColumn("level", F.floor(F.log2("c") * 16).cast("int"))
+    least, total = None, 0
+    for level, n in sorted(short.groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True):
+        total += n
+        if total > most:
+            break
+        least = level
+    if least is None:
+        return []
+    return sorted(tuple(r) for r in short.where(F.col("level") >= least).select("word", "c", "log_p").collect())
+
+
 def score_texts(docs: DataFrame, vocabulary: str = VOCABULARY, rounds: int = EM_ROUNDS, frequent: int = FREQUENT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document."""
     docs = docs.select("doc_id", "text")
@@ -341,10 +364,9 @@ def score_texts(docs: DataFrame, vocabulary: str = VOCABULARY, rounds: int = EM_
     ends = docs.where(~_held_out()).count()
     trained = counts.where("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     n_train, n_types = trained[0] + ends, trained[1] + (1 if ends else 0)
-    pieces = train_pieces(counts, ends, Pieces.load(vocabulary), rounds)
+    pieces = train_pieces(counts, trained[1], ends, Pieces.load(vocabulary), rounds)
     table = cut(with_lattice(counts, pieces), "lm-words")
-    top = table.where((F.col("c") > 0) & (F.octet_length("word") <= FREQUENT_BYTES)).orderBy(F.col("c").desc(), "word").limit(frequent)
-    top = [tuple(r) for r in top.collect()]
+    top = frequent_words(table, frequent)
 
     rows = docs.withColumn("tid", F.xxhash64("text"))
     found = map_texts(rows, "text", ["doc_id", "tid"], MARK_FIELDS, _scorer(top))
