@@ -85,6 +85,33 @@ QUERIES = {
 # SQL states the operators whose result is defined by the rows alone; the
 # others are compared with brute force in tests/llm.
 ORACLES: dict[str, str] = {
+    "op2_suffix_dedup": """
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), w AS (
+  SELECT rid, p, md5(substr(h, 2 * p + 1, 400)) AS s
+  FROM (SELECT rid, h, unnest(range(len(h) // 2 - 199)) AS p FROM d WHERE len(h) >= 400)
+), r AS (
+  SELECT s FROM w GROUP BY s HAVING count(*) > 1
+), g AS (
+  SELECT rid, p, CASE WHEN p - lag(p) OVER (PARTITION BY rid ORDER BY p) <= 200 THEN 0 ELSE 1 END AS new
+  FROM w SEMI JOIN r USING (s)
+), i AS (
+  SELECT rid, p, sum(new) OVER (PARTITION BY rid ORDER BY p) AS k FROM g
+), spans AS (
+  SELECT rid, min(p) AS lo, max(p) + 200 AS hi FROM i GROUP BY rid, k
+), pieces AS (
+  SELECT rid, lo, hi, coalesce(lag(hi) OVER (PARTITION BY rid ORDER BY lo), 0) AS before FROM spans
+), cut AS (
+  SELECT p.rid, count(*) AS n_spans, sum(p.hi - p.lo) AS n_removed, max(p.hi) AS last,
+         string_agg(substr(d.h, 2 * p.before + 1, 2 * (p.lo - p.before)), '' ORDER BY p.lo) AS kept
+  FROM pieces p JOIN d USING (rid) GROUP BY p.rid
+)
+SELECT d.doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(c.n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(c.n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(c.kept, '') || substr(d.h, 2 * coalesce(c.last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN cut c USING (rid)
+""",
     "op5_chat_format": """
 WITH t AS (
   SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

@@ -77,6 +77,16 @@ def test_suffix_dedup(odd, given, which, group_rows):
     same(want, [tuple(r) for r in got])
 
 
+def test_suffix_dedup_oracle(given):
+    import duckdb
+
+    from captally.llm.queries import ORACLES
+
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{SF001}/documents.parquet'")
+    same(con.sql(ORACLES["op2_suffix_dedup"]).fetchall(), [tuple(r) for r in suffix_dedup.repeat_report(given).collect()])
+
+
 def test_deep_shallow_order():
     rng = np.random.default_rng(4)
     for _ in range(60):
