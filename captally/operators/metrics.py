@@ -171,7 +171,7 @@ def _pair_grams(p: Paired) -> DataFrame:
     )
     bigrams = lambda t: F.greatest(F.size(t) - 1, F.lit(0))
     toks = toks.withColumn("delta", bigrams("c") - bigrams("r"))
-    return paired_gram_counts(toks, "r", "c", ["unit", "pos", "ln_n", "delta"], MAX_N).where("cnt > 0")
+    return paired_gram_counts(toks, "r", "c", ["unit", "pos"], ["ln_n", "delta"], MAX_N).where("cnt > 0")
 
 
 def _candidate_keys(p: Paired) -> DataFrame:
