@@ -178,7 +178,8 @@ def training_sample(docs: DataFrame, rows_per_language: int) -> DataFrame:
     hashes = cut(rows.select("lang", "h").distinct(), "lang-hashes")
     sizes = hashes.groupBy("lang").agg(F.count(F.lit(1)).alias("n_lang"))
     unit = F.shiftrightunsigned("h", 11) / F.lit(float(1 << 53))
-    thin = hashes.join(sizes, "lang").where(unit * F.col("n_lang") < 3 * rows_per_language + 50)
+    # One row per language, as many as the model itself has columns: a broadcast deals no language to one task.
+    thin = hashes.join(F.broadcast(sizes), "lang").where(unit * F.col("n_lang") < 3 * rows_per_language + 50)
     nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.shiftrightunsigned("h", 11), "h"))
     chosen = cut(thin.withColumn("nth", nth).where(F.col("nth") <= rows_per_language), "lang-chosen")
     texts = rows.join(chosen, ["lang", "h"])
