@@ -34,7 +34,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window
 
 from captally.llm.text_batches import LOWER, SPACED_WORD, map_texts, word_spans
 from captally.operators.materialize import cut
@@ -322,5 +321,6 @@ def drop_near_duplicates(docs: DataFrame, max_distance: int = MAX_DISTANCE) -> D
     marked = cut(with_fingerprints(packed, ["whole", "doc_id"]), "simhash-docs")
     ids = fingerprint_components(marked.select("doc_id", "fp"), max_distance)
     first = marked.join(ids, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    nth = F.row_number().over(Window.partitionBy("root").orderBy("whole.text", F.to_json("whole")))
-    return first.withColumn("nth", nth).where(F.col("nth") == 1).select("whole.*")
+    # Rows with the smallest id of a component: one, but for repeated or null ids; combined map-side.
+    order = F.struct("whole.text", F.sha2(F.to_json("whole"), 256).alias("rest"))
+    return first.groupBy("root").agg(F.min_by("whole", order).alias("whole")).select("whole.*")
