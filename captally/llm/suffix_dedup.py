@@ -45,7 +45,9 @@ GRAM = 40
 SHALLOW = 64
 GROUP_ROWS = 100_000
 #: Entries sorted together (whole groups).
-BATCH_ROWS = 1 << 15
+BATCH_ROWS = 1 << 14
+#: Text handled at a time in the anchor pass, which keeps some 100 bytes for each of its bytes.
+ANCHOR_CHUNK = 1 << 20
 
 
 def sliding(a: np.ndarray, width: int, op) -> np.ndarray:
@@ -225,7 +227,7 @@ def shared_windows(left, left_size, right, right_size, group, weight, length: in
     by_right, right_shared = deep_shallow(right, group)
     by_left, left_shared = deep_shallow(left, group)
     repeated = np.zeros((reach + 1, m), bool)
-    classes = np.full((reach + 1, m), -1, np.int64)
+    classes = np.full((reach + 1, m), -1, np.int32)
     right_id, left_id = np.empty(m, np.int64), np.empty(m, np.int64)
     for before in range(reach + 1):
         fits = np.flatnonzero((left_size >= before) & (right_size >= length - before))
@@ -352,12 +354,14 @@ def covered_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
     """
     reach = length - gram
     rows = docs.where(F.octet_length("text") >= length).withColumn("n_bytes", F.octet_length("text").cast("long"))
-    anchored = map_texts(rows, "text", ["k1", "k2", "n_bytes"], ANCHOR_FIELDS, _anchors(length, gram))
+    anchored = map_texts(rows, "text", ["k1", "k2", "n_bytes"], ANCHOR_FIELDS, _anchors(length, gram), ANCHOR_CHUNK)
     anchored = cut(anchored.withColumn("rid", F.monotonically_increasing_id()), "suffix-anchors")
     zipped = F.explode(F.arrays_zip(F.col("grams").alias("gram"), F.col("around").alias("around"), F.col("places").alias("pos")))
     anchors = anchored.select("rid", "n_bytes", zipped.alias("x")).select("x.gram", "x.around", "rid", "x.pos", "n_bytes")
     often = anchored.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    anchors = cut(anchors.join(often.select("gram"), "gram"), "suffix-shared")
+    # Written first, so that the join has shuffles of its own, whose hot grams Spark may split.
+    often = cut(often.select("gram"), "suffix-often")
+    anchors = cut(anchors.join(often, "gram"), "suffix-shared")
 
     entries = anchors.groupBy("gram", "around").agg(F.count(F.lit(1)).alias("weight"), F.min(F.struct("rid", "pos")).alias("one"))
     entries = cut(entries.select("gram", "around", "weight", "one.rid", "one.pos"), "suffix-entries")

@@ -32,7 +32,7 @@ ALNUM_WORD[0x61:0x7B] = True
 ALNUM_WORD[0x80:] = True
 
 
-def text_chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_chunks(texts: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, row offsets into them); null texts are empty."""
     if texts.null_count:
         texts = texts.fill_null("" if pa.types.is_string(texts.type) else b"")
@@ -46,7 +46,7 @@ def text_chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndar
     raw = np.frombuffer(buffers[2], dtype=np.uint8) if buffers[2] is not None else np.zeros(0, np.uint8)
     lo = 0
     while lo < n:
-        hi = int(np.searchsorted(offsets, offsets[lo] + CHUNK_BYTES, side="right")) - 1
+        hi = int(np.searchsorted(offsets, offsets[lo] + chunk_bytes, side="right")) - 1
         hi = min(max(hi, lo + 1), n)
         yield lo, hi, raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
         lo = hi
@@ -58,6 +58,7 @@ def map_texts(
     keep: Sequence[str],
     new_fields: Sequence[T.StructField],
     make: Callable[[], Callable[[np.ndarray, np.ndarray], Sequence]],
+    chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
     """``keep`` columns of ``df`` plus ``new_fields`` computed from column ``text``.
 
@@ -74,7 +75,7 @@ def map_texts(
         f = make()
         for b in batches:
             at = {c: b.column(i) for i, c in enumerate(cols)}
-            for lo, hi, data, offsets in text_chunks(at[text]):
+            for lo, hi, data, offsets in text_chunks(at[text], chunk_bytes):
                 made = f(data, offsets)
                 kept = [at[c].slice(lo, hi - lo) for c in keep]
                 if isinstance(made, tuple):
@@ -133,7 +134,7 @@ class SpanHasher:
     def load(self, data: np.ndarray) -> "SpanHasher":
         n = len(data)
         if len(self._up) <= n:
-            size = max(n + 1, CHUNK_BYTES + 1)
+            size = n + n // 8 + 1
             up, down = np.full(size, self.BASE, np.uint64), np.full(size, self.INVERSE, np.uint64)
             up[0] = down[0] = 1
             self._up, self._down = np.cumprod(up), np.cumprod(down)
