@@ -176,6 +176,10 @@ corpus AS (
 """.format(**{f"b{k}": e for k, e in zip(range(1, 5), _bleu_exprs(lambda k: f"c{k}", lambda k: f"g{k}", "tl", "rl"))})
 
 
+# The same without ROUGE-L, for statements that need no LCS.
+CORPUS_OF_GRAMS = CORPUS.replace(",\n         avg(rouge_l) AS rouge_l, avg(cider)", ",\n         avg(cider)").replace("rouge_l AS ROUGE_L, ", "").replace("ROUGE_L, ", "")
+
+
 def _with(*parts: str) -> str:
     return "WITH " + ",\n".join(p.strip().rstrip(",") for p in parts)
 
@@ -184,6 +188,10 @@ def _metrics(pred_cte: str = "spreds") -> str:
     return _with(DOCS, PREDS, _metric_ctes(pred_cte), CORPUS)
 
 
+def _gram_metrics(pred_cte: str = "spreds") -> str:
+    return _with(DOCS, PREDS, _metric_ctes(pred_cte), CORPUS_OF_GRAMS)
+
+
 # Caption-tokenizer rules (STR-7), as RE2 text.
 _NT = r"([\p{L}\p{N}])n't([^\p{L}\p{N}]|$)"
 _SUFFIX = r"([\p{L}\p{N}])'(s|re|ve|ll|d|m)([^\p{L}\p{N}]|$)"
@@ -316,7 +324,7 @@ SELECT image, 'candidate' AS side, CAST(NULL AS BIGINT) AS pos, CAST(n AS BIGINT
 UNION ALL SELECT image, 'reference', pos, n, g, cnt FROM rg""",
     "document_frequency": _metrics() + """
 SELECT CAST(n AS BIGINT) AS n, g, df FROM dfq""",
-    "bleu_corpus": _metrics() + """
+    "bleu_corpus": _gram_metrics() + """
 SELECT metric, round(score, 6) AS score FROM corpus WHERE metric LIKE 'Bleu_%'""",
     "bleu_per_image": _metrics() + "\nSELECT image, "
     + ", ".join(f"round({e}, 6) AS bleu_{k}" for k, e in zip(range(1, 5), _PER_IMAGE_BLEU))
@@ -327,13 +335,13 @@ SELECT image, round(rouge_l, 6) AS rouge_l FROM per""",
 SELECT metric, round(score, 6) AS score FROM corpus WHERE metric = 'ROUGE_L'""",
     "cider_per_image": _metrics() + """
 SELECT image, round(cider, 6) AS cider FROM per""",
-    "cider_corpus": _metrics() + """
+    "cider_corpus": _gram_metrics() + """
 SELECT metric, round(score, 6) AS score FROM corpus WHERE metric = 'CIDEr'""",
     "caption_scores": _metrics() + """
 SELECT metric, round(score, 6) AS score FROM corpus""",
     "caption_scores_ptb": _caption_metrics() + """
 SELECT metric, round(score, 6) AS score FROM corpus""",
-    "score_lines": _metrics() + """
+    "score_lines": _gram_metrics() + """
 SELECT metric, round(score * 100, 2) AS value, metric || ': ' || printf('%.2f', round(score * 100, 2)) AS line FROM corpus""",
     "qualitative_rows": _with(DOCS, PREDS, POSITIONAL) + """,
 test AS (SELECT image, row_number() OVER (ORDER BY image) - 1 AS idx FROM plabels WHERE split = 'test'),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from captally.functions.text import plot_title, scale_round
 from captally.operators.materialize import cut
 from captally.operators.ordinals import at_positions, ordinals
+from captally.operators.pairing import pick_metrics
 
 # Rows the qualitative viewer shows by default.
 DEFAULT_INDICES = (1090, 50, 200)
@@ -18,7 +19,7 @@ DEFAULT_INDICES = (1090, 50, 200)
 def score_report(scores: DataFrame, scale: float = 100.0, digits: int = 2, metrics: Sequence[str] | None = None) -> DataFrame:
     """SNK-4: (metric, value, line) with ``value = round(score * scale, digits)``."""
     if metrics is not None:
-        scores = scores.where(F.col("metric").isin(list(metrics)))
+        scores = pick_metrics(scores, metrics)
     value = scale_round("score", scale, digits)
     return scores.select(
         "metric",

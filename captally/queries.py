@@ -370,8 +370,9 @@ def caption_scores_ptb(spark, sf):
 
 
 def score_lines(spark, sf):
-    """SNK-4, NUM-1: the scores as report lines, times 100 with two digits."""
-    lines = score_report(metrics.caption_scores(fx.scoring_predictions(spark, sf), fx.references(spark, sf)))
+    """SNK-4, NUM-1, FLT-4: BLEU and CIDEr as report lines, times 100 with two digits."""
+    scores = metrics.caption_scores(fx.scoring_predictions(spark, sf), fx.references(spark, sf))
+    lines = score_report(scores, metrics=["Bleu_1", "Bleu_2", "Bleu_3", "Bleu_4", "CIDEr"])
     return lines.select("metric", "value", "line")
 
 
