@@ -322,12 +322,19 @@ def _sort_entries(length: int, gram: int):
     return run
 
 
+def _small(batches, rows: int = 1024):
+    """Batches of at most ``rows`` texts: what a step holds besides follows them."""
+    for b in batches:
+        for lo in range(0, b.num_rows, rows):
+            yield b.slice(lo, rows)
+
+
 def _surroundings(length: int, gram: int):
     """Joined texts and their entries to one row per entry with the bytes before and from the anchor."""
     reach = length - gram
 
     def run(batches):
-        for b in batches:
+        for b in _small(batches):
             texts, entries = b.column(0), b.column(1)
             out: dict[str, list] = {c: [] for c in ("gram", "unit", "parts", "weight", "rid", "pos", "left", "right")}
             for text, mine in zip(texts, entries, strict=True):
@@ -370,7 +377,7 @@ def covered_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
     whole = whole.select("rid", F.greatest(F.col("pos") - reach, F.lit(0)).alias("start"), F.least(F.col("pos") + length, "n_bytes").alias("end"))
 
     # Grams with several entries are sorted; the texts around their places are fetched first.
-    several = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
+    several = cut(entries.groupBy("gram").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1), "suffix-several")
     parts = F.ceil(F.col("size") / group_rows).cast("int")
     units = entries.join(several, "gram").withColumn("parts", parts)
     units = units.withColumn("unit", F.xxhash64("gram", F.pmod(F.xxhash64("around"), F.col("parts"))))
@@ -395,7 +402,7 @@ def _cut_out():
     """Joined texts and ranges to (bytes, removed runs, what is left)."""
 
     def run(batches):
-        for b in batches:
+        for b in _small(batches):
             n_bytes, removed, kept = [], [], []
             for text, ranges in zip(b.column(1), b.column(2), strict=True):
                 data = text.as_buffer() if text.is_valid else pa.py_buffer(b"")
