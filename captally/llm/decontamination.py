@@ -5,8 +5,10 @@ and digits).  Three fixed masks of weight six, ``111111``, ``111000111`` and
 ``111000000111``, ignore the positions marked 0: cut any 12 tokens into four
 threes, and two substitutions leave two threes whole, so one mask still hits.
 Test and training hashes are joined, and every hit is verified: along its
-diagonal the best segment (+1 a match, -4 a substitution) must reach
-``min_matches`` matching tokens, or four fifths of a shorter item.
+diagonal some window of ``min_matches`` + 2 tokens must have ``min_matches``
+equal ones, or four fifths of a shorter item.  What is reported is the best
+segment (+1 a match, -4 a substitution) if it reaches as many matches, else
+the longest run of such windows.
 
 Every overlap that has 12 aligned tokens with at most two substitutions is
 found.  Texts are read once: a fixed-size Bloom filter of the benchmark's
@@ -33,6 +35,7 @@ from captally.operators.materialize import cut
 MASKS = ("111111", "111000111", "111000000111")
 MIN_MATCHES = 10
 MISMATCH_COST = 4
+SUBSTITUTIONS = 2
 CONTEXT = 48
 BLOOM_BITS = 24
 PROBES = (0, 20, 40)
@@ -166,6 +169,24 @@ def best_overlap(doc: np.ndarray, item: np.ndarray, diagonal: int, cost: int = M
     return int(same[start:end].sum()), end - start, lo + start
 
 
+def verified_overlap(doc: np.ndarray, item: np.ndarray, diagonal: int, min_matches: int = MIN_MATCHES) -> tuple[int, int, int] | None:
+    """(matches, length, start in ``doc``) of the overlap on a diagonal, if there is one."""
+    need = min(min_matches, -(-4 * len(item) // 5))
+    found = best_overlap(doc, item, diagonal)
+    if found[0] >= need:
+        return found
+    lo, hi = max(0, diagonal), min(len(doc), diagonal + len(item))
+    same = doc[lo:hi] == item[lo - diagonal : hi - diagonal]
+    width = max(1, min(min_matches + SUBSTITUTIONS, hi - lo))
+    equal = np.concatenate(([0], np.cumsum(same)))
+    good = np.flatnonzero(equal[width:] - equal[:-width] >= need)
+    if not len(good):
+        return None
+    runs = np.split(good, np.flatnonzero(np.diff(good) > width) + 1)
+    at = max((r[0] + np.flatnonzero(same[r[0] : r[-1] + width]) for r in runs), key=len)
+    return len(at), int(at[-1] - at[0]) + 1, lo + int(at[0])
+
+
 def _verify(min_matches: int):
     def run(batches):
         for b in batches:
@@ -174,12 +195,12 @@ def _verify(min_matches: int):
             rows, matches, length, start = [], [], [], []
             for i, d in enumerate(diagonals):
                 item = items[i].values.to_numpy()
-                m, n, at = best_overlap(docs[i].values.to_numpy(), item, d)
-                if m >= min(min_matches, -(-4 * len(item) // 5)):
+                found = verified_overlap(docs[i].values.to_numpy(), item, d, min_matches)
+                if found:
                     rows.append(i)
-                    matches.append(m)
-                    length.append(n)
-                    start.append(at)
+                    matches.append(found[0])
+                    length.append(found[1])
+                    start.append(found[2])
             keep = [cols[c].take(pa.array(rows, pa.int64())) for c in ("doc_id", "tid", "item_id", "iid", "seg")]
             made = [pa.array(x, pa.int64()) for x in (matches, length, start)]
             names = ["doc_id", "tid", "item_id", "iid", "seg", "n_matches", "n_overlap", "start"]
