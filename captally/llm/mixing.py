@@ -12,8 +12,11 @@ The shards' draws add up to the targets only on average.  Slots that a source
 drew beyond its quota go to the sources that drew too few, so each source is
 taken to within a block of its target and no block more than three times.
 
-Scale: only sizes are shuffled, not texts; positions come from running sums
-over hash buckets of about ``BUCKET_ROWS`` documents and over the buckets, so
+The mix is written once, every slot with its text and the pieces it is made
+of; what is taken of a document is counted from the written pieces.
+
+Scale: texts are shuffled twice, to their places and to their blocks;
+positions come from running sums over hash buckets of about ``BUCKET_ROWS`` documents and over the buckets, so
 a hot source is no single task; slots, pieces and blocks are joined on (source,
 block), which no source dominates.  Tables of one row per source or per
 (shard, source) are the only ones seen whole.
@@ -78,25 +81,40 @@ def source_targets(sizes: DataFrame, block_words: int = BLOCK_WORDS, weights: tu
     )
 
 
-def placed(sizes: DataFrame, sources: DataFrame) -> DataFrame:
-    """``sizes`` with sid and ``at``, the words before the document in its source."""
-    rows = sizes.alias("d").join(sources.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
-    rows = rows.select("d.*", "s.sid", F.pmod("d.place", "s.buckets").alias("bucket"))
-    totals = rows.groupBy("sid", "bucket").agg(F.sum("size").alias("words"))
+def bucket_starts(sizes: DataFrame, sources: DataFrame) -> DataFrame:
+    """(sid, bucket, bucket_at): the words before each hash bucket of a source."""
+    totals = _bucketed(sizes, sources).groupBy("sid", "bucket").agg(F.sum("size").alias("words"))
     upto = Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select("sid", "bucket", F.coalesce(F.sum("words").over(upto), F.lit(0)).alias("bucket_at"))
+    return totals.select("sid", "bucket", F.coalesce(F.sum("words").over(upto), F.lit(0)).alias("bucket_at"))
+
+
+def _bucketed(rows: DataFrame, sources: DataFrame) -> DataFrame:
+    rows = rows.alias("d").join(sources.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
+    return rows.select("d.*", "s.sid", F.pmod("d.place", "s.buckets").alias("bucket"))
+
+
+def placed(rows: DataFrame, sources: DataFrame, starts: DataFrame) -> DataFrame:
+    """``rows`` with sid and ``at``, the words before the document in its source."""
     inside = Window.partitionBy("sid", "bucket").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("in_bucket", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    return rows.join(totals, ["sid", "bucket"]).withColumn("at", F.col("bucket_at") + F.col("in_bucket")).drop("bucket", "bucket_at", "in_bucket")
+    rows = _bucketed(rows, sources).withColumn("in_bucket", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    return rows.join(starts, ["sid", "bucket"]).withColumn("at", F.col("bucket_at") + F.col("in_bucket")).drop("bucket", "bucket_at", "in_bucket")
 
 
 def pieces(rows: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """One row per (document with words, block it reaches into): block, and the word range [start, end) of the document."""
+    """One row per (document with words, block it reaches into): block, the word range [start, end) of the document, and its words."""
     first, last = F.floor(F.col("at") / block_words), F.floor((F.col("at") + F.col("size") - 1) / block_words)
-    cut_up = rows.where(F.col("size") > 0).withColumn("block", F.explode(F.sequence(first.cast("long"), last.cast("long"))))
-    return cut_up.withColumn("start", F.greatest(F.lit(0), F.col("block") * block_words - F.col("at"))).withColumn(
-        "end", F.least(F.col("size"), (F.col("block") + 1) * block_words - F.col("at"))
-    )
+    blocks = F.sequence(first.cast("long"), last.cast("long"))
+
+    def piece(words, block):
+        start = F.greatest(F.lit(0).cast("long"), block * block_words - F.col("at"))
+        end = F.least(F.col("size"), (block + 1) * block_words - F.col("at"))
+        part = F.array_join(F.slice(words, (start + 1).cast("int"), (end - start).cast("int")), " ")
+        return F.struct(block.alias("block"), start.alias("start"), end.alias("end"), part.alias("part"))
+
+    # The one-row array binds the words, so they are found once a document and not once a block.
+    found = F.array(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    cut_up = F.transform(found, lambda words: F.transform(blocks, lambda block: piece(words, block)))[0]
+    return rows.where(F.col("size") > 0).select("sid", "at", "doc_id", "size", F.explode(cut_up).alias("x")).select("sid", "at", "doc_id", "size", "x.*")
 
 
 def permuted(i: Column, n: Column, *key: Column) -> Column:
@@ -155,34 +173,43 @@ def slots(sources: DataFrame, shard_blocks: int = SHARD_BLOCKS, seed: int = 0) -
     return every.select("shard", "sid", block.alias("block"))
 
 
+def _mix(docs: DataFrame, sources: DataFrame, starts: DataFrame, block_words: int, shard_blocks: int, seed: int) -> DataFrame:
+    """(shard, sid, block, pieces, text), one row per output slot."""
+    rows = placed(_sizes(docs, "text"), sources, starts)
+    parts = F.sort_array(F.collect_list(F.struct("at", "doc_id", "size", "start", "end", "part"))).alias("parts")
+    packed = pieces(rows, block_words).groupBy("sid", "block").agg(parts)
+    spans = F.transform("parts", lambda p: p.dropFields("part"))
+    packed = packed.select("sid", "block", spans.alias("pieces"), F.array_join(F.col("parts.part"), " ").alias("text"))
+    return slots(sources, shard_blocks, seed).join(packed, ["sid", "block"]).select("shard", "sid", "block", "pieces", "text")
+
+
 def mix_report(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_blocks: int = SHARD_BLOCKS, seed: int = 0) -> DataFrame:
-    """doc_id, size, source_size, target and taken (words the mix takes, repeats counted) of every document."""
+    """doc_id, size, source_size, target and taken (words the mix takes, repeats counted) of every document.
+
+    The mix is written with its texts, and taken is counted from its pieces.
+    """
     sizes = cut(_sizes(docs), "mix-sizes")
     sources = cut(source_targets(sizes, block_words), "mix-sources")
-    rows = placed(sizes, sources).select("doc_id", "sid", "size", "at")
-    draws = slots(sources, shard_blocks, seed).groupBy("sid", "block").agg(F.count(F.lit(1)).alias("draws"))
-    cut_up = pieces(rows, block_words).select("sid", "block", "doc_id", "size", "at", (F.col("end") - F.col("start")).alias("words"))
-    taken = cut_up.join(draws, ["sid", "block"], "left")
-    taken = taken.groupBy("sid", "at", "doc_id", "size").agg(F.sum(F.col("words") * F.coalesce("draws", F.lit(0))).alias("taken"))
-    wordless = sizes.where(F.col("size") == 0).alias("d").join(sources.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
-    wordless = wordless.select("d.doc_id", "d.size", "s.sid", F.lit(0).cast("long").alias("taken"))
-    report = taken.select("doc_id", "size", "sid", "taken").unionByName(wordless)
+    starts = cut(bucket_starts(sizes, sources), "mix-starts")
+    mix = cut(_mix(docs, sources, starts, block_words, shard_blocks, seed), "mix-blocks")
+    used = mix.select("sid", F.explode("pieces").alias("p")).select("sid", "p.at", (F.col("p.end") - F.col("p.start")).alias("words"))
+    used = used.groupBy("sid", "at").agg(F.sum("words").alias("taken"))
+    rows = placed(sizes, sources, starts).select("doc_id", "sid", "size", "at")
+    # A word-less document shares its place with the next one.
+    taken = F.when(F.col("size") > 0, F.coalesce("taken", F.lit(0))).otherwise(F.lit(0)).alias("taken")
+    report = rows.join(used, ["sid", "at"], "left").select("doc_id", "size", "sid", taken)
     return report.join(sources, "sid").select("doc_id", "size", "source_size", "target", "taken")
 
 
 def mixed_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_blocks: int = SHARD_BLOCKS, seed: int = 0) -> DataFrame:
-    """The mix itself: (shard, source, block, text), one row per output slot.
+    """The mix itself: (shard, source, block, pieces, text), one row per output slot.
 
     A block's text is its words, single-spaced; documents meet inside blocks.
+    ``pieces`` says whose they are, in order: doc_id, the word range
+    [start, end), the document's size and ``at``, its place in the source.
     """
     sizes = cut(_sizes(docs), "mix-sizes")
     sources = cut(source_targets(sizes, block_words), "mix-sources")
-    rows = placed(_sizes(docs, "text"), sources)
-    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
-    rows = rows.withColumn("words", words).drop("text")
-    part = F.array_join(F.slice("words", (F.col("start") + 1).cast("int"), (F.col("end") - F.col("start")).cast("int")), " ")
-    parts = pieces(rows, block_words).select("sid", "block", "at", part.alias("part"))
-    packed = parts.groupBy("sid", "block").agg(F.sort_array(F.collect_list(F.struct("at", "part"))).alias("parts"))
-    packed = packed.select("sid", "block", F.array_join(F.col("parts.part"), " ").alias("text"))
-    out = slots(sources, shard_blocks, seed).join(packed, ["sid", "block"])
-    return out.join(sources.select("sid", "source"), "sid").select("shard", "source", "block", "text")
+    starts = cut(bucket_starts(sizes, sources), "mix-starts")
+    mix = cut(_mix(docs, sources, starts, block_words, shard_blocks, seed), "mix-blocks")
+    return mix.join(sources.select("sid", "source"), "sid").select("shard", "source", "block", "pieces", "text")

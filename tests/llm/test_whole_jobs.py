@@ -2,7 +2,11 @@
 
 from itertools import combinations
 
-from captally.llm import decontamination
+import brute_llm as brute
+import pytest
+from pyspark.sql import functions as F
+
+from captally.llm import decontamination, mixing, queries
 
 
 def test_decontamination_finds_every_placement_of_two_substitutions(spark):
@@ -30,3 +34,41 @@ def test_decontamination_finds_every_placement_of_two_substitutions(spark):
     assert (last.n_matches, last.n_overlap, last.first_word) == (46, 57, 0)
     kept = {r.doc_id for r in decontamination.drop_contaminated(df, items).collect()}
     assert kept == {i for i, _ in docs} - {d for d, _ in want}
+
+
+def test_mix_is_made_of_the_documents(odd):
+    """Every slot holds the words its pieces name, and taken counts them."""
+    texts = {}
+    for r in odd.collect():
+        texts.setdefault((r.doc_id, r.source), []).append(brute.spaced((r.text or "").encode()))
+    taken = {}
+    for r in mixing.mixed_blocks(odd, shard_blocks=64).collect():
+        words = brute.spaced(r.text.encode())
+        assert 0 < len(words) == sum(p.end - p.start for p in r.pieces) <= mixing.BLOCK_WORDS
+        at = 0
+        for p in r.pieces:
+            part = words[at : at + p.end - p.start]
+            assert any(len(t) == p["size"] and t[p.start : p.end] == part for t in texts[(p.doc_id, r.source)])
+            at += len(part)
+            taken[(p.doc_id, p["size"])] = taken.get((p.doc_id, p["size"]), 0) + len(part)
+    report = {}
+    for r in mixing.mix_report(odd, shard_blocks=64).collect():
+        report[(r.doc_id, r["size"])] = report.get((r.doc_id, r["size"]), 0) + r.taken
+    assert {k: n for k, n in report.items() if n} == taken
+
+
+@pytest.mark.parametrize("name", ["op1_mixing", "pipeline"])
+def test_registered_mix_writes_its_texts(spark, monkeypatch, name):
+    """The registered queries write every slot's text."""
+    import corpus_pipeline
+
+    written = {}
+
+    def keep(df, label="table", real=mixing.cut):
+        written[label] = real(df, label)
+        return written[label]
+
+    monkeypatch.setattr(mixing, "cut", keep)
+    report = {"op1_mixing": queries.op1_mixing, "pipeline": corpus_pipeline.run}[name](spark, "/root/testdata/sf0.01")
+    taken = report.agg(F.sum("taken")).first()[0]
+    assert written["mix-blocks"].agg(F.sum(F.size(F.split("text", " ")))).first()[0] == taken > 0
