@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from captally.llm import chat_format, decontamination, language_id, license_scan, lm_scoring, mixing, pii, quality_rules, simhash_dedup, suffix_dedup
+from captally.llm import chat_format, collocations, decontamination, language_id, license_scan, lm_scoring, mixing, pii, quality_rules, simhash_dedup, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,11 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(documents(spark, sf_dir))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best-scoring phrases of each language."""
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -79,6 +84,7 @@ QUERIES = {
         op8_decontamination,
         op9_license_scan,
         op10_pii,
+        op13_collocations,
     )
 }
 
@@ -130,5 +136,41 @@ WITH t AS (
 SELECT p.conv_id, p.pos, k.n_turns, p.turn,
        '<|im_start|>' || p.role || chr(10) || p.text || '<|im_end|>' || chr(10) AS rendered
 FROM p JOIN k ON k.conv_id = p.conv_id
+""",
+    "op13_collocations": r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS did,
+         regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces
+  FROM documents
+), w AS (
+  SELECT lang, did, pid, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws
+  FROM (SELECT lang, did, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS pid FROM p)
+), tot AS (
+  SELECT lang, CAST(sum(len(ws)) AS HUGEINT) AS n FROM w GROUP BY lang
+), g AS (
+  SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (VALUES (1), (2), (3), (4), (5)) v(k))
+), f AS (
+  SELECT lang, k, phrase, CAST(count(*) AS HUGEINT) AS f FROM g GROUP BY ALL HAVING count(*) >= 100
+), cand AS (
+  SELECT lang, k, phrase, string_split(phrase, ' ') AS t, f AS a FROM f WHERE k >= 2
+), cuts AS (
+  SELECT c.lang, c.phrase, c.a, tot.n, j, x.f AS l, y.f AS r, 1000 * c.a * tot.n // (x.f * y.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM cand) c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.t[1:j], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.t[j + 1:], ' ')
+  JOIN tot ON tot.lang = c.lang
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), inner_ AS (
+  SELECT lang, array_to_string(t[i:i + s - 1], ' ') AS phrase, max(a) AS around
+  FROM (SELECT lang, t, a, s, unnest(range(1, k - s + 2)) AS i FROM cand, (VALUES (2), (3), (4)) v(s) WHERE s < k)
+  GROUP BY ALL
+), kept AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY b.score DESC, b.a DESC, b.phrase) AS rank
+  FROM best b LEFT JOIN inner_ i USING (lang, phrase) WHERE i.around IS NULL OR 100 * i.around < 100 * b.a
+)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n,
+       CAST(score AS BIGINT) AS score FROM kept WHERE rank <= 2000
 """,
 }
