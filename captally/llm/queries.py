@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from captally.llm import chat_format, collocations, decontamination, language_id, license_scan, lm_scoring, mixing, pii, quality_rules, simhash_dedup, suffix_dedup
+from captally.llm import chat_format, collocations, decontamination, language_id, license_scan, lm_scoring, mixing, pii, prefix_trie, quality_rules, simhash_dedup, suffix_dedup, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,17 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(documents(spark, sf_dir))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of the rebuilt conversations, a row per node."""
+    turns = prefix_trie.ordered_turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie_report(prefix_trie.rebuilt(turns))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages written as WARC archives and read back."""
+    return warc.page_report(table(spark, sf_dir, "pages"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best-scoring phrases of each language."""
     return collocations.collocations(documents(spark, sf_dir))
@@ -84,6 +95,8 @@ QUERIES = {
         op8_decontamination,
         op9_license_scan,
         op10_pii,
+        op11_prefix_trie,
+        op12_warc,
         op13_collocations,
     )
 }
@@ -136,6 +149,70 @@ WITH t AS (
 SELECT p.conv_id, p.pos, k.n_turns, p.turn,
        '<|im_start|>' || p.role || chr(10) || p.text || '<|im_end|>' || chr(10) AS rendered
 FROM p JOIN k ON k.conv_id = p.conv_id
+""",
+    "op11_prefix_trie": """
+WITH RECURSIVE crc_bits(i, k, v) AS (
+  SELECT i, 0, i FROM range(256) t(i)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM crc_bits WHERE k < 8
+), crc_table AS (
+  SELECT i, v FROM crc_bits WHERE k = 8
+), own AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+           sha256(CAST(strlen(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS pos,
+         coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+  SELECT conv_id, CAST(conv_id AS VARCHAR) AS s, count(*) AS n FROM own GROUP BY conv_id
+), crc(conv_id, s, k, v) AS (
+  SELECT conv_id, s, 0, CAST(4294967295 AS BIGINT) FROM ids
+  UNION ALL
+  SELECT c.conv_id, c.s, c.k + 1, xor(c.v >> 8, t.v)
+  FROM crc c JOIN crc_table t ON t.i = xor(c.v, ascii(substr(c.s, c.k + 1, 1))) & 255 WHERE c.k < len(c.s)
+), hs AS (
+  SELECT conv_id, xor(v, 4294967295) % 9 AS h, conv_id - conv_id % 5 AS base FROM crc WHERE k = len(s)
+), rows_ AS (
+  SELECT hs.conv_id, 0 AS side, o.pos, o.role, o.text FROM hs JOIN own o ON o.conv_id = hs.base AND o.pos < hs.h
+  UNION ALL
+  SELECT hs.conv_id, 1, o.pos, o.role, o.text FROM hs JOIN own o ON o.conv_id = hs.conv_id AND o.pos >= hs.h
+), seqs AS (
+  SELECT conv_id, list({'r': role, 't': text} ORDER BY side, pos) AS q FROM rows_ GROUP BY conv_id
+), convs AS (
+  SELECT ids.conv_id, coalesce(q, []) AS q FROM ids LEFT JOIN seqs USING (conv_id)
+), members AS (
+  SELECT conv_id, d AS depth, q[1:d] AS path, len(q) = d AS ended FROM (SELECT conv_id, q, unnest(range(len(q) + 1)) AS d FROM convs)
+), nodes AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ended), '') AS ends
+  FROM members GROUP BY path, depth
+), kids AS (
+  SELECT path[1:depth - 1] AS path, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+), full_ AS (
+  SELECT n.*, coalesce(k.n_children, 0) AS n_children,
+         CASE WHEN n.depth = 0 THEN 0 ELSE (n.n_convs - 1) * strlen(n.path[n.depth].t) END AS saved
+  FROM nodes n LEFT JOIN kids k ON k.path = n.path AND k.depth = n.depth
+), up AS (
+  SELECT path[1:d] AS path, d AS depth, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT *, unnest(range(depth + 1)) AS d FROM full_) GROUP BY ALL
+)
+SELECT f.conv_id, CAST(f.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children,
+       CAST(u.n_leaves AS BIGINT) AS n_leaves, CAST(u.saved_tokens AS BIGINT) AS saved_tokens, sha256(f.ends) AS ends_sha256
+FROM full_ f JOIN up u ON u.path = f.path AND u.depth = f.depth
+LEFT JOIN nodes p ON p.depth = f.depth - 1 AND p.path = f.path[1:f.depth - 1]
+""",
+    "op12_warc": """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages
+), m AS (
+  SELECT h, max(page_id) AS first_id FROM p GROUP BY h
+)
+SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes,
+       list_aggregate(list_transform(range(8), lambda i: list_aggregate(list_transform([15, 10, 5, 0], lambda s:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((CAST('0x' || substr(h, 5 * i + 1, 5) AS BIGINT) >> s) & 31 AS INTEGER), 1)),
+         'string_agg', '')), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id < first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < first_id THEN first_id END AS refers_to
+FROM p JOIN m USING (h)
 """,
     "op13_collocations": r"""
 WITH p AS (
