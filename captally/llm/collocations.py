@@ -65,7 +65,7 @@ ENDS_PIECE[list(PIECE_ENDS)] = True
 
 
 def language_seed(lang: str | None) -> int:
-    return int.from_bytes(hashlib.blake2b((lang or "und").encode(), digest_size=8).digest(), "little")
+    return int.from_bytes(hashlib.blake2b(("und" if lang is None else lang).encode(), digest_size=8).digest(), "little")
 
 
 class Runs:

@@ -224,7 +224,7 @@ class GzipBytes:
         magic, method, flags = struct.unpack("<HBB6x", self.take(10))
         if magic != 0x8B1F or method != 8:
             raise ValueError("no gzip member")
-        self.lengths, self.inflated = None, 0
+        self.lengths, self.inflated, self.crc = None, 0, 0
         if flags & 4:
             extra = self.take(struct.unpack("<H", self.take(2))[0])
             while len(extra) >= 4:
@@ -250,10 +250,12 @@ class GzipBytes:
             piece, self.raw = self.raw, b""
             got = self.inflater.decompress(piece, READ_BYTES)
             self.raw = self.inflater.unconsumed_tail
+            self.crc = zlib.crc32(got, self.crc)
             if self.inflater.eof:
                 self.raw = self.inflater.unused_data
                 self.inflater = None
-                self.take(8)
+                if struct.unpack("<I4x", self.take(8))[0] != self.crc:
+                    raise ValueError("a gzip member's checksum is wrong")
             if got:
                 self.inflated += len(got)
                 self.buf += got
