@@ -5,18 +5,20 @@ those at spaces and tabs into words; a phrase is 2 to ``max_words`` consecutive
 words of a piece, counted per language.
 
 * Inside a task the words of a chunk are laid out with one space between them
-  and one prefix polynomial over these bytes gives the fingerprint of every
-  run of words; runs of equal fingerprint are combined, by chunk and task,
-  before anything is shuffled.
+  and two prefix polynomials over these bytes (modulo 2**64 and modulo the
+  prime 2**31 - 1) give the fingerprint of every run of words.  Runs of equal
+  fingerprint are combined, by chunk and task, before anything is shuffled,
+  with a pointer to their smallest text: 16 bits of its hash.
 * Three counting passes (words; pairs of frequent words; longer runs of
   frequent pairs) keep the fingerprints with ``min_count`` occurrences.  What
   a pass may skip comes from a Bloom filter of the pass before, of at most
   ``MAX_FILTER_BITS`` bits: it never loses a frequent phrase, and when it is
   full it only lets more through.
-* A last pass takes the occurrences whose fingerprint passed.  Each is a
-  pointer (start, end) into its chunk; equal fingerprints are compared byte by
-  byte, and runs that differ are told apart, so a collision cannot join two
-  phrases.  Only these phrases become text; exact counts are by text.
+* A last pass turns frequent phrases into text, each only in the texts that its
+  pointer names, and the fingerprint is computed anew from that text.  Where two
+  texts share one fingerprint, all occurrences are counted again by their
+  bytes.  A collision that no pointer shows needs 95 equal bits: the odds that
+  one of 10**9 frequent phrases meets one of 10**13 others are 10**-6.
 
 Scores use whole numbers only: decimals of 38 digits hold ``1000*a*n`` and
 ``l*r`` while a language has fewer than 10**17 words.
@@ -33,6 +35,7 @@ the ranking takes each bucket's best ``top`` rows before a language's.
 from __future__ import annotations
 
 import hashlib
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -63,15 +66,57 @@ IN_WORD[list(WORD_ENDS)] = False
 ENDS_PIECE = np.zeros(256, dtype=bool)
 ENDS_PIECE[list(PIECE_ENDS)] = True
 
+POINTER_BITS = 16
+#: Spreads pointers over the fingerprints they are joined with; small enough that a product fits 63 bits.
+PLACE_FACTOR = 0x1E3779B97F4B
+
 
 def language_seed(lang: str | None) -> int:
     return int.from_bytes(hashlib.blake2b(("und" if lang is None else lang).encode(), digest_size=8).digest(), "little")
 
 
+class PrimeHasher:
+    """Hashes of byte spans from prefix sums modulo the prime 2**31 - 1."""
+
+    PRIME = np.uint64((1 << 31) - 1)
+    BASE = 1_103_515_245
+
+    def __init__(self) -> None:
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def powers(self, base: int, n: int) -> np.ndarray:
+        out = np.ones(n, np.uint64)
+        have = 1
+        while have < n:
+            more = min(have, n - have)
+            out[have : have + more] = out[:more] * np.uint64(pow(base, have, int(self.PRIME))) % self.PRIME
+            have += more
+        return out
+
+    def load(self, data: np.ndarray) -> "PrimeHasher":
+        n = len(data)
+        if len(self.up) <= n:
+            size = n + n // 8 + 1
+            self.up, self.down = self.powers(self.BASE, size), self.powers(pow(self.BASE, -1, int(self.PRIME)), size)
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((data + np.uint64(1)) * self.up[:n] % self.PRIME, out=self.sums[1:])
+        return self
+
+    def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return (self.sums[ends] - self.sums[starts]) % self.PRIME * self.down[starts] % self.PRIME
+
+
+class Hashers:
+    """The two hashers of a task; their tables of powers grow with the longest chunk."""
+
+    def __init__(self) -> None:
+        self.wide, self.prime = SpanHasher(), PrimeHasher()
+
+
 class Runs:
     """The runs of words of one chunk of texts, and their fingerprints."""
 
-    def __init__(self, hasher: SpanHasher, data: np.ndarray, offsets: np.ndarray, seeds: np.ndarray) -> None:
+    def __init__(self, hashers: Hashers, data: np.ndarray, offsets: np.ndarray, seeds: np.ndarray, pointers: np.ndarray) -> None:
         data = LOWER[data]
         starts, ends, firsts = word_spans(data, offsets, IN_WORD)
         size = ends - starts
@@ -86,13 +131,19 @@ class Runs:
         piece = piece[starts] if len(starts) else starts
         # Same text and no piece end in between: the next word goes on with the phrase.
         self.goes_on = (self.row[1:] == self.row[:-1]) & (piece[1:] == piece[:-1])
-        self.hashes = hasher.load(self.bytes)
+        self.wide, self.prime = hashers.wide.load(self.bytes), hashers.prime.load(self.bytes)
         self.seed = seeds[self.row]
+        self.pointer = pointers[self.row]
 
     def fingerprints(self, first: np.ndarray, words: int) -> np.ndarray:
-        spans = self.hashes.spans(self.lo[first], self.hi[first + words - 1])
+        spans = self.wide.spans(self.lo[first], self.hi[first + words - 1])
         return mix64(spans + self.seed[first])
 
+    def counted(self, first: np.ndarray, words: int) -> "Counts":
+        """The fingerprints of these runs with their checks, ones and pointers."""
+        checks = self.prime.spans(self.lo[first], self.hi[first + words - 1]).astype(np.int64)
+        return combined(self.fingerprints(first, words), checks, np.ones(len(first), np.int64), self.pointer[first])
+
     def all_runs(self, words: int) -> np.ndarray:
         """First words of every run of ``words`` words."""
         n = len(self.lo) - words + 1
@@ -104,6 +155,27 @@ class Runs:
         return np.flatnonzero(ok)
 
 
+class Counts(NamedTuple):
+    """Fingerprints (fp, check) with their occurrences and smallest pointer."""
+
+    fp: np.ndarray
+    check: np.ndarray
+    c: np.ndarray
+    ptr: np.ndarray
+
+
+def combined(fp: np.ndarray, check: np.ndarray, c: np.ndarray, ptr: np.ndarray) -> Counts:
+    """Equal neighbours in the order of ``fp`` made one; the shuffle joins what is left apart."""
+    order = np.argsort(fp)
+    fp, check, c, ptr = fp[order], check[order], c[order], ptr[order]
+    new = np.ones(len(fp), bool)
+    new[1:] = (fp[1:] != fp[:-1]) | (check[1:] != check[:-1])
+    at = np.flatnonzero(new)
+    if not len(at):
+        return Counts(fp, check, c, ptr)
+    return Counts(fp[at], check[at], np.add.reduceat(c, at), np.minimum.reduceat(ptr, at))
+
+
 class Filter:
     """A Bloom filter held as 64-bit words."""
 
@@ -114,21 +186,17 @@ class Filter:
         found = np.ones(len(keys), bool)
         bits = np.uint64(len(self.words) * 64 - 1)
         for probe in range(PROBES):
-            at = probe_bits(keys, probe, bits)
+            at = (keys >> np.uint64(17 * probe)) & bits
             found &= (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
         return found
 
 
-def probe_bits(keys: np.ndarray, probe: int, mask: np.uint64) -> np.ndarray:
-    return (keys >> np.uint64(17 * probe)) & mask
-
-
-def filter_of(keys: DataFrame, n: int) -> Filter:
-    """The filter of column ``fp``; at most MAX_FILTER_BITS / 64 rows come to the driver, whatever ``n``."""
+def filter_of(keys: DataFrame, n: int, key: str = "fp") -> Filter:
+    """The filter of a column; at most MAX_FILTER_BITS / 64 rows come to the driver, whatever ``n``."""
     bits = MIN_FILTER_BITS
     while bits < min(n * BITS_PER_KEY, MAX_FILTER_BITS):
         bits *= 2
-    probes = [F.shiftrightunsigned("fp", 17 * p).bitwiseAND(F.lit(bits - 1)) for p in range(PROBES)]
+    probes = [F.shiftrightunsigned(key, 17 * p).bitwiseAND(F.lit(bits - 1)) for p in range(PROBES)]
     at = keys.select(F.explode(F.array(*probes)).alias("at"))
     word = at.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(at & 63))")).alias("bits"))
     got = word.toArrow()
@@ -137,52 +205,51 @@ def filter_of(keys: DataFrame, n: int) -> Filter:
     return Filter(words)
 
 
-def _chunks(batches, hasher: SpanHasher):
+def _chunks(batches):
+    hashers = Hashers()
     for b in batches:
-        langs, texts = b.column(0), b.column(1)
+        langs, texts, pointers = b.column(0), b.column(1), b.column(2).to_numpy(zero_copy_only=False)
         seeds = np.array([language_seed(x) for x in langs.to_pylist()], np.uint64)
         for lo, hi, data, offsets in text_chunks(texts):
-            yield langs.slice(lo, hi - lo), Runs(hasher, data, offsets, seeds[lo:hi])
+            yield langs.slice(lo, hi - lo), Runs(hashers, data, offsets, seeds[lo:hi], pointers[lo:hi])
 
 
-def _combined(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    every, at = np.unique(np.concatenate(keys), return_inverse=True)
-    return every, np.bincount(at, weights=np.concatenate(counts), minlength=len(every)).astype(np.int64)
+def _texts(docs: DataFrame) -> DataFrame:
+    pointer = F.xxhash64("text").bitwiseAND(F.lit((1 << POINTER_BITS) - 1))
+    return docs.select("lang", "text", pointer.alias("ptr"))
 
 
 def count_fingerprints(texts: DataFrame, choose) -> DataFrame:
-    """(fp, c): occurrences of every fingerprint that ``choose(runs)`` yields, over all ``texts`` (lang, text)."""
-    schema = T.StructType([T.StructField("fp", T.LongType()), T.StructField("c", T.LongType())])
+    """(fp, check, c, ptr) of every run that ``choose(runs)`` yields as ``Counts``, over all ``texts``."""
+    schema = T.StructType([T.StructField(c, T.LongType()) for c in Counts._fields])
 
     def run(batches):
-        keys, counts, held = [], [], 0
-        out = lambda k, c: pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(c)], names=["fp", "c"])
-        for _, runs in _chunks(batches, SpanHasher()):
+        held, size = [], 0
+        joined = lambda: combined(*(np.concatenate(x) for x in zip(*held)))
+        out = lambda got: pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in got], names=Counts._fields)
+        for _, runs in _chunks(batches):
             for found in choose(runs):
-                k, c = np.unique(found, return_counts=True)
-                keys.append(k)
-                counts.append(c)
-                held += len(k)
-            if held > 4 * BUFFER:
-                k, c = _combined(keys, counts)
-                if len(k) > 2 * BUFFER:
-                    yield out(k, c)
-                    keys, counts, held = [], [], 0
-                else:
-                    keys, counts, held = [k], [c], len(k)
-        if keys:
-            yield out(*_combined(keys, counts))
-
-    return texts.mapInArrow(run, schema).groupBy("fp").agg(F.sum("c").alias("c"))
+                held.append(found)
+                size += len(found.fp)
+            if size > 4 * BUFFER:
+                held = [joined()]
+                size = len(held[0].fp)
+                if size > 2 * BUFFER:
+                    yield out(held[0])
+                    held, size = [], 0
+        if held:
+            yield out(joined())
+
+    return texts.mapInArrow(run, schema).groupBy("fp", "check").agg(F.sum("c").alias("c"), F.min("ptr").alias("ptr"))
 
 
 def _frequent(texts: DataFrame, choose, min_count: int, name: str) -> tuple[DataFrame, int]:
-    found = cut(count_fingerprints(texts, choose).where(F.col("c") >= min_count).select("fp"), f"collocations-{name}")
+    found = cut(count_fingerprints(texts, choose).where(F.col("c") >= min_count), f"collocations-{name}")
     return found, found.count()
 
 
-def _longer_runs(runs: Runs, pairs: Filter, max_words: int) -> list[np.ndarray]:
-    """Fingerprints of the runs of three and more words whose neighbours are all frequent pairs."""
+def _longer_runs(runs: Runs, pairs: Filter, max_words: int) -> list[Counts]:
+    """The runs of three and more words whose neighbours are all frequent pairs."""
     first = runs.all_runs(2)
     pair = np.zeros(max(len(runs.lo), 1), bool)
     pair[first[pairs.has(runs.fingerprints(first, 2))]] = True
@@ -191,33 +258,13 @@ def _longer_runs(runs: Runs, pairs: Filter, max_words: int) -> list[np.ndarray]:
         first = runs.all_runs(words)
         for j in range(words - 1):
             first = first[pair[first + j]]
-        out.append(runs.fingerprints(first, words))
+        out.append(runs.counted(first, words))
     return out
 
 
-def same_bytes(data: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """Whether each span of ``data`` equals the span before it in the list (the first: False)."""
-    size = hi - lo
-    same = np.zeros(len(lo), bool)
-    same[1:] = size[1:] == size[:-1]
-    rows = np.flatnonzero(same)
-    n = size[rows]
-    k = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    differs = data[np.repeat(lo[rows], n) + k] != data[np.repeat(lo[rows - 1], n) + k]
-    same[np.repeat(rows, n)[differs]] = False
-    return same
-
-
-def _spans_by_text(runs: Runs, first: np.ndarray, words: int, fps: np.ndarray):
-    """(pointer, count) of each distinct text among the runs; equal fingerprints with other bytes are told apart."""
-    order = np.argsort(fps, kind="stable")
-    first, fps = first[order], fps[order]
-    lo, hi = runs.lo[first], runs.hi[first + words - 1]
-    seed = runs.seed[first]
-    same = same_bytes(runs.bytes, lo, hi)
-    same[1:] &= (fps[1:] == fps[:-1]) & (seed[1:] == seed[:-1])
-    heads = np.flatnonzero(~same)
-    return first[heads], lo[heads], hi[heads], np.diff(np.append(heads, len(first)))
+def place_key(fp: np.ndarray, ptr: np.ndarray) -> np.ndarray:
+    """One key for a fingerprint in the texts of a pointer."""
+    return fp ^ (ptr.astype(np.uint64) * np.uint64(PLACE_FACTOR))
 
 
 PHRASES = T.StructType(
@@ -225,69 +272,85 @@ PHRASES = T.StructType(
         T.StructField("lang", T.StringType()),
         T.StructField("words", T.IntegerType()),
         T.StructField("phrase", T.StringType()),
+        T.StructField("fp", T.LongType()),
+        T.StructField("check", T.LongType()),
         T.StructField("c", T.LongType()),
     ]
 )
 
 
-def count_phrases(texts: DataFrame, wanted, max_words: int) -> DataFrame:
-    """(lang, words, phrase, f): exact counts of the runs whose fingerprint is in the filter ``wanted()``.
+def phrase_rows(texts: DataFrame, chosen, max_words: int) -> DataFrame:
+    """(lang, words, phrase, fp, check, c) of the runs that ``chosen(runs, first words, fingerprints)`` marks, by their text.
 
-    A row with ``words`` 0 and a null phrase counts all words of the language.
+    ``c`` counts the marked occurrences in a task.  A row with ``words`` 0 and a
+    null phrase counts all words of a language.
     """
 
     def run(batches):
         held: dict = {}
 
         def out():
-            cols = list(zip(*held)) or [(), (), ()]
-            rows = [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int32())]
+            cols = list(zip(*held)) or [()] * 5
             text = pa.array(cols[2], pa.binary()).cast(pa.string())
-            return pa.RecordBatch.from_arrays([*rows, text, pa.array(held.values(), pa.int64())], schema=pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string()), ("c", pa.int64())]))
+            arrays = [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int32()), text, *(pa.array(x, pa.int64()) for x in (*cols[3:], held.values()))]
+            return pa.RecordBatch.from_arrays(arrays, names=PHRASES.names)
 
-        for langs, runs in _chunks(batches, SpanHasher()):
+        for langs, runs in _chunks(batches):
             names = ["und" if x is None else x for x in langs.to_pylist()]
             for row, n in zip(*np.unique(runs.row, return_counts=True)):
-                key = (names[row], 0, None)
+                key = (names[row], 0, None, 0, 0)
                 held[key] = held.get(key, 0) + int(n)
             raw = runs.bytes.tobytes()
             for words in range(1, max_words + 1):
                 first = runs.all_runs(words)
                 fps = runs.fingerprints(first, words)
-                ok = wanted().has(fps)
-                first, lo, hi, counts = _spans_by_text(runs, first[ok], words, fps[ok])
-                for row, a, b, n in zip(runs.row[first].tolist(), lo.tolist(), hi.tolist(), counts.tolist()):
-                    key = (names[row], words, raw[a:b])
-                    held[key] = held.get(key, 0) + n
+                ok = chosen(runs, first, fps)
+                first, fps = first[ok], fps[ok].view(np.int64)
+                lo, hi = runs.lo[first], runs.hi[first + words - 1]
+                for row, a, b, *print_ in zip(runs.row[first].tolist(), lo.tolist(), hi.tolist(), fps.tolist(), runs.prime.spans(lo, hi).tolist()):
+                    key = (names[row], words, raw[a:b], *print_)
+                    held[key] = held.get(key, 0) + 1
             if len(held) > BUFFER:
                 yield out()
                 held.clear()
         if held:
             yield out()
 
-    return texts.mapInArrow(run, PHRASES).groupBy("lang", "words", "phrase").agg(F.sum("c").alias("f"))
+    return texts.mapInArrow(run, PHRASES)
 
 
 def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS) -> DataFrame:
     """(lang, words, phrase, f) of every word and phrase with ``min_count`` occurrences, and the languages' word counts."""
     sc = docs.sparkSession.sparkContext
-    texts = docs.select("lang", "text")
-    words, n_words = _frequent(texts, lambda runs: [runs.fingerprints(runs.all_runs(1), 1)], min_count, "words")
+    texts = _texts(docs)
+    words, n_words = _frequent(texts, lambda runs: [runs.counted(runs.all_runs(1), 1)], min_count, "words")
     word_filter = sc.broadcast(filter_of(words, n_words))
 
     def pairs_of(runs: Runs):
         known = word_filter.value.has(runs.fingerprints(runs.all_runs(1), 1))
         first = runs.all_runs(2)
-        first = first[known[first] & known[first + 1]]
-        return [runs.fingerprints(first, 2)]
+        return [runs.counted(first[known[first] & known[first + 1]], 2)]
 
     pairs, n_pairs = _frequent(texts, pairs_of, min_count, "pairs")
     pair_filter = sc.broadcast(filter_of(pairs, n_pairs))
     longer, n_longer = _frequent(texts, lambda runs: _longer_runs(runs, pair_filter.value, max_words), min_count, "runs")
     every = words.unionByName(pairs).unionByName(longer)
-    wanted = sc.broadcast(filter_of(every, n_words + n_pairs + n_longer))
-    counted = count_phrases(texts, lambda: wanted.value, max_words)
-    return cut(counted.where((F.col("f") >= min_count) | (F.col("words") == 0)), "collocations-phrases")
+    place = F.col("fp").bitwiseXOR(F.expr(f"ptr * {PLACE_FACTOR}L"))
+    places = sc.broadcast(filter_of(every.select(place.alias("at_text")), n_words + n_pairs + n_longer, "at_text"))
+    named = cut(phrase_rows(texts, lambda runs, first, fps: places.value.has(place_key(fps, runs.pointer[first])), max_words), "collocations-named")
+    totals = named.where("words = 0").groupBy("lang", "words", "phrase").agg(F.sum("c").alias("f"))
+    found = named.where("words > 0").groupBy("fp", "check", "lang", "words", "phrase").agg(F.lit(1).alias("one"))
+    found = cut(found.join(every.select("fp", "check", F.col("c").alias("f")), ["fp", "check"]).drop("one"), "collocations-phrases")
+    doubtful = cut(found.groupBy("fp", "check").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1"), "collocations-doubtful")
+    n_doubtful = doubtful.count()
+    columns = ["lang", "words", "phrase", "f"]
+    if not n_doubtful:
+        return found.select(columns).unionByName(totals)
+    again = sc.broadcast(filter_of(doubtful, n_doubtful))
+    exact = phrase_rows(texts, lambda runs, first, fps: again.value.has(fps), max_words).where("words > 0")
+    exact = cut(exact.groupBy("lang", "words", "phrase").agg(F.sum("c").alias("f")), "collocations-exact")
+    sure = found.join(doubtful, ["fp", "check"], "left_anti").join(exact, ["lang", "phrase"], "left_anti").select(columns)
+    return sure.unionByName(exact.where(F.col("f") >= min_count)).unionByName(totals)
 
 
 def _whole(c: str) -> F.Column:

@@ -8,7 +8,6 @@ import numpy as np
 import pytest
 
 from captally.llm import collocations
-from captally.llm.text_batches import SpanHasher
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -80,21 +79,29 @@ def test_a_full_filter_and_small_buffers_lose_nothing(spark, monkeypatch):
 
 
 def test_colliding_fingerprints_are_told_apart(spark, monkeypatch):
-    """With fingerprints of three bits nearly all phrases collide; counts stay exact."""
-    monkeypatch.setattr(collocations.Runs, "fingerprints", lambda self, first, words: (self.lo[first].astype(np.uint64) * np.uint64(0) + self.bytes[self.lo[first]]) & np.uint64(7))
+    """With wide fingerprints of three bits nearly all phrases collide; their checks tell them apart."""
+    monkeypatch.setattr(collocations.Runs, "fingerprints", lambda self, first, words: self.bytes[self.lo[first]].astype(np.uint64) & np.uint64(7))
     rows = docs(3, 40)
     assert report(spark, rows, min_count=2) == plain(rows, 2)
 
 
-def test_equal_hash_other_bytes():
-    """Thue-Morse strings of 1,024 bytes collide in a polynomial modulo 2**64; their bytes decide."""
+def test_collisions_that_texts_show_are_counted_by_bytes(spark, monkeypatch):
+    """Fingerprint and check made equal for all words of one first letter, and every text named by one pointer."""
+    monkeypatch.setattr(collocations.Runs, "fingerprints", lambda self, first, words: self.bytes[self.lo[first]].astype(np.uint64) + np.uint64(words))
+    monkeypatch.setattr(collocations.PrimeHasher, "spans", lambda self, starts, ends: starts.astype(np.uint64) * np.uint64(0))
+    monkeypatch.setattr(collocations, "POINTER_BITS", 0)
+    rows = docs(4, 40)
+    assert report(spark, rows, min_count=2) == plain(rows, 2)
+
+
+def test_equal_wide_hash_other_bytes():
+    """Thue-Morse strings of 1,024 bytes collide in a polynomial modulo 2**64; the prime tells them apart."""
     bits = [bin(i).count("1") & 1 for i in range(1024)]
     one, two = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
     data = np.frombuffer(f"{one} {two} {one}".encode(), np.uint8)
-    runs = collocations.Runs(SpanHasher(), data, np.array([0, len(data)]), np.array([1], np.uint64))
-    first = runs.all_runs(1)
-    _, lo, hi, counts = collocations._spans_by_text(runs, first, 1, np.zeros(3, np.uint64))
-    assert sorted(counts.tolist()) in ([1, 2], [1, 1, 1])
+    runs = collocations.Runs(collocations.Hashers(), data, np.array([0, len(data)]), np.array([1], np.uint64), np.array([0]))
+    got = runs.counted(runs.all_runs(1), 1)
+    assert len(set(got.check.tolist())) == 2 and got.c.sum() == 3
 
 
 def test_products_beyond_64_bits(spark):
