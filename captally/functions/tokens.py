@@ -1,28 +1,19 @@
-"""Tokenisers used by the metrics (STR-5, STR-6, STR-7).
+"""Tokenisers used by the metrics (STR-5, STR-6, STR-7) as column functions.
 
-All three are plain Spark expressions, so they run inside whole-stage
-codegen and never leave the JVM.
+STR-5 and STR-6 are plain Spark expressions.  STR-7 is the longest-match lexer
+of ``captally.functions.lexer`` over Arrow batches.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from captally.functions.lexer import lex
 from captally.functions.text import WHITESPACE_CLASS, _col
 
-# Fixed values for the caption tokenizer (STR-7): contraction suffixes that are
-# split off as their own token (n't, 's, 're, 've, 'll, 'd, 'm) and the token
-# shapes that survive.  The apostrophe of a detached suffix is written as
-# U+0001 until the end, so a stray quote is never read as a contraction.
-_NT_RE = r"([\p{L}\p{N}])n't([^\p{L}\p{N}]|$)"
-_SUFFIX_RE = r"([\p{L}\p{N}])'(s|re|ve|ll|d|m)([^\p{L}\p{N}]|$)"
-_TOKEN_RE = (
-    r"[0-9]+(?:[.,][0-9]+)+"  # 3.5, 1,000
-    r"|n\x{1}t|\x{1}(?:s|re|ve|ll|d|m)"  # detached contractions
-    r"|[\p{L}\p{N}]+(?:[-'][\p{L}\p{N}]+)*"  # words, well-known, o'clock
-)
-
 
 def whitespace_tokens(c) -> Column:
     """STR-5: split on runs of whitespace, no empty tokens (Python ``str.split()``)."""
@@ -34,15 +25,16 @@ def space_tokens(c) -> Column:
     return F.split(_col(c), " ")
 
 
+def caption_text(c) -> Column:
+    """What the caption lexer reads: lower case, with plain apostrophes."""
+    return F.translate(F.lower(_col(c)), "’", "'")
+
+
+def _lex_batch(texts: pa.Array) -> pa.Array:
+    got = lex(texts)
+    return pa.ListArray.from_arrays(pa.array(got.ends, pa.int32()), got.values.cast(pa.string()))
+
+
 def caption_tokens(c) -> Column:
-    """STR-7: lower-case caption tokens with punctuation removed.
-
-    An approximation of a treebank tokenizer: contractions are detached
-    (``isn't`` -> ``is``, ``n't``), numbers keep inner ``.``/``,``, words keep
-    inner hyphens and apostrophes, everything else separates tokens.
-    """
-    low = F.lower(_col(c))
-    detached = F.regexp_replace(low, _NT_RE, "$1 n\u0001t $2")
-    detached = F.regexp_replace(detached, _SUFFIX_RE, "$1 \u0001$2 $3")
-    toks = F.regexp_extract_all(detached, F.lit(_TOKEN_RE), 0)
-    return F.transform(toks, lambda t: F.regexp_replace(t, "\u0001", "'"))
+    """STR-7: caption tokens, lower-cased, punctuation dropped (rules: ``captally.functions.lexer``); null has none."""
+    return F.arrow_udf(_lex_batch, T.ArrayType(T.StringType()))(caption_text(c))

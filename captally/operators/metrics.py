@@ -11,12 +11,14 @@ are scored (Q10); a second prediction for an image is an error, unless ``pos``
 says which came last.
 
 Nothing is collected per image: references stay one row each, and pairs are
-spread on (image, pos), so a hot image is many tasks.  n-grams are fixed-width
-rows keyed by a 128-bit hash of preset and gram (two XXH64; the odds that two
-of 10^13 grams share one are below 10^-12).  A gram that occurs in one image
-only has the weight ln N, known without a join, so only grams of two or more
-images are joined back; both that join and the counts before it combine
-map-side or are split by AQE, so a frequent gram is no single task either.
+spread on (image, 32 references), so a hot image is many tasks.  One
+vectorised pass measures every pair (``operators.measures``: lengths, LCS and
+n-grams under 128-bit keys) and is written once.  A gram that occurs in one
+image only has the weight ln N, known without a join, so only grams of two
+or more images are joined back: broadcast while they are few
+(``captally.metrics.broadcastGrams``), else by a shuffle join.  That join and
+the counts before it combine map-side or are split by AQE, so a frequent
+gram is no single task either.
 
 Formulas (public definitions: Papineni et al. 2002, Lin 2004, Vedantam et al.
 2015, as implemented by the common caption-evaluation package):
@@ -41,12 +43,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from captally.functions.lcs import lcs_space_udf
 from captally.functions.tokens import caption_tokens, space_tokens, whitespace_tokens
+from captally.operators import measures
 from captally.operators.materialize import cut
-from captally.operators.ngrams import document_frequency, gram_keys, ngram_counts, paired_gram_counts
+from captally.operators.ngrams import document_frequency, ngram_counts
 from captally.operators.pairing import duplicate_predictions, latest_prediction
 from captally.operators.skew import skew_join
+from captally.session import conf_int
 
 MAX_N = 4
 ROUGE_BETA = 1.2
@@ -55,6 +58,9 @@ BLEU_TINY = 1e-15
 BLEU_SMALL = 1e-9
 METRIC_NAMES = ["Bleu_1", "Bleu_2", "Bleu_3", "Bleu_4", "ROUGE_L", "CIDEr"]
 TOKENIZERS = ("whitespace", "caption")
+# Most grams (24 bytes each) that are sent to every task; more are joined by a shuffle.
+BROADCAST_GRAMS_CONF = "captally.metrics.broadcastGrams"
+BROADCAST_GRAMS = 2_000_000
 
 
 def tokenizers(mode: str):
@@ -73,7 +79,7 @@ class Paired:
     """Candidates and references of the scored images, ready for every metric."""
 
     cand: DataFrame  # unit, preset, image, caption, ln_n (a written table)
-    pairs: DataFrame  # unit, preset, image, pos, caption (reference), c_caption (candidate), ln_n
+    pairs: DataFrame  # pair, unit, preset, image, pos, caption (reference), c_caption (candidate), ln_n
     mode: str
 
 
@@ -103,38 +109,17 @@ def pair(preds: DataFrame, refs: DataFrame, tokenizer: str = "whitespace") -> Pa
     n_images = cand.groupBy("preset").agg(F.log(F.count(F.lit(1)).cast("double")).alias("ln_n"))
     cand = cand.join(n_images, "preset")
     pairs = skew_join(refs, cand.withColumnRenamed("caption", "c_caption"), ["image"], "inner")
-    return Paired(cand=cand, pairs=cut(pairs, "pairs"), mode=tokenizer)
+    return Paired(cand=cand, pairs=cut(pairs.withColumn("pair", F.monotonically_increasing_id()), "pairs"), mode=tokenizer)
 
 
-def _spread(p: Paired) -> DataFrame:
-    """Pairs dealt by (unit, pos): a hot image is shared out, and per-reference counts need no further shuffle."""
-    return p.pairs.repartition("unit", "pos")
+def measured(p: Paired) -> DataFrame:
+    """Lengths, LCS and grams of every pair (MET-2, MET-4, NGR-1), written once to the checkpoint folder."""
+    return cut(measures.pair_measures(p.pairs, p.mode, MAX_N), "measures")
 
 
-def pair_stats(p: Paired) -> DataFrame:
-    """Per unit: reference count, ROUGE-L maxima, BLEU lengths (MET-2, MET-4).
-
-    Each caption is tokenised once; the LCS text is the raw caption
-    (whitespace mode) or the space-joined caption tokens (caption mode).
-    """
-    ng_tok, _ = tokenizers(p.mode)
-    toks = _spread(p).select("unit", ng_tok(F.col("c_caption")).alias("c_ng"), ng_tok(F.col("caption")).alias("r_ng"),
-                             "c_caption", "caption")
-    if p.mode == "whitespace":
-        c_txt, r_txt = F.col("c_caption"), F.col("caption")
-    else:
-        c_txt, r_txt = F.array_join("c_ng", " "), F.array_join("r_ng", " ")
-    texts = toks.select("unit", F.size("c_ng").alias("c_len"), F.size("r_ng").alias("r_len"),
-                        c_txt.alias("c_txt"), r_txt.alias("r_txt"))
-    per_pair = texts.select(
-        "unit",
-        "c_len",
-        "r_len",
-        lcs_space_udf(F.col("c_txt"), F.col("r_txt")).alias("lcs"),
-        F.size(space_tokens(F.col("c_txt"))).alias("c_tok"),
-        F.size(space_tokens(F.col("r_txt"))).alias("r_tok"),
-    )
-    return per_pair.groupBy("unit").agg(
+def pair_stats(pairs: DataFrame) -> DataFrame:
+    """Per unit: reference count, ROUGE-L maxima, BLEU lengths (MET-2, MET-4), from ``measured`` rows."""
+    return pairs.groupBy("unit").agg(
         F.count(F.lit(1)).alias("n_refs"),
         F.max("c_len").alias("c_len"),
         # MET-2: nearest reference length, ties to the shorter one.
@@ -160,27 +145,6 @@ def reference_grams(p: Paired) -> DataFrame:
     return ngram_counts(toks, "t", ["preset", "image", "pos"], MAX_N)
 
 
-def _pair_grams(p: Paired) -> DataFrame:
-    """(unit, pos, ln_n, delta, n, h1, h2, cnt, cc): grams of each reference and their count in the candidate.
-
-    ``delta`` is the difference of the two captions' bigram counts.
-    """
-    ng_tok, _ = tokenizers(p.mode)
-    toks = _spread(p).select(
-        "unit", "pos", "ln_n", "preset", ng_tok(F.col("caption")).alias("r"), ng_tok(F.col("c_caption")).alias("c")
-    )
-    bigrams = lambda t: F.greatest(F.size(t) - 1, F.lit(0))
-    toks = toks.withColumn("delta", bigrams("c") - bigrams("r"))
-    return paired_gram_counts(toks, "r", "c", ["unit", "pos"], ["ln_n", "delta"], MAX_N).where("cnt > 0")
-
-
-def _candidate_keys(p: Paired) -> DataFrame:
-    """(unit, ln_n, n, h1, h2, cc) of the candidates alone."""
-    ng_tok, _ = tokenizers(p.mode)
-    toks = p.cand.select("unit", "ln_n", "preset", ng_tok(F.col("caption")).alias("t"))
-    return gram_keys(toks, "t", ["unit", "ln_n"], MAX_N).groupBy("unit", "ln_n", "n", "h1", "h2").agg(F.count(F.lit(1)).alias("cc"))
-
-
 def _guess(k: int) -> Column:
     return F.greatest(F.col("c_len") - k + 1, F.lit(0))
 
@@ -197,67 +161,81 @@ def bleu_columns(correct, guess, test_len: Column, ref_len: Column) -> list[Colu
     return out
 
 
-def bleu_counts(grams: DataFrame) -> DataFrame:
-    """MET-1 step: clipped matches per unit (unit, correct_1..4) from ``_pair_grams`` rows."""
-    shared = grams.where(F.col("cc") > 0)
-    best = shared.groupBy("unit", "n", "h1", "h2").agg(F.max(F.least("cnt", "cc")).alias("clip"))
+def bleu_counts(pairs: DataFrame) -> DataFrame:
+    """MET-1 step: clipped matches per unit (unit, correct_1..4) from ``measured`` rows."""
+    shared = pairs.select("unit", F.explode(F.filter("grams", lambda g: g["clip"] > 0)).alias("g")).select("unit", "g.n", "g.h1", "g.h2", "g.clip")
+    best = shared.groupBy("unit", "n", "h1", "h2").agg(F.max("clip").alias("clip"))
     by_n = lambda k: F.coalesce(F.sum(F.when(F.col("n") == k, F.col("clip"))), F.lit(0))
     return best.groupBy("unit").agg(*(by_n(k).alias(f"correct_{k}") for k in range(1, MAX_N + 1)))
 
 
-def cider_sums(grams: DataFrame, cand_keys: DataFrame) -> DataFrame:
+def cider_sums(pairs: DataFrame, cand_grams: DataFrame) -> DataFrame:
     """MET-5 step: (unit, cider_sum) with the similarities of all references added up.
 
     With one idf per gram, ``min(w_c, w_r) * w_r = idf^2 * min(c_c, c_r) * c_r``.
     Sums over grams of one image are whole numbers times (ln N)^2; the others
     come from the join with the document frequencies.
     """
-    weights = idf_of_shared_grams(grams)
+    weights = cut(idf_of_shared_grams(pairs), "shared_grams")
+    few = weights.count() <= conf_int(pairs.sparkSession, BROADCAST_GRAMS_CONF, BROADCAST_GRAMS)
+    weights = F.broadcast(weights) if few else weights
     cnt, both = F.col("cnt"), F.least("cnt", "cc") * F.col("cnt")
     square = F.col("idf") * F.col("idf")
-    all_grams = grams.groupBy("unit", "pos", "n").agg(
-        F.max("ln_n").alias("ln_n"), F.max("delta").alias("delta"), F.sum(cnt * cnt).alias("rr"), F.sum(both).alias("cr")
-    )
-    known = grams.join(weights, ["h1", "h2"])
-    known = known.groupBy("unit", "pos", "n").agg(
-        F.sum(cnt * cnt).alias("rr_known"), F.sum(both).alias("cr_known"), F.sum(square * cnt * cnt).alias("rr_idf"), F.sum(square * both).alias("cr_idf")
-    )
+    zero = F.lit(0)
+    grams = pairs.select("unit", "pair", F.inline("grams")).join(weights, ["h1", "h2"])
+    known = grams.select(
+        "unit", "pair", F.col("n").cast("int").alias("n"), zero.cast("double").alias("ln_n"), zero.alias("delta"), zero.cast("long").alias("rr"), zero.cast("long").alias("cr"),
+        (cnt * cnt).cast("long").alias("rr_known"), both.cast("long").alias("cr_known"), (square * cnt * cnt).alias("rr_idf"), (square * both).alias("cr_idf"),
+    )
+    bigrams = lambda c: F.greatest(F.col(c) - 1, zero)
+    every = pairs.select("unit", "pair", "ln_n", (bigrams("c_len") - bigrams("r_len")).alias("delta"), F.posexplode(F.arrays_zip("rr", "cr")).alias("k", "s"))
+    every = every.select(
+        "unit", "pair", (F.col("k") + 1).alias("n"), "ln_n", "delta", "s.rr", "s.cr", zero.cast("long").alias("rr_known"), zero.cast("long").alias("cr_known"),
+        F.lit(0.0).alias("rr_idf"), F.lit(0.0).alias("cr_idf"),
+    )
+    sums = [F.sum(c).alias(c) for c in ("rr", "cr", "rr_known", "cr_known", "rr_idf", "cr_idf", "delta", "ln_n")]
+    per_n = every.unionByName(known).groupBy("unit", "pair", "n").agg(*sums)
     cc = F.col("cc")
     idf = F.coalesce("idf", "ln_n")
-    cand_norm = cand_keys.join(weights, ["h1", "h2"], "left").groupBy("unit", "n").agg(F.sqrt(F.sum(cc * cc * idf * idf)).alias("nc"))
-    per_n = all_grams.join(known, ["unit", "pos", "n"], "left").join(cand_norm, ["unit", "n"], "left")
-    zero = F.lit(0)
+    cand_norm = cand_grams.join(weights, ["h1", "h2"], "left").groupBy("unit", F.col("n").cast("int").alias("n"))
+    per_n = per_n.join(cand_norm.agg(F.sqrt(F.sum(cc * cc * idf * idf)).alias("nc")), ["unit", "n"], "left")
     single = F.col("ln_n") * F.col("ln_n")
-    nr2 = (F.col("rr") - F.coalesce("rr_known", zero)) * single + F.coalesce("rr_idf", F.lit(0.0))
-    num = (F.col("cr") - F.coalesce("cr_known", zero)) * single + F.coalesce("cr_idf", F.lit(0.0))
+    nr2 = (F.col("rr") - F.col("rr_known")) * single + F.col("rr_idf")
+    num = (F.col("cr") - F.col("cr_known")) * single + F.col("cr_idf")
     similarity = F.when(num > 0, num / (F.col("nc") * F.sqrt(nr2))).otherwise(F.lit(0.0))
-    per_ref = per_n.groupBy("unit", "pos").agg(F.sum(similarity).alias("v"), F.max("delta").alias("delta"))
-    penalty = F.exp(-(F.col("delta") * F.col("delta")) / (2 * CIDER_SIGMA * CIDER_SIGMA))
+    per_ref = per_n.groupBy("unit", "pair").agg(F.sum(similarity).alias("v"), F.first("delta").alias("delta"))
+    delta = F.col("delta")
+    penalty = F.exp(-(delta * delta) / (2 * CIDER_SIGMA * CIDER_SIGMA))
     return per_ref.groupBy("unit").agg(F.sum(F.col("v") / MAX_N * penalty).alias("cider_sum"))
 
 
-def idf_of_shared_grams(grams: DataFrame) -> DataFrame:
-    """(h1, h2, idf) of the grams that occur in the references of two or more images."""
-    seen = document_frequency(grams, ["h1", "h2"], "unit", {"ln_n": F.max("ln_n")})
+def idf_of_shared_grams(pairs: DataFrame) -> DataFrame:
+    """(h1, h2, idf) of the grams that occur in the references of two or more images.
+
+    A group of an image's references has each of its grams marked once, so
+    only images of several groups need their grams made distinct.
+    """
+    many = cut(pairs.groupBy("unit").agg((F.min("part") < F.max("part")).alias("many")).where("many").select("unit"), "many")
+    firsts = lambda df: df.select("unit", "ln_n", F.explode(F.filter("grams", lambda g: g["first"])).alias("g")).select("unit", "ln_n", "g.h1", "g.h2")
+    one = firsts(pairs.join(many, "unit", "left_anti")).select("h1", "h2", "ln_n", F.lit(1).alias("df"))
+    several = document_frequency(firsts(pairs.join(many, "unit", "left_semi")), ["h1", "h2"], "unit", {"ln_n": F.max("ln_n")})
+    seen = one.unionByName(several.select("h1", "h2", "ln_n", F.col("df").cast("int").alias("df")))
+    seen = seen.groupBy("h1", "h2").agg(F.sum("df").alias("df"), F.max("ln_n").alias("ln_n"))
     return seen.where(F.col("df") > 1).select("h1", "h2", (F.col("ln_n") - F.log(F.col("df").cast("double"))).alias("idf"))
 
 
 def image_scores(p: Paired) -> DataFrame:
-    """Per preset and image: raw counts plus bleu_1..4, rouge_l, cider; written once to the checkpoint folder.
-
-    The pairs' grams are written once, as fixed-width rows, and read by the
-    three steps that need them.
-    """
-    return cut(image_scores_plan(p, cut(_pair_grams(p), "pair_grams")), "image_scores")
+    """Per preset and image: raw counts plus bleu_1..4, rouge_l, cider; written once to the checkpoint folder."""
+    return cut(image_scores_plan(p, measured(p)), "image_scores")
 
 
-def image_scores_plan(p: Paired, grams: DataFrame) -> DataFrame:
-    """The lazy plan of ``image_scores`` over the pairs' grams."""
+def image_scores_plan(p: Paired, pairs: DataFrame) -> DataFrame:
+    """The lazy plan of ``image_scores`` over the ``measured`` pairs."""
     units = p.cand.select("unit", "preset", "image")
     joined = (
-        units.join(pair_stats(p), "unit")
-        .join(bleu_counts(grams), "unit", "left")
-        .join(cider_sums(grams, _candidate_keys(p)), "unit", "left")
+        units.join(pair_stats(pairs), "unit")
+        .join(bleu_counts(pairs), "unit", "left")
+        .join(cider_sums(pairs, measures.candidate_grams(p.cand, p.mode, MAX_N)), "unit", "left")
     )
     joined = joined.select(
         "preset",

@@ -192,25 +192,52 @@ def _gram_metrics(pred_cte: str = "spreds") -> str:
     return _with(DOCS, PREDS, _metric_ctes(pred_cte), CORPUS_OF_GRAMS)
 
 
-# Caption-tokenizer rules (STR-7), as RE2 text.
-_NT = r"([\p{L}\p{N}])n't([^\p{L}\p{N}]|$)"
-_SUFFIX = r"([\p{L}\p{N}])'(s|re|ve|ll|d|m)([^\p{L}\p{N}]|$)"
-_TOKEN = r"[0-9]+(?:[.,][0-9]+)+|n\x{1}t|\x{1}(?:s|re|ve|ll|d|m)|[\p{L}\p{N}]+(?:[-'][\p{L}\p{N}]+)*"
+# Caption tokens (STR-7) stated on their own, as ordered alternatives for RE2: the
+# engine itself walks a transition table.  Cut-off suffixes get a U+0001 for
+# their apostrophe first, so a stray quote is never read as one.
+_A = r"[\p{L}\p{N}\p{M}]"
+_NOT_A = r"[^\p{L}\p{N}\p{M}]"
+_CUT_WORDS = ["can not", "gon na", "got ta", "wan na", "gim me", "lem me"]
+_ABBREVIATED = (
+    "mr|mrs|ms|dr|prof|st|jr|sr|gen|col|sgt|capt|lt|cmdr|gov|sen|rep|rev|hon|pres|inc|corp|ltd|bros|ave|blvd|rd|vs|etc|approx|dept|est|"
+    "al|jan|feb|apr|aug|sept|oct|nov|dec"
+)
+_TOKEN = "|".join(
+    [
+        r"(?:https?://|www\.)[\p{L}\p{N}\p{M}.,:\-&@/_+?=%#~$*]*[\p{L}\p{N}\p{M}/]",
+        r"[\p{L}\p{N}\p{M}][\p{L}\p{N}\p{M}._+\-]*@[\p{L}\p{N}\p{M}]+(?:[-.][\p{L}\p{N}\p{M}]+)+",
+        r"n\x{1}t|\x{1}(?:s|re|ve|ll|d|m)",
+        r"(?:[a-z]\.)+[a-z]\b\.?",
+        rf"(?:{_ABBREVIATED})\.",
+        r"[0-9]+(?:[.,:][0-9]+)+",
+        rf"{_A}+(?:[-&]{_A}+)*(?:'{_A}+)*",
+        r"""[^\p{L}\p{N}\p{M}\p{Z}\p{C}'.,:\-?!;"`()\[\]{}…–—“”„«»‘]""",
+    ]
+)
+
+
+def _quoted(t: str) -> str:
+    return t.replace("'", "''")
 
 
 def _caption_tokens(c: str) -> str:
-    low = f"lower({c})"
-    d1 = f"regexp_replace({low}, '{_NT.replace(chr(39), chr(39) * 2)}', '\\1 n' || chr(1) || 't \\2', 'g')"
-    d2 = f"regexp_replace({d1}, '{_SUFFIX.replace(chr(39), chr(39) * 2)}', '\\1 ' || chr(1) || '\\2 \\3', 'g')"
-    tok = _TOKEN.replace("'", "''")
-    return f"list_transform(regexp_extract_all({d2}, '{tok}'), lambda t: replace(t, chr(1), ''''))"
+    text = f"replace(lower({c}), '’', chr(39))"
+    for two in _CUT_WORDS:
+        whole = rf"(^|[^\p{{L}}\p{{N}}\p{{M}}&'-]){two.replace(' ', '')}({_NOT_A}|$)"
+        text = f"regexp_replace({text}, '{_quoted(whole)}', '\\1{two}\\2', 'g')"
+    text = f"regexp_replace({text}, '{_quoted(rf"({_A})n't({_NOT_A}|$)")}', '\\1 n' || chr(1) || 't \\2', 'g')"
+    text = f"regexp_replace({text}, '{_quoted(rf"({_A})'(s|re|ve|ll|d|m)({_NOT_A}|$)")}', '\\1 ' || chr(1) || '\\2 \\3', 'g')"
+    return f"list_transform(regexp_extract_all({text}, '{_quoted(_TOKEN)}'), lambda t: replace(t, chr(1), chr(39)))"
 
 
 def _caption_ctes(pred_cte: str = "spreds", refs_cte: str = "refs") -> str:
-    ctes = _metric_ctes(pred_cte, refs_cte)
-    return ctes.replace(_ws_tokens("caption") + " AS t, string_split(caption, ' ') AS ts",
-                        _caption_tokens("caption") + " AS t, string_split(array_to_string("
-                        + _caption_tokens("caption") + ", ' '), ' ') AS ts")
+    """The same over space-joined caption tokens, made once."""
+    ctes = _metric_ctes("c_preds", "c_refs")
+    joined = f"array_to_string({_caption_tokens('caption')}, ' ') AS caption"
+    return f"""
+c_preds AS MATERIALIZED (SELECT image, {joined} FROM {pred_cte}),
+c_refs AS MATERIALIZED (SELECT image, pos, {joined} FROM {refs_cte}),
+{ctes.strip()}"""
 
 
 def _caption_metrics() -> str:
@@ -307,6 +334,11 @@ FROM arr JOIN st USING (image) WHERE status = 'missing'""",
     "caption_tokens": _with(DOCS) + f""",
 tk AS (SELECT image, pos, {_caption_tokens('caption')} AS t FROM refs)
 SELECT image, pos, array_to_string(t, ' ') AS tokens, CAST(len(t) AS BIGINT) AS n_tokens FROM tk""",
+    "document_tokens": f"""
+WITH tk AS (SELECT doc_id, {_caption_tokens("coalesce(text, '')")} AS t FROM documents
+            UNION ALL SELECT -1 - item_id, {_caption_tokens("coalesce(text, '')")} FROM benchmark
+            UNION ALL SELECT -1000000000 - conv_id * 1000 - turn, {_caption_tokens("coalesce(text, '')")} FROM conversations)
+SELECT doc_id, array_to_string(t, ' ') AS tokens, CAST(len(t) AS BIGINT) AS n_tokens FROM tk""",
     "failures_by_status": """
 WITH st AS (
   SELECT CASE WHEN l.quality = 0 THEN 'missing' WHEN l.toxic = 1 THEN 'error' ELSE 'ok' END AS status

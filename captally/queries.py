@@ -286,6 +286,16 @@ def caption_tokens(spark, sf):
     )
 
 
+def document_tokens(spark, sf):
+    """STR-7 on whole texts: documents, benchmark items and conversation turns."""
+    texts = fx.spread(fx.table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    items = fx.table(spark, sf, "benchmark").select((F.lit(-1) - F.col("item_id")).alias("doc_id"), "text")
+    turn_id = F.lit(-1_000_000_000) - F.col("conv_id") * 1000 - F.col("turn")
+    turns = fx.table(spark, sf, "conversations").select(turn_id.alias("doc_id"), "text")
+    lexed = texts.unionByName(items).unionByName(turns).select("doc_id", caption_tokens_fn(F.col("text")).alias("t"))
+    return lexed.select("doc_id", F.array_join("t", " ").alias("tokens"), F.size("t").cast("long").alias("n_tokens"))
+
+
 def _generations(spark, sf):
     gen = caption_images(fx.image_content(spark, sf), text_captioner, PRESETS["greedy"])
     return postprocess(gen, PRESETS["greedy"])
@@ -520,6 +530,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "prediction_id_check": prediction_id_check,
     "score_coverage": score_coverage,
     "caption_tokens": caption_tokens,
+    "document_tokens": document_tokens,
     "failures_by_status": failures_by_status,
     "failed_images": failed_images,
     "caption_images_stub": caption_images_stub,

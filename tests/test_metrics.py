@@ -142,7 +142,7 @@ def test_golden_values_from_fixtures(spark):
 
 def scoring_plan(spark, p, r):
     paired = M.pair(p, r)
-    df = M.image_scores_plan(paired, M.cut(M._pair_grams(paired), "grams"))
+    df = M.image_scores_plan(paired, M.measured(paired))
     df.collect()
     return paired, df._jdf.queryExecution().executedPlan().toString()
 
@@ -168,7 +168,7 @@ def test_hot_image_and_hot_gram_are_shared_out(spark):
     hot = paired.pairs.where("image = 'i0.jpg'")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # tiny partitions would be merged
     try:
-        dealt = M._spread(M.Paired(paired.cand, hot, paired.mode)).select(F.spark_partition_id().alias("part")).distinct()
+        dealt = M.measures.spread(hot).select(F.spark_partition_id().alias("part")).distinct()
         assert dealt.count() > 4
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
@@ -201,11 +201,3 @@ def test_presets_are_scored_apart_in_one_job(spark):
     for name, preds in (("x", p), ("y", q)):
         for row in M.caption_scores(preds, r).collect():
             assert got[name, row.metric] == pytest.approx(row.score, abs=1e-9)
-
-
-def test_lcs_masks_are_shared():
-    from captally.functions.lcs import lcs_length, masked_lcs, token_masks
-
-    a = "a b c a d".split()
-    for b in ("a c d", "", "x", "a b c a d", "d a c b a"):
-        assert masked_lcs(token_masks(a), b.split(" ")) == lcs_length(b.split(" "), a)
