@@ -119,7 +119,7 @@ def measured(p: Paired) -> DataFrame:
 
 def pair_stats(pairs: DataFrame) -> DataFrame:
     """Per unit: reference count, ROUGE-L maxima, BLEU lengths (MET-2, MET-4), from ``measured`` rows."""
-    return pairs.groupBy("unit").agg(
+    return pairs.where("h1 is null and n = 1").groupBy("unit").agg(
         F.count(F.lit(1)).alias("n_refs"),
         F.max("c_len").alias("c_len"),
         # MET-2: nearest reference length, ties to the shorter one.
@@ -163,8 +163,7 @@ def bleu_columns(correct, guess, test_len: Column, ref_len: Column) -> list[Colu
 
 def bleu_counts(pairs: DataFrame) -> DataFrame:
     """MET-1 step: clipped matches per unit (unit, correct_1..4) from ``measured`` rows."""
-    shared = pairs.select("unit", F.explode(F.filter("grams", lambda g: g["clip"] > 0)).alias("g")).select("unit", "g.n", "g.h1", "g.h2", "g.clip")
-    best = shared.groupBy("unit", "n", "h1", "h2").agg(F.max("clip").alias("clip"))
+    best = pairs.where("clip > 0").groupBy("unit", "n", "h1", "h2").agg(F.max("clip").alias("clip"))
     by_n = lambda k: F.coalesce(F.sum(F.when(F.col("n") == k, F.col("clip"))), F.lit(0))
     return best.groupBy("unit").agg(*(by_n(k).alias(f"correct_{k}") for k in range(1, MAX_N + 1)))
 
@@ -176,29 +175,28 @@ def cider_sums(pairs: DataFrame, cand_grams: DataFrame) -> DataFrame:
     Sums over grams of one image are whole numbers times (ln N)^2; the others
     come from the join with the document frequencies.
     """
-    weights = cut(idf_of_shared_grams(pairs), "shared_grams")
-    few = weights.count() <= conf_int(pairs.sparkSession, BROADCAST_GRAMS_CONF, BROADCAST_GRAMS)
-    weights = F.broadcast(weights) if few else weights
+    grams = cut(shared_grams(pairs), "known_grams")
+    weights = few_or_many(cut(idf(grams), "weights"))
     cnt, both = F.col("cnt"), F.least("cnt", "cc") * F.col("cnt")
     square = F.col("idf") * F.col("idf")
     zero = F.lit(0)
-    grams = pairs.select("unit", "pair", F.inline("grams")).join(weights, ["h1", "h2"])
+    grams = grams.join(weights, ["h1", "h2"])
+    none, nothing = zero.cast("long"), F.lit(0.0)
     known = grams.select(
-        "unit", "pair", F.col("n").cast("int").alias("n"), zero.cast("double").alias("ln_n"), zero.alias("delta"), zero.cast("long").alias("rr"), zero.cast("long").alias("cr"),
-        (cnt * cnt).cast("long").alias("rr_known"), both.cast("long").alias("cr_known"), (square * cnt * cnt).alias("rr_idf"), (square * both).alias("cr_idf"),
+        "unit", "pair", "n", nothing.alias("ln_n"), none.alias("delta"), none.alias("rr"), none.alias("cr"), (cnt * cnt).cast("long").alias("rr_known"),
+        both.cast("long").alias("cr_known"), (square * cnt * cnt).alias("rr_idf"), (square * both).alias("cr_idf"),
     )
     bigrams = lambda c: F.greatest(F.col(c) - 1, zero)
-    every = pairs.select("unit", "pair", "ln_n", (bigrams("c_len") - bigrams("r_len")).alias("delta"), F.posexplode(F.arrays_zip("rr", "cr")).alias("k", "s"))
-    every = every.select(
-        "unit", "pair", (F.col("k") + 1).alias("n"), "ln_n", "delta", "s.rr", "s.cr", zero.cast("long").alias("rr_known"), zero.cast("long").alias("cr_known"),
-        F.lit(0.0).alias("rr_idf"), F.lit(0.0).alias("cr_idf"),
+    every = pairs.where("h1 is null").select(
+        "unit", "pair", "n", "ln_n", (bigrams("c_len") - bigrams("r_len")).alias("delta"), "rr", "cr", none.alias("rr_known"), none.alias("cr_known"),
+        nothing.alias("rr_idf"), nothing.alias("cr_idf"),
     )
     sums = [F.sum(c).alias(c) for c in ("rr", "cr", "rr_known", "cr_known", "rr_idf", "cr_idf", "delta", "ln_n")]
     per_n = every.unionByName(known).groupBy("unit", "pair", "n").agg(*sums)
     cc = F.col("cc")
-    idf = F.coalesce("idf", "ln_n")
-    cand_norm = cand_grams.join(weights, ["h1", "h2"], "left").groupBy("unit", F.col("n").cast("int").alias("n"))
-    per_n = per_n.join(cand_norm.agg(F.sqrt(F.sum(cc * cc * idf * idf)).alias("nc")), ["unit", "n"], "left")
+    weight = F.coalesce("idf", "ln_n")
+    cand_norm = cand_grams.join(weights, ["h1", "h2"], "left").groupBy("unit", "n")
+    per_n = per_n.join(cand_norm.agg(F.sqrt(F.sum(cc * cc * weight * weight)).alias("nc")), ["unit", "n"], "left")
     single = F.col("ln_n") * F.col("ln_n")
     nr2 = (F.col("rr") - F.col("rr_known")) * single + F.col("rr_idf")
     num = (F.col("cr") - F.col("cr_known")) * single + F.col("cr_idf")
@@ -209,19 +207,27 @@ def cider_sums(pairs: DataFrame, cand_grams: DataFrame) -> DataFrame:
     return per_ref.groupBy("unit").agg(F.sum(F.col("v") / MAX_N * penalty).alias("cider_sum"))
 
 
-def idf_of_shared_grams(pairs: DataFrame) -> DataFrame:
-    """(h1, h2, idf) of the grams that occur in the references of two or more images.
+def few_or_many(keys: DataFrame) -> DataFrame:
+    """A written table of gram keys, marked for broadcast while it is known to be small."""
+    few = keys.count() <= conf_int(keys.sparkSession, BROADCAST_GRAMS_CONF, BROADCAST_GRAMS)
+    return F.broadcast(keys) if few else keys
 
-    A group of an image's references has each of its grams marked once, so
-    only images of several groups need their grams made distinct.
+
+def shared_grams(pairs: DataFrame) -> DataFrame:
+    """(unit, pair, ln_n, n, h1, h2, cnt, cc): the grams that occur in the references of two or more images.
+
+    One pass over the keys finds them by their smallest and largest image;
+    the distinct images are counted for these alone.
     """
-    many = cut(pairs.groupBy("unit").agg((F.min("part") < F.max("part")).alias("many")).where("many").select("unit"), "many")
-    firsts = lambda df: df.select("unit", "ln_n", F.explode(F.filter("grams", lambda g: g["first"])).alias("g")).select("unit", "ln_n", "g.h1", "g.h2")
-    one = firsts(pairs.join(many, "unit", "left_anti")).select("h1", "h2", "ln_n", F.lit(1).alias("df"))
-    several = document_frequency(firsts(pairs.join(many, "unit", "left_semi")), ["h1", "h2"], "unit", {"ln_n": F.max("ln_n")})
-    seen = one.unionByName(several.select("h1", "h2", "ln_n", F.col("df").cast("int").alias("df")))
-    seen = seen.groupBy("h1", "h2").agg(F.sum("df").alias("df"), F.max("ln_n").alias("ln_n"))
-    return seen.where(F.col("df") > 1).select("h1", "h2", (F.col("ln_n") - F.log(F.col("df").cast("double"))).alias("idf"))
+    seen = pairs.where("first").groupBy("h1", "h2").agg(F.min("unit").alias("one"), F.max("unit").alias("other"))
+    keys = few_or_many(cut(seen.where("one < other").select("h1", "h2"), "shared_grams"))
+    return pairs.where("h1 is not null").select("unit", "pair", "ln_n", "n", "h1", "h2", "cnt", "cc").join(keys, ["h1", "h2"], "left_semi")
+
+
+def idf(grams: DataFrame) -> DataFrame:
+    """(h1, h2, idf) of ``shared_grams`` (MET-6)."""
+    seen = document_frequency(grams, ["h1", "h2"], "unit", {"ln_n": F.max("ln_n")})
+    return seen.select("h1", "h2", (F.col("ln_n") - F.log(F.col("df").cast("double"))).alias("idf"))
 
 
 def image_scores(p: Paired) -> DataFrame:
