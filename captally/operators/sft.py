@@ -1,8 +1,10 @@
 """Training-example preparation (SFT-1..7): the data side of fine-tuning.
 
-The tokenizer is a vocabulary table, so encoding is a relational job
-(explode, join, ordered collect per text) and the result is testable
-without a model.  Reserved ids: 0 unknown, 1 begin, 2 end (also padding).
+The tokenizer is a vocabulary table of whole words, or a ``SubwordTokenizer``.
+Either way encoding is a relational job (explode, join, ordered collect per
+text): sub-words are found once for each distinct word and joined back.
+Reserved ids of a vocabulary table: 0 unknown, 1 begin, 2 end (also padding); a
+sub-word tokenizer has no begin id and its ``eos`` ends and pads.
 """
 
 from __future__ import annotations
@@ -12,7 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from captally.functions.subword import SubwordTokenizer
 from captally.functions.tokens import whitespace_tokens
+from captally.operators.materialize import cut
 from captally.operators.ordinals import ordinals
 from captally.operators.pairing import drop_bad_samples
 from captally.operators.skew import skew_join
@@ -26,6 +30,7 @@ MAX_LEN = 32
 BATCH_SIZE = 4
 GRAD_ACCUMULATION = 4
 EPOCHS = 3
+STACKED = ("input_ids", "attention_mask", "labels")
 
 
 def build_vocab(texts: DataFrame, text: str = "caption", offset: int = VOCAB_OFFSET) -> DataFrame:
@@ -35,26 +40,39 @@ def build_vocab(texts: DataFrame, text: str = "caption", offset: int = VOCAB_OFF
 
 
 def encode(
-    df: DataFrame, text: str, vocab: DataFrame, keys: Sequence[str], bos: bool = True, max_tokens: int | None = None
+    df: DataFrame,
+    text: str,
+    vocab: DataFrame | None,
+    keys: Sequence[str],
+    bos: bool = True,
+    max_tokens: int | None = None,
+    tokenizer: SubwordTokenizer | None = None,
 ) -> DataFrame:
     """SFT-1: (keys..., ids array<int>) -- token ids in text order, unknown -> 0.
 
-    ``keys`` must identify a row.  Tokens are joined to the vocabulary with
-    ``skew_join`` (a frequent token is dealt over many tasks) and gathered back
-    per text.  With ``max_tokens`` only that many tokens of a text are looked
-    up: what a fixed-length example has room for.
+    ``keys`` must identify a row.  Words are joined to the vocabulary with
+    ``skew_join`` (a frequent one is dealt over many tasks) and gathered back
+    per text.  With ``max_tokens`` only that many words of a text are looked
+    up: what a fixed-length example has room for.  With a ``tokenizer`` the
+    vocabulary is made here: the sub-words of each distinct word.
     """
     keys = list(keys)
-    tokens = whitespace_tokens(F.col(text))
+    tokens = whitespace_tokens(F.col(text)) if tokenizer is None else tokenizer.words(F.col(text))
     if max_tokens is not None:
         tokens = F.slice(tokens, 1, max_tokens)
     # An empty text stays as one row without a token.
     toks = df.select(*keys, F.posexplode_outer(tokens).alias("p", "token"))
-    ided = skew_join(toks, vocab.select("token", "id"), ["token"], "left")
-    at = F.when(F.col("p").isNotNull(), F.struct("p", F.coalesce("id", F.lit(UNK_ID)).alias("id")))
+    if tokenizer is None:
+        table = vocab.select("token", F.array("id").alias("ids"))
+    else:
+        toks = cut(toks, "words")
+        distinct = toks.where(F.col("token").isNotNull()).select(F.col("token").alias("word")).distinct()
+        table = cut(tokenizer.word_table(distinct), "subwords").withColumnRenamed("word", "token")
+    ided = skew_join(toks, table, ["token"], "left")
+    at = F.when(F.col("p").isNotNull(), F.struct("p", F.coalesce("ids", F.array(F.lit(UNK_ID))).alias("ids")))
     gathered = ided.groupBy(*keys).agg(F.sort_array(F.collect_list(at)).alias("_t"))
-    ids = F.transform("_t", lambda s: s["id"])
-    if bos:
+    ids = F.flatten(F.transform("_t", lambda s: s["ids"]))
+    if bos and tokenizer is None:
         ids = F.concat(F.array(F.lit(BOS_ID)), ids)
     return gathered.select(*keys, ids.alias("ids"))
 
@@ -92,7 +110,13 @@ def mask_labels(
 
 
 def training_examples(
-    captions: DataFrame, prompt: str, vocab: DataFrame, max_len: int = MAX_LEN, key: str = "image", mask_eos: bool = True
+    captions: DataFrame,
+    prompt: str,
+    vocab: DataFrame | None,
+    max_len: int = MAX_LEN,
+    key: str = "image",
+    mask_eos: bool = True,
+    tokenizer: SubwordTokenizer | None = None,
 ) -> DataFrame:
     """SFT-5: (image, input_ids, attention_mask, labels) from (image, caption).
 
@@ -100,38 +124,41 @@ def training_examples(
     padded to ``max_len``; the prompt ids come first and are masked in the
     labels.
     """
+    eos = EOS_ID if tokenizer is None else tokenizer.eos
     spark = captions.sparkSession
     prompt_df = spark.createDataFrame([(0, prompt)], "k int, caption string")
     # The prompt is one short text given by the caller: its ids are a literal.
-    prompt_ids = encode(prompt_df, "caption", vocab, ["k"]).first()["ids"]
+    prompt_ids = encode(prompt_df, "caption", vocab, ["k"], tokenizer=tokenizer).first()["ids"]
     n_prompt = F.lit(len(prompt_ids))
-    cap = encode(captions, "caption", vocab, [key], max_tokens=max_len).select(
-        key, F.concat("ids", F.array(F.lit(EOS_ID))).alias("cap")
+    cap = encode(captions, "caption", vocab, [key], max_tokens=max_len, tokenizer=tokenizer).select(
+        key, F.concat("ids", F.array(F.lit(eos))).alias("cap")
     )
     both = cap.select(
         key,
-        concat_prompt(F.array(*map(F.lit, prompt_ids)), truncate_pad(F.col("cap"), max_len)).alias("input_ids"),
+        concat_prompt(F.array(*map(F.lit, prompt_ids)), truncate_pad(F.col("cap"), max_len, eos)).alias("input_ids"),
         F.concat(F.array_repeat(F.lit(1), n_prompt), caption_mask(F.col("cap"), max_len)).alias("attention_mask"),
     )
-    labels = mask_labels(F.col("input_ids"), n_prompt, F.col("attention_mask"), mask_eos)
+    labels = mask_labels(F.col("input_ids"), n_prompt, F.col("attention_mask"), mask_eos, eos)
     return both.select(key, "input_ids", "attention_mask", labels.alias("labels"))
 
 
 def assemble_batches(examples: DataFrame, size: int = BATCH_SIZE, key: str = "image") -> DataFrame:
     """SFT-6: drop failed samples, then fixed-size batches in key order.
 
-    (batch_id, n_examples, keys array) -- batch ids come from dense
-    ordinals, so each group holds at most ``size`` rows.  Failed samples go
-    first and batches are filled without them; the reference drops them from a
-    batch already formed, which only makes that batch smaller.
+    (batch_id, n_examples, keys array, and each of ``input_ids``,
+    ``attention_mask`` and ``labels`` that the examples have, stacked: one row
+    of the matrix per example).  Batch ids come from dense ordinals, so each
+    group holds at most ``size`` rows.  Failed samples go first and batches are
+    filled without them; the reference drops them from a batch already formed,
+    which only makes that batch smaller.
     """
     if "status" in examples.columns:
         examples = drop_bad_samples(examples)
-    ranked = ordinals(examples.select(key), [key], "ordinal")
-    return ranked.groupBy(F.floor(F.col("ordinal") / size).alias("batch_id")).agg(
-        F.count(F.lit(1)).alias("n_examples"),
-        F.transform(F.sort_array(F.collect_list(F.struct("ordinal", key))), lambda s: s[key]).alias(f"{key}s"),
-    )
+    stacked = [c for c in STACKED if c in examples.columns]
+    ranked = ordinals(examples.select(key, *stacked), [key], "ordinal")
+    rows = F.sort_array(F.collect_list(F.struct("ordinal", key, *stacked)))
+    batches = ranked.groupBy(F.floor(F.col("ordinal") / size).alias("batch_id")).agg(F.count(F.lit(1)).alias("n_examples"), rows.alias("_rows"))
+    return batches.select("batch_id", "n_examples", F.col(f"_rows.{key}").alias(f"{key}s"), *(F.col(f"_rows.{c}").alias(c) for c in stacked))
 
 
 def step_plan(

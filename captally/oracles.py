@@ -427,6 +427,17 @@ ORACLES["training_batches"] = _training_sql() + """,
 ord AS (SELECT image, row_number() OVER (ORDER BY image) - 1 AS o FROM examples)
 SELECT CAST(o // 4 AS BIGINT) AS batch_id, count(*) AS n_examples, string_agg(image, ',' ORDER BY image) AS images
 FROM ord GROUP BY o // 4"""
+ORACLES["stacked_batches"] = _training_sql() + """,
+ord AS (SELECT *, row_number() OVER (ORDER BY image) - 1 AS o FROM examples)
+SELECT CAST(o // 4 AS BIGINT) AS batch_id, string_agg(image, ',' ORDER BY o) AS images,
+       string_agg(array_to_string(input_ids, ','), ';' ORDER BY o) AS input_ids,
+       string_agg(array_to_string(attention_mask, ','), ';' ORDER BY o) AS attention_mask,
+       string_agg(array_to_string(labels, ','), ';' ORDER BY o) AS labels
+FROM ord GROUP BY o // 4"""
+# Encoding and decoding give the text back, in no more tokens than bytes.
+ORACLES["subword_round_trip"] = "SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256, true AS no_longer_than_bytes FROM documents"
+ORACLES["subword_training_texts"] = _training_sql() + """
+SELECT image, caption FROM train WHERE strlen(caption) < 512"""
 ORACLES["step_plan"] = _training_sql() + """
 SELECT count(*) AS n_examples, CAST(ceil(count(*) / 4) AS BIGINT) AS batches_per_epoch,
        CAST(greatest(floor(ceil(count(*) / 4) / 4), 1) AS BIGINT) AS steps_per_epoch,
@@ -444,6 +455,22 @@ SELECT '{name}' AS preset, metric, round(score, 6) AS score, 'Describe this imag
 WHERE metric IN ('Bleu_4', 'ROUGE_L', 'CIDEr'))"""
     for name, cte in (("greedy", "spreds"), ("beam", "beam"))
 )
+# The settings of all presets.
+_ALL_SETTINGS = """(VALUES
+  ('zero_shot', 'Write a short description for the image.', 5, 30, NULL, 8, 1.5::DOUBLE, 1.0::DOUBLE, false),
+  ('tuned_short', 'Write a short description for the image.', 5, 20, NULL, 5, 1.5::DOUBLE, NULL, false),
+  ('beam', 'Describe this image.', 5, NULL, 60, 5, 1.5::DOUBLE, 1.0::DOUBLE, false),
+  ('greedy', 'Describe this image.', 1, NULL, 30, 5, 2.0::DOUBLE, 1.0::DOUBLE, true),
+  ('qualitative', 'Describe this image.', 1, NULL, 30, 5, 2.0::DOUBLE, 1.0::DOUBLE, true)
+) s(name, prompt, num_beams, max_new_tokens, max_length, min_length, repetition_penalty, length_penalty, first_sentence)"""
+ORACLES["preset_captions"] = f"""
+WITH st AS (
+  SELECT 'img' || lpad(CAST(d.doc_id AS VARCHAR), 8, '0') || '.jpg' AS image,
+         {_strip("split_part(replace(text, chr(10), ' '), '.', 1)")} AS head,
+         CASE WHEN l.quality = 0 THEN 'missing' WHEN l.toxic = 1 THEN 'error' ELSE 'ok' END AS status
+  FROM documents d LEFT JOIN labels l USING (doc_id))
+SELECT s.*, st.image, CASE WHEN s.first_sentence THEN st.head || '.' ELSE st.head END AS caption
+FROM st, {_ALL_SETTINGS} WHERE st.status = 'ok'"""
 ORACLES["coco_round_trip"] = _with(DOCS, PREDS) + """
 SELECT CAST(('0x' || substr(sha256(p.image), 1, 13)) AS BIGINT) AS image_id, p.caption, count(*) AS n_refs
 FROM preds p JOIN refs r USING (image) GROUP BY p.image, p.caption"""

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from captally.functions.subword import SubwordTokenizer
 from captally.operators.captioner import PRESETS
 from captally.operators.materialize import cut
 from captally.operators.pairing import drop_bad_samples, first_caption
@@ -41,12 +42,16 @@ def prepare_training(
     max_len: int = MAX_LEN,
     mask_eos: bool = True,
     out: str | None = None,
+    tokenizer: SubwordTokenizer | None = None,
 ) -> DataFrame:
-    """PIP-3: training examples from a manifest (filename, split, refs); written to ``out`` as Parquet if given."""
+    """PIP-3: training examples from a manifest (filename, split, refs); written to ``out`` as Parquet if given.
+
+    Ids come from ``tokenizer``, or from ``vocab``, or from a vocabulary of the captions' own words.
+    """
     captions = cut(training_captions(manifest, image_status), "training-captions")
-    if vocab is None:
+    if vocab is None and tokenizer is None:
         vocab = build_vocab(captions)
-    examples = training_examples(captions, prompt, vocab, max_len, mask_eos=mask_eos)
+    examples = training_examples(captions, prompt, vocab, max_len, mask_eos=mask_eos, tokenizer=tokenizer)
     if out is None:
         return examples
     examples.write.mode("overwrite").parquet(out)

@@ -8,6 +8,7 @@ be compared with the DuckDB statements in ``captally.oracles``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,10 +32,12 @@ from captally.operators.pairing import (
     missing_images,
     pick_metrics,
     references_for,
+    scored_only,
     unique_images as unique_images_op,
     unknown_prediction_ids,
 )
-from captally.operators.sft import assemble_batches, step_plan as step_plan_op
+from captally.functions.subword import read_tokenizer
+from captally.operators.sft import assemble_batches, encode, step_plan as step_plan_op
 from captally.operators.splits import by_split, in_split, manifest_split, positional_split, split_counts
 from captally.plans.evaluation import compare_presets, evaluate_captions, evaluate_manifest
 from captally.plans.report import qualitative_report, score_report
@@ -55,6 +58,8 @@ from captally.sources import (
 )
 
 IMAGE_DIR = "/data/images"
+#: A public byte-level vocabulary; any file of that form will do.
+SUBWORD_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 DIGITS = 6
 
 
@@ -386,18 +391,34 @@ def score_lines(spark, sf):
     return lines.select("metric", "value", "line")
 
 
-def preset_comparison(spark, sf):
-    """PIP-5, FLT-4, CAP-3: greedy vs beam predictions, same references, one job; with the presets' settings."""
+def _presets_compared(spark, sf):
     preds = {"greedy": fx.scoring_predictions(spark, sf), "beam": fx.beam_predictions(spark, sf)}
     out = pick_metrics(compare_presets(preds, fx.references(spark, sf)), ["Bleu_4", "ROUGE_L", "CIDEr"])
     settings = decoding_presets(spark).withColumnRenamed("name", "preset")
-    return out.join(settings, "preset").select(
+    return out.join(settings, "preset")
+
+
+def preset_comparison(spark, sf):
+    """PIP-5, FLT-4, CAP-3: greedy vs beam predictions, same references, one job; with the presets' settings."""
+    return _presets_compared(spark, sf).select(
         "preset", "metric", _r("score"), "prompt", F.col("num_beams").cast("long").alias("num_beams"),
         F.col("max_length").cast("long").alias("max_length"), F.col("min_length").cast("long").alias("min_length"),
         "repetition_penalty", "length_penalty", "first_sentence",
     )
 
 
+def preset_captions(spark, sf):
+    """CAP-1..3: every preset's captions of every readable image, beside its settings."""
+    images = fx.image_content(spark, sf)
+    each = [postprocess(caption_images(images, text_captioner, p), p).withColumn("name", F.lit(p.name)) for p in PRESETS.values()]
+    done = scored_only(reduce(DataFrame.unionByName, each))
+    return done.join(decoding_presets(spark), "name").select(
+        "name", "image", "caption", "prompt", F.col("num_beams").cast("long").alias("num_beams"), F.col("max_new_tokens").cast("long").alias("max_new_tokens"),
+        F.col("max_length").cast("long").alias("max_length"), F.col("min_length").cast("long").alias("min_length"), "repetition_penalty", "length_penalty",
+        "first_sentence",
+    )
+
+
 def qualitative_rows(spark, sf):
     """JN-4, PIP-4, STR-8: rows of the positional test split at 3/4, 1/10 and 1/2 of it, and one past its end."""
     labels = cut(_positional_labels(spark, sf), "labels")
@@ -449,6 +470,37 @@ def training_batches(spark, sf):
     )
 
 
+def _stacked_text(c: str) -> F.Column:
+    return F.array_join(F.transform(F.col(c), lambda row: F.array_join(F.transform(row, lambda x: x.cast("string")), ",")), ";").alias(c)
+
+
+def stacked_batches(spark, sf):
+    """SFT-6: batches as matrices of ids, masks and labels, one row per example."""
+    batches = assemble_batches(_training(spark, sf))
+    return batches.select(
+        F.col("batch_id").cast("long").alias("batch_id"), F.array_join("images", ",").alias("images"), *(_stacked_text(c) for c in ("input_ids", "attention_mask", "labels"))
+    )
+
+
+def subword_round_trip(spark, sf):
+    """SFT-1 with a sub-word tokenizer: every document encoded and decoded again."""
+    tokenizer = read_tokenizer(spark, SUBWORD_VOCABULARY)
+    docs = fx.spread(fx.table(spark, sf, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "doc_id")
+    ids = encode(docs, "text", None, ["doc_id"], tokenizer=tokenizer)
+    decoded = ids.select("doc_id", F.size("ids").alias("n"), tokenizer.decode(F.col("ids")).alias("text"))
+    return decoded.select("doc_id", F.sha2("text", 256).alias("text_sha256"), (F.col("n") <= F.octet_length("text")).alias("no_longer_than_bytes"))
+
+
+def subword_training_texts(spark, sf):
+    """SFT-1..5 with a sub-word tokenizer: the captions that the labels of the examples spell, where they fit."""
+    tokenizer = read_tokenizer(spark, SUBWORD_VOCABULARY)
+    room = 512
+    examples = prepare_training(_manifest_rows(spark, sf), fx.image_status(spark, sf), tokenizer=tokenizer, max_len=room)
+    learned = F.filter("labels", lambda x: x >= 0)
+    rows = examples.select("image", tokenizer.decode(learned).alias("caption"))
+    return rows.where(F.octet_length("caption") < room)  # a token has at least one byte, so these are whole
+
+
 def step_plan(spark, sf):
     """SFT-7: from a count of the usable samples alone."""
     return step_plan_op(training_captions(_manifest_rows(spark, sf), fx.image_status(spark, sf)))
@@ -546,11 +598,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "caption_scores_ptb": caption_scores_ptb,
     "score_lines": score_lines,
     "preset_comparison": preset_comparison,
+    "preset_captions": preset_captions,
     "qualitative_rows": qualitative_rows,
     "usable_samples": usable_samples,
     "training_examples": training_examples,
     "training_labels_with_end": training_labels_with_end,
     "training_batches": training_batches,
+    "stacked_batches": stacked_batches,
+    "subword_round_trip": subword_round_trip,
+    "subword_training_texts": subword_training_texts,
     "step_plan": step_plan,
     "coco_round_trip": coco_round_trip,
     "evaluate_manifest": evaluate_manifest_q,
