@@ -6,9 +6,9 @@ partition and place inside it, writes that once to the checkpoint folder
 (so the numbering never depends on a re-run), then adds the running count of
 the earlier partitions (one number per partition, broadcast back).
 
-Built on it: WIN-1 ``image_ordinal``, WIN-2 ``annotation_ids``, LIM-1
-``slice_images``, JN-4 ``at_positions``; SRT-1 ``sort_images`` is a plain
-global sort.
+Built on it: WIN-1 ``image_ordinal``, WIN-2 ``annotation_ids``; SRT-1
+``sort_images`` is a plain global sort.  LIM-1 ``slice_images`` and JN-4
+``at_positions`` find their rows by selection (``operators.selection``) and number no others.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from captally.operators.materialize import cut
+from captally.operators.selection import nth_keys, slice_keys
 
 
 def _partitions(df: DataFrame) -> int:
@@ -78,21 +79,28 @@ def annotation_ids(refs: DataFrame) -> DataFrame:
     return ordinals(refs, ["image", "pos"], "id")
 
 
-def slice_images(images: DataFrame, lo: int, hi: int | None) -> DataFrame:
-    """LIM-1: images at sorted positions [lo, hi) (hi None = open-ended)."""
-    ranked = ordinals(images.select("image").distinct(), ["image"], "ordinal")
-    cond = F.col("ordinal") >= lo
-    if hi is not None:
-        cond = cond & (F.col("ordinal") < hi)
-    return ranked.where(cond)
+def slice_images(images: DataFrame, lo: int, hi: int | None, unique: bool = False) -> DataFrame:
+    """LIM-1: images at sorted positions [lo, hi) (hi None = open-ended) with their ``ordinal``.
+
+    The ends are found by selection; only the slice is sorted and written.
+    ``unique`` says that there is one row per image already.
+    """
+    names = images.select("image")
+    found = slice_keys(names if unique else cut(names.distinct(), "images"), "image", lo, hi)
+    return ordinals(found, ["image"], "ordinal").withColumn("ordinal", F.col("ordinal") + lo)
 
 
-def at_positions(df: DataFrame, positions: Sequence[int], ordinal: str = "ordinal") -> DataFrame:
+def at_positions(df: DataFrame, positions: Sequence[int], ordinal: str = "ordinal", key: str = "image") -> DataFrame:
     """JN-4: one row per requested position, in request order (``slot``).
 
-    ``found`` is false, and the other columns null, for a position past the end.
+    Without a column ``ordinal`` positions are those of the ascending order of
+    ``key`` (unique), found by selection.  ``found`` is false, and the other
+    columns null, for a position past the end.
     """
     spark = df.sparkSession
     wanted = spark.createDataFrame([(int(p), i) for i, p in enumerate(positions)], f"{ordinal} long, slot int")
+    if ordinal not in df.columns:
+        # One row per requested position: small by what was asked for.
+        df = df.join(F.broadcast(nth_keys(df, key, positions, ordinal)), key)
     there = df.join(F.broadcast(wanted.select(ordinal).distinct()), ordinal, "left_semi").withColumn("found", F.lit(True))
     return wanted.join(there, ordinal, "left").withColumn("found", F.coalesce("found", F.lit(False))).orderBy("slot")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from captally.functions.text import plot_title, scale_round
 from captally.operators.materialize import cut
-from captally.operators.ordinals import at_positions, ordinals
+from captally.operators.ordinals import at_positions
 from captally.operators.pairing import pick_metrics
 
 # Rows the qualitative viewer shows by default.
@@ -29,17 +29,20 @@ def score_report(scores: DataFrame, scale: float = 100.0, digits: int = 2, metri
 
 
 def qualitative_report(
-    preds: DataFrame, refs: DataFrame, images: DataFrame, indices: Sequence[int] = DEFAULT_INDICES
+    preds: DataFrame, refs: DataFrame, images: DataFrame, indices: Sequence[int] = DEFAULT_INDICES, unique: bool = False
 ) -> DataFrame:
     """PIP-4: chosen rows of ``images`` by position in name order.
 
     (slot, idx, found, image, reference, prediction, title): ``reference`` is
     the first reference in ``pos`` order; rows come in the requested order,
-    with ``found`` false for a position past the end.
+    with ``found`` false for a position past the end.  The rows are found by
+    selection; no other image is sorted, numbered or written (``unique`` says
+    that there is one row per image already, else the names are made distinct).
     """
-    ranked = ordinals(images.select("image").distinct(), ["image"], "idx")
+    names = images.select("image")
+    names = names if unique else cut(names.distinct(), "images")
     # One row per requested index: small by what was asked for, so only its images' rows are read on.
-    chosen = cut(at_positions(ranked, indices, "idx"), "chosen")
+    chosen = cut(at_positions(names, indices, "idx"), "chosen")
     names = F.broadcast(chosen.select("image").distinct())
     first_ref = refs.join(names, "image", "left_semi").groupBy("image").agg(F.min_by("caption", "pos").alias("reference"))
     preds = preds.join(names, "image", "left_semi")

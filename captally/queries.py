@@ -133,7 +133,7 @@ def image_slice(spark, sf):
     """LIM-1, SRT-1: the second tenth of the images in name order."""
     images = cut(unique_images_op(fx.references(spark, sf)), "images")
     n = images.count()
-    got = sort_images(slice_images(images, n // 10, n // 5))
+    got = sort_images(slice_images(images, n // 10, n // 5, unique=True))
     return got.select("image", F.col("ordinal").cast("long").alias("ordinal"))
 
 
@@ -424,7 +424,7 @@ def qualitative_rows(spark, sf):
     labels = cut(_positional_labels(spark, sf), "labels")
     test = by_split(labels, "test").select("image")
     n = test.count()
-    rep = qualitative_report(fx.predictions(spark, sf), fx.references(spark, sf), test, (n * 3 // 4, n // 10, n // 2, n))
+    rep = qualitative_report(fx.predictions(spark, sf), fx.references(spark, sf), test, (n * 3 // 4, n // 10, n // 2, n), unique=True)
     return rep.select(
         F.col("slot").cast("long").alias("slot"), F.col("idx").cast("long").alias("idx"), "found", "image", "reference", "prediction", "title"
     )
