@@ -471,6 +471,10 @@ WITH st AS (
   FROM documents d LEFT JOIN labels l USING (doc_id))
 SELECT s.*, st.image, CASE WHEN s.first_sentence THEN st.head || '.' ELSE st.head END AS caption
 FROM st, {_ALL_SETTINGS} WHERE st.status = 'ok'"""
+ORACLES["batched_captions"] = ORACLES["caption_images_stub"]
+ORACLES["resumed_captions"] = (
+    "SELECT image, caption, status, CASE WHEN status = 'missing' THEN 0 ELSE 1 END AS n_asked FROM (" + ORACLES["caption_images_stub"] + ")"
+)
 ORACLES["coco_round_trip"] = _with(DOCS, PREDS) + """
 SELECT CAST(('0x' || substr(sha256(p.image), 1, 13)) AS BIGINT) AS image_id, p.caption, count(*) AS n_refs
 FROM preds p JOIN refs r USING (image) GROUP BY p.image, p.caption"""

@@ -17,7 +17,15 @@ from captally import fixtures as fx
 from captally.functions.text import append_eos, image_id, image_path, to_json_text, wrap_single
 from captally.functions.tokens import caption_tokens as caption_tokens_fn
 from captally.operators import metrics
-from captally.operators.captioner import PRESETS, caption_images, decoding_presets, postprocess, text_captioner
+from captally.operators.captioner import (
+    PRESETS,
+    caption_images,
+    caption_with_ledger,
+    decoding_presets,
+    postprocess,
+    text_batch_captioner,
+    text_captioner,
+)
 from captally.operators.materialize import cut, scratch_path
 from captally.operators.ngrams import document_frequency as document_frequency_op
 from captally.operators.ordinals import annotation_ids, image_ordinal, slice_images, sort_images
@@ -391,6 +399,22 @@ def score_lines(spark, sf):
     return lines.select("metric", "value", "line")
 
 
+def batched_captions(spark, sf):
+    """CAP-1 in batches: a captioner that takes 64 images a call, where one unreadable image fails the call."""
+    gen = caption_images(fx.image_content(spark, sf), text_batch_captioner, PRESETS["greedy"])
+    return postprocess(gen, PRESETS["greedy"]).select("image", "caption", "status")
+
+
+def resumed_captions(spark, sf):
+    """CAP-1, AGG-3 with a ledger: half of the images first, then all; the second run asks only for the rest."""
+    images, ledger = fx.image_content(spark, sf), scratch_path(spark, "ledger")
+    first = images.where(F.pmod(F.xxhash64("image"), F.lit(2)) == 0)
+    caption_with_ledger(first, text_batch_captioner, PRESETS["greedy"], ledger, buckets=4)
+    gen = postprocess(caption_with_ledger(images, text_batch_captioner, PRESETS["greedy"], ledger, buckets=4), PRESETS["greedy"])
+    twice = cut(spark.read.parquet(ledger).groupBy("image").agg(F.count(F.lit(1)).alias("n")), "asked")
+    return gen.join(twice, "image", "left").select("image", "caption", "status", F.coalesce("n", F.lit(0)).cast("long").alias("n_asked"))
+
+
 def _presets_compared(spark, sf):
     preds = {"greedy": fx.scoring_predictions(spark, sf), "beam": fx.beam_predictions(spark, sf)}
     out = pick_metrics(compare_presets(preds, fx.references(spark, sf)), ["Bleu_4", "ROUGE_L", "CIDEr"])
@@ -586,6 +610,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "failures_by_status": failures_by_status,
     "failed_images": failed_images,
     "caption_images_stub": caption_images_stub,
+    "batched_captions": batched_captions,
+    "resumed_captions": resumed_captions,
     "ngram_counts": ngram_counts,
     "document_frequency": document_frequency,
     "bleu_corpus": bleu_corpus,
