@@ -171,6 +171,39 @@ def image_folder(spark: SparkSession, sf_dir: str) -> str:
     return folder
 
 
+# Small whole pictures, as hex: an RGB, a 16-bit grey and a palette PNG of 2 x 2, a CMYK JPEG of 8 x 8.
+PICTURES = {
+    "rgb": (
+        "89504E470D0A1A0A0000000D4948445200000002000000020802000000FDD49A7300000009744558746120636F6D6D656E745B50F350000000054944"
+        "4154789C6360402B08F39500000006494441540600000E00019B36E7410000000049454E44AE426082"
+    ),
+    "grey16": (
+        "89504E470D0A1A0A0000000D4948445200000002000000021000000000074D8EBB00000009744558746120636F6D6D656E745B50F350000000054944"
+        "4154789C636080B06C312500000006494441540100000A0001813A7F250000000049454E44AE426082"
+    ),
+    "palette": (
+        "89504E470D0A1A0A0000000D49484452000000020000000208030000004568FD1600000006504C5445000000000000A567B9CF000000097445587461"
+        "20636F6D6D656E745B50F3500000000549444154789C6360005DD4B2050000000649444154010000060001882086410000000049454E44AE426082"
+    ),
+    "cmyk": (
+        "FFD8FFDB0043000101010101010101010101010101010101010101010101010101010101010101010101010101010101010101010101010101010101"
+        "0101010101010101010101FFC00014080008000804011100021100031100041100FFC40014000100000000000000000000000000000000FFC4001410"
+        "0100000000000000000000000000000000FFDA000E040100020003000400003F000000FFD9"
+    ),
+}
+
+
+def picture_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(image, kind, content): picture files of several kinds, one per document, every fifth cut in its last third."""
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id"), "doc_id")
+    kinds = F.array(*(F.lit(k) for k in PICTURES))
+    kind = F.element_at(kinds, (F.pmod(F.col("doc_id"), F.lit(len(PICTURES))) + 1).cast("int"))
+    whole = F.unhex(F.element_at(F.create_map(*(F.lit(x) for kv in PICTURES.items() for x in kv)), kind))
+    cut = F.pmod(F.floor(F.col("doc_id") / len(PICTURES)), F.lit(5)) == 0
+    content = F.when(cut, F.substring(whole, 1, F.floor(F.octet_length(whole) * 2 / 3).cast("int"))).otherwise(whole)
+    return docs.select(image_name(F.col("doc_id")).alias("image"), kind.alias("kind"), content.alias("content"))
+
+
 def image_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(image, status) of every document's image: ok, missing or error, by its labels."""
     docs = table(spark, sf_dir, "documents").select("doc_id")

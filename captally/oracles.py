@@ -475,6 +475,20 @@ ORACLES["batched_captions"] = ORACLES["caption_images_stub"]
 ORACLES["resumed_captions"] = (
     "SELECT image, caption, status, CASE WHEN status = 'missing' THEN 0 ELSE 1 END AS n_asked FROM (" + ORACLES["caption_images_stub"] + ")"
 )
+ORACLES["picture_check"] = """
+WITH k AS (
+  SELECT 'img' || lpad(CAST(doc_id AS VARCHAR), 8, '0') || '.jpg' AS image, doc_id % 4 AS kind_no, (doc_id // 4) % 5 = 0 AS cut FROM documents
+), f AS (
+  SELECT * FROM (VALUES (0, 'rgb', 'png', 2, 2, 3, 8), (1, 'grey16', 'png', 2, 2, 1, 16), (2, 'palette', 'png', 2, 2, 1, 8),
+                        (3, 'cmyk', 'jpeg', 8, 8, 4, 8)) f(kind_no, kind, format, width, height, n_channels, bits)
+)
+SELECT image, kind, format, CASE WHEN cut THEN -1 ELSE width END AS width, CASE WHEN cut THEN -1 ELSE height END AS height,
+       CASE WHEN cut THEN -1 ELSE n_channels END AS n_channels, CASE WHEN cut THEN -1 ELSE bits END AS bits,
+       CASE WHEN cut THEN 'truncated' END AS problem, NOT cut AS ok
+FROM k JOIN f USING (kind_no)"""
+ORACLES["csv_documents"] = """
+SELECT 'img' || lpad(CAST(doc_id AS VARCHAR), 8, '0') || '.jpg' AS image, length(text) AS n_chars, sha256(text) AS text_sha256
+FROM documents WHERE text <> ''"""
 ORACLES["coco_round_trip"] = _with(DOCS, PREDS) + """
 SELECT CAST(('0x' || substr(sha256(p.image), 1, 13)) AS BIGINT) AS image_id, p.caption, count(*) AS n_refs
 FROM preds p JOIN refs r USING (image) GROUP BY p.image, p.caption"""

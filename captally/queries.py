@@ -51,6 +51,7 @@ from captally.plans.evaluation import compare_presets, evaluate_captions, evalua
 from captally.plans.report import qualitative_report, score_report
 from captally.plans.training import prepare_training, training_captions
 from captally.sinks import write_captions, write_coco_predictions, write_coco_references
+from captally.sources.images import check_pictures
 from captally.sources import (
     lower_header,
     parse_token_lines,
@@ -225,6 +226,21 @@ def image_validity(spark, sf):
     return got.select("image", "ok", F.col("width").cast("long").alias("width"), F.col("height").cast("long").alias("height"))
 
 
+def picture_check(spark, sf):
+    """SRC-5: RGB, 16-bit, palette and CMYK pictures, some of them cut off."""
+    got = check_pictures(fx.picture_files(spark, sf))
+    size = [F.col(c).cast("long").alias(c) for c in ("width", "height", "n_channels", "bits")]
+    return got.select("image", "kind", "format", *size, "problem", "ok")
+
+
+def csv_documents(spark, sf):
+    """SRC-1 by byte ranges: whole texts, with their line ends, quotes and commas, written as CSV and read again."""
+    path = scratch_path(spark, "csv-texts")
+    docs = fx.spread(fx.table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    write_captions(docs.select(fx.image_name(F.col("doc_id")).alias("image"), F.col("text").alias("caption")), path)
+    return read_captions(spark, path).select("image", F.length("caption").cast("long").alias("n_chars"), F.sha2("caption", 256).alias("text_sha256"))
+
+
 def image_presence(spark, sf):
     """FLT-2: images of the documents with and without a file."""
     rows = fx.manifest(spark, sf).select(F.col("filename").alias("image"))
@@ -597,6 +613,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_captions": json_captions,
     "image_listing": image_listing,
     "image_validity": image_validity,
+    "picture_check": picture_check,
+    "csv_documents": csv_documents,
     "image_presence": image_presence,
     "latest_predictions": latest_predictions,
     "duplicate_predictions": duplicate_predictions,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from captally.functions.text import image_of_key
+from captally.sources.csv_records import csv_records
 
 
 def lower_header(df: DataFrame) -> DataFrame:
@@ -14,38 +15,35 @@ def lower_header(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower() for c in df.columns])
 
 
-def read_captions(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+CSV = {"quote": '"', "escape": '"', "mode": "FAILFAST", "nullValue": "", "emptyValue": ""}
+
+
+def read_captions(spark: SparkSession, path: str, split: bool = True) -> DataFrame:
     """SRC-1: CSV with a header -> (image, caption, pos).
 
-    Quotes are doubled inside quoted fields and captions may hold newlines,
-    so the reader uses ``escape='"'`` and ``multiLine``.  Every column is
-    read as a string (no inference).  Rows with an empty image or caption
+    Quotes are doubled inside quoted fields and captions may hold newlines.
+    Every column is read as a string (no inference).  Rows with an empty image or caption
     are dropped (a missing caption cannot be scored or written as JSON); the
-    literal text ``NA`` stays text.  ``pos`` is the row's place in the file
-    order: with ``multiline`` a file is one task, so the id follows the file;
-    ``multiline=False`` splits large files of one-line captions among tasks.  A
-    row with another number of fields than the header is an error.
+    literal text ``NA`` stays text.  ``pos`` grows in file order.  A row with
+    another number of fields than the header is an error.
+
+    Large files are read by byte ranges (``csv_records``), which expects quotes
+    in quoted fields only; ``split=False`` leaves files with stray quotes to Spark's own
+    multi-line reader, a task a file.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multiline)
-        .option("mode", "FAILFAST")
-        .option("inferSchema", False)
-        .option("nullValue", "")
-        .option("emptyValue", "")
-        .csv(path)
-    )
+    reader = spark.read.options(header=True, inferSchema=False, multiLine=not split, **CSV)
+    raw = reader.csv(path)
     df = lower_header(raw)
     missing = {"image", "caption"} - set(df.columns)
     if missing:
         raise ValueError(f"caption file lacks column(s) {sorted(missing)}")
-    return (
-        df.select("image", "caption", F.monotonically_increasing_id().alias("pos"))
-        .where(F.col("image").isNotNull() & (F.col("image") != ""))
-        .where(F.col("caption").isNotNull() & (F.col("caption") != ""))
-    )
+    if split:
+        fields = ", ".join(f"`{c.replace('`', '``')}` string" for c in df.columns)
+        row = F.from_csv("text", fields, {**CSV, "maxCharsPerColumn": "-1"})
+        df = csv_records(spark, path).select(row.alias("r"), F.col("line").alias("pos")).select("r.image", "r.caption", "pos")
+    else:
+        df = df.select("image", "caption", F.monotonically_increasing_id().alias("pos"))
+    return df.where(F.col("image").isNotNull() & (F.col("image") != "")).where(F.col("caption").isNotNull() & (F.col("caption") != ""))
 
 
 def parse_token_lines(lines: DataFrame, value: str = "value") -> DataFrame:

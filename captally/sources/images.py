@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from captally.sources.pictures import Picture, inspect
 
 
 def scan_images(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
@@ -21,19 +25,25 @@ def _image_of(path: str) -> Column:
     return F.when(folder != "", folder).otherwise(F.element_at(F.split(path, "/"), -1))
 
 
-def validate_images(spark: SparkSession, folder: str) -> DataFrame:
-    """SRC-5: decode every file and flag the ones that fail.
+PICTURE = "format string, width int, height int, n_channels int, bits int, problem string"
+
+
+def _inspect(contents: pa.Array) -> pa.Array:
+    found = [Picture(None, problem="missing") if c is None else inspect(c) for c in contents.to_pylist()]
+    return pa.StructArray.from_arrays([pa.array(x, pa.int32() if i in (1, 2, 3, 4) else pa.string()) for i, x in enumerate(zip(*found))] or [pa.array([], t) for t in (pa.string(), *(pa.int32(),) * 4, pa.string())], names=list(Picture._fields))
+
 
-    (path, image, height, width, n_channels, ok).  Spark's image source marks
-    an undecodable file with height -1; ``ok`` also requires 1, 3 or 4 channels
-    (an RGB conversion is possible).
+def check_pictures(files: DataFrame, content: str = "content") -> DataFrame:
+    """``files`` without their bytes, and (format, width, height, n_channels, bits, problem, ok) of each picture.
+
+    The check is structural (``sources.pictures``): no pixels are made.  ``ok``
+    says that a conversion to RGB would succeed; sizes are -1 where not.
     """
-    imgs = spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", True).load(folder)
-    return imgs.select(
-        F.col("image.origin").alias("path"),
-        _image_of("image.origin").alias("image"),
-        F.col("image.height").alias("height"),
-        F.col("image.width").alias("width"),
-        F.col("image.nChannels").alias("n_channels"),
-        ((F.col("image.height") > 0) & F.col("image.nChannels").isin(1, 3, 4)).alias("ok"),
-    )
+    checked = files.withColumn("_p", F.arrow_udf(_inspect, T.StructType.fromDDL(PICTURE))(content))
+    return checked.select(*(c for c in files.columns if c != content), "_p.*").withColumn("ok", F.col("problem").isNull())
+
+
+def validate_images(spark: SparkSession, folder: str) -> DataFrame:
+    """SRC-5: check every file of a folder: (path, image, format, width, height, n_channels, bits, problem, ok)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    return check_pictures(files.select("path", _image_of("path").alias("image"), "content"))
