@@ -174,16 +174,17 @@ def image_folder(spark: SparkSession, sf_dir: str) -> str:
 # Small whole pictures, as hex: an RGB, a 16-bit grey and a palette PNG of 2 x 2, a CMYK JPEG of 8 x 8.
 PICTURES = {
     "rgb": (
-        "89504E470D0A1A0A0000000D4948445200000002000000020802000000FDD49A7300000009744558746120636F6D6D656E745B50F350000000054944"
-        "4154789C6360402B08F39500000006494441540600000E00019B36E7410000000049454E44AE426082"
+        "89504E470D0A1A0A0000000D4948445200000002000000020802000000FDD49A730000001174455874436F6D6D656E74006D6164652068657265977E"
+        "EE260000000549444154789C6360402B08F39500000006494441540600000E00019B36E7410000000049454E44AE426082"
     ),
     "grey16": (
-        "89504E470D0A1A0A0000000D4948445200000002000000021000000000074D8EBB00000009744558746120636F6D6D656E745B50F350000000054944"
-        "4154789C636080B06C312500000006494441540100000A0001813A7F250000000049454E44AE426082"
+        "89504E470D0A1A0A0000000D4948445200000002000000021000000000074D8EBB0000001174455874436F6D6D656E74006D6164652068657265977E"
+        "EE260000000549444154789C636080B06C312500000006494441540100000A0001813A7F250000000049454E44AE426082"
     ),
     "palette": (
-        "89504E470D0A1A0A0000000D49484452000000020000000208030000004568FD1600000006504C5445000000000000A567B9CF000000097445587461"
-        "20636F6D6D656E745B50F3500000000549444154789C6360005DD4B2050000000649444154010000060001882086410000000049454E44AE426082"
+        "89504E470D0A1A0A0000000D49484452000000020000000208030000004568FD1600000030504C5445000102030405060708090A0B0C0D0E0F101112"
+        "131415161718191A1B1C1D1E1F202122232425262728292A2B2C2D2E2FAD978EEF0000001174455874436F6D6D656E74006D6164652068657265977E"
+        "EE260000000549444154789C6360005DD4B2050000000649444154010000060001882086410000000049454E44AE426082"
     ),
     "cmyk": (
         "FFD8FFDB0043000101010101010101010101010101010101010101010101010101010101010101010101010101010101010101010101010101010101"

@@ -94,6 +94,7 @@ def marks(s: str) -> set:
 
 LETTER = LETTERS
 WORD = ("seq", some(ALNUM), maybe(some(("seq", marks("-&"), some(ALNUM)))), maybe(some(("seq", marks("'"), some(ALNUM)))))
+NUMBER = ("seq", some({DIGIT}), some(("seq", marks(".,:"), some({DIGIT}))))
 IN_URL = ALNUM | marks(".,:-&@/_+?") | {ADDRESS}
 
 
@@ -106,14 +107,14 @@ class Rule(NamedTuple):
 
 RULES = [
     *(Rule(text(w.replace("|", "")), cut=w.index("|"), whole=True) for w in CUT_WORDS),
-    *(Rule(("seq", WORD, text(s)), cut=-len(s), whole=True) for s in SUFFIXES),
+    *(Rule(("seq", ("any", WORD, NUMBER), text(s)), cut=-len(s), whole=True) for s in SUFFIXES),
     Rule(text("'em"), whole=True),
     Rule(("seq", ("any", ("seq", text("http"), maybe(text("s")), text("://")), text("www.")), maybe(some(IN_URL)), ALNUM | marks("/"))),
     Rule(("seq", ALNUM, maybe(some(ALNUM | marks("._+-"))), marks("@"), some(ALNUM), some(("seq", marks("-."), some(ALNUM))))),
     Rule(("seq", some(("seq", LETTER, marks("."))), LETTER), whole=True),
     Rule(("seq", LETTER, marks("."), some(("seq", LETTER, marks("."))))),
     *(Rule(text(a + ".")) for a in ABBREVIATIONS),
-    Rule(("seq", some({DIGIT}), some(("seq", marks(".,:"), some({DIGIT}))))),
+    Rule(NUMBER),
     Rule(WORD),
     Rule(some(marks(".")), drop=True),
     Rule(some(marks("-")), drop=True),

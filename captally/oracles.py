@@ -222,7 +222,7 @@ def _quoted(t: str) -> str:
 
 def _caption_tokens(c: str) -> str:
     text = f"replace(lower({c}), '’', chr(39))"
-    for two in _CUT_WORDS:
+    for two in _CUT_WORDS * 2:  # twice: a match takes the character after it, so it hides a next one
         whole = rf"(^|[^\p{{L}}\p{{N}}\p{{M}}&'-]){two.replace(' ', '')}({_NOT_A}|$)"
         text = f"regexp_replace({text}, '{_quoted(whole)}', '\\1{two}\\2', 'g')"
     text = f"regexp_replace({text}, '{_quoted(rf"({_A})n't({_NOT_A}|$)")}', '\\1 n' || chr(1) || 't \\2', 'g')"

@@ -22,7 +22,7 @@ def png(width=5, height=3, bits=8, colour=2, interlace=0, palette=False, end=Tru
     half = len(data) // 2
     out = PNG + chunk(b"IHDR", struct.pack(">IIBBBBB", width, height, bits, colour, 0, 0, interlace))
     out += chunk(b"PLTE", bytes(range(48))) if palette else b""
-    out += chunk(b"tEXt", b"a comment") + chunk(b"IDAT", data[:half]) + chunk(b"IDAT", data[half:])
+    out += chunk(b"tEXt", b"Comment\0made here") + chunk(b"IDAT", data[:half]) + chunk(b"IDAT", data[half:])
     return out + (chunk(b"IEND", b"") if end else b"")
 
 
