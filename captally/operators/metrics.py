@@ -94,16 +94,18 @@ def one_prediction_each(preds: DataFrame) -> DataFrame:
     keys = ["preset", "image"]
     if "pos" in preds.columns:
         return latest_prediction(preds, keys=keys).select(*keys, "caption")
+    preds = cut(preds.select(*keys, "caption"), "predictions")
     n = duplicate_predictions(preds, keys).count()
     if n:
         raise ValueError(f"{n} image(s) have more than one prediction")
-    return preds.select(*keys, "caption")
+    return preds
 
 
 def pair(preds: DataFrame, refs: DataFrame, tokenizer: str = "whitespace") -> Paired:
     """JN-2/JN-3: restrict to predicted images and pair every reference with its candidate."""
     tokenizers(tokenizer)
-    refs = refs.select("image", "pos", "caption").where(F.col("caption").isNotNull())
+    # Written once: the references are read for their images, their hot keys and the pairs.
+    refs = cut(refs.select("image", "pos", "caption").where(F.col("caption").isNotNull()), "references")
     preds = one_prediction_each(preds).where(F.col("caption").isNotNull())
     cand = cut(preds.join(refs.select("image").distinct(), "image", "left_semi").withColumn("unit", F.monotonically_increasing_id()), "candidates")
     n_images = cand.groupBy("preset").agg(F.log(F.count(F.lit(1)).cast("double")).alias("ln_n"))
