@@ -63,6 +63,7 @@ CONTEXT_WORDS = {
 
 SPAN = "struct<kind:string, start:bigint, end:bigint, base:boolean, regex:int, gazetteer:int, context:int, shape:int>"
 BLOCK = 256
+CELL_CHARS = 4096
 
 
 def _vote(test: Column) -> Column:
@@ -280,37 +281,51 @@ def find_pii(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every found span replaced by ``<KIND>``; other columns stay as they are.
 
-    The classifier is trained on all rows; kinds are then replaced one after
-    the other in their fixed order, so a span inside a replaced one is gone.
-    Null texts stay null.
+    The classifier is trained on all rows.  Spans are those of ``find_pii`` on
+    the given text; overlapping ones are merged and replaced once, by the kind
+    of the one that starts first (ties: the first kind), so no character of a
+    found span stays.  Null texts stay null.
     """
     weights = train(vote_counts(with_candidates(docs.select("text"))))
-    packed = docs.select(F.struct("*").alias("whole"), F.col("text").alias("text"))
-    for kind in KINDS:
-        packed = _replace(packed, kind, weights)
-    return packed.select(F.col("whole").withField("text", F.col("text")).alias("whole")).select("whole.*")
-
-
-def _replace(df: DataFrame, kind: str, weights: dict[str, list[float]]) -> DataFrame:
-    body = F.coalesce(F.col("text"), F.lit(""))
-    guard = body.contains(GUARDS[kind]) if kind in GUARDS else body.rlike("[0-9]")
-    none = F.expr("cast(array() as array<string>)")
-    df = df.withColumn("m", F.when(guard, F.regexp_extract_all(body, F.lit(PATTERNS[kind]), F.lit(0))).otherwise(none))
-    df = df.withColumn("g", F.when(F.size("m") > 0, F.split(body, PATTERNS[kind], -1)).otherwise(none))
-    zipped = F.arrays_zip(F.col("m").alias("m"), F.slice("g", 1, F.size("m")).alias("g"), F.slice("g", 2, F.size("m")).alias("next"))
-
-    def piece(x):
-        before = F.substring(x["g"], -32, 32)
-        regex, gazetteer, context = _rules(kind, x["m"], before)
-        glued = before.rlike(r"[\p{L}0-9]$") | x["next"].rlike(r"^[\p{L}0-9]")
-        span = F.struct(
-            (regex if kind in BASE_KINDS else F.lit(False)).alias("base"),
-            _vote(regex).alias("regex"),
-            _vote(gazetteer).alias("gazetteer"),
-            context.alias("context"),
-            F.when(glued, F.lit(-1)).otherwise(F.lit(1)).alias("shape"),
-        )
-        return F.concat(x["g"], F.when(accepted(span, kind, weights), F.lit(f"<{kind.upper()}>")).otherwise(x["m"]))
+    found = with_candidates(docs.select(F.struct("*").alias("whole"), F.col("text").alias("text")))
+    spans = F.concat(*(_ranged(kind, weights) for kind in KINDS))
+    found = found.select("whole", "text", F.array_sort(spans).alias("spans"))
+    found = found.withColumn("reach", _reach(F.transform("spans", lambda s: s["end"])))
+    # A span that starts at or past the reach of all before it opens a merged range, which ends at the reach of the next such span.
+    reached = F.zip_with("spans", "reach", lambda s, r: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), r.alias("reach")))
+    found = found.withColumn("opens", F.filter(reached, lambda x: x["start"] >= x["reach"]))
+    last = F.array(F.array_max(F.transform("spans", lambda s: s["end"])))
+    found = found.withColumn("ends", F.concat(F.transform(F.slice("opens", 2, F.size("opens")), lambda x: x["reach"]), last))
+    found = found.withColumn("cells", F.regexp_extract_all("text", F.lit(f"(?s).{{1,{CELL_CHARS}}}+"), F.lit(0)))
+    names = F.array(*(F.lit(f"<{kind.upper()}>") for kind in KINDS))
+    starts = F.concat(F.array(F.lit(0).cast("long")), F.col("ends"))
+    gaps = F.zip_with("opens", F.slice(starts, 1, F.size("opens")), lambda x, at: F.concat(_between(at, x["start"]), F.element_at(names, x["kind"] + 1)))
+    changed = F.concat(F.array_join(gaps, ""), _between(F.element_at("ends", -1), F.length("text").cast("long")))
+    text = F.when(F.size("spans") > 0, changed).otherwise(F.col("text"))
+    return found.select(F.col("whole").withField("text", text).alias("whole")).select("whole.*")
+
+
+def _ranged(kind: str, weights: dict[str, list[float]]) -> Column:
+    """(start, kind's number, end) of the accepted spans of a kind."""
+    number = F.lit(KINDS.index(kind)).alias("kind")
+    return F.transform(_accepted_spans(kind, weights), lambda s: F.struct(s["start"].alias("start"), number, s["end"].alias("end")))
+
+
+def _reach(ends: Column) -> Column:
+    """Exclusive running maximum of an array column, 0 at first (two steps of blocks, so linear)."""
+    blocks = F.transform(F.sequence(F.lit(0), F.ceil(F.size(ends) / BLOCK).cast("int")), lambda b: F.slice(ends, b * BLOCK + 1, BLOCK))
+    empty = F.expr("named_struct('upto', cast(array() as array<bigint>), 'top', 0L)")
+
+    def push(acc, x):
+        return F.struct(F.concat(acc["upto"], F.array(acc["top"])).alias("upto"), F.greatest(acc["top"], x).alias("top"))
+
+    inside = F.transform(blocks, lambda block: F.aggregate(block, empty, push))
+    before = F.aggregate(F.transform(inside, lambda x: x["top"]), empty, push)["upto"]
+    return F.flatten(F.zip_with(inside, before, lambda x, top: F.transform(x["upto"], lambda r: F.greatest(r, top))))
+
 
-    changed = F.concat(F.array_join(F.transform(zipped, piece), ""), F.element_at("g", -1))
-    return df.withColumn("text", F.when(F.size("m") > 0, changed).otherwise(F.col("text"))).drop("m", "g")
+def _between(start: Column, end: Column) -> Column:
+    """Characters [start, end) of the text, read from the one or more ``cells`` that hold them."""
+    first, last = F.floor(start / CELL_CHARS), F.floor((end - 1) / CELL_CHARS)
+    held = F.array_join(F.slice("cells", (first + 1).cast("int"), (last - first + 1).cast("int")), "")
+    return F.when(end > start, F.substring(held, (start % CELL_CHARS + 1).cast("int"), (end - start).cast("int"))).otherwise(F.lit(""))

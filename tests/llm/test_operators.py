@@ -332,6 +332,29 @@ def test_pii_redaction(odd):
     assert not any(brute.pii(r.text) for r in clean.collect())
 
 
+def test_pii_redaction_replaces_merged_spans_once(spark):
+    far = "é𝄞 " * 3000
+    many = " ".join(f"u{i}@x.com 10.0.{i % 256}.7" for i in range(700))
+    texts = ["+49 30 10.20.30.40", "x a@b.com,c@d.org +1 (555) 123-4567 tail", "a@b.com", "none", "", None, f"{far}mail a.b@c.com {many} end{far}"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in pii.find_pii(docs).collect()}
+    got = {r.doc_id: r.text for r in pii.redact(docs).collect()}
+    assert not any(c.isdigit() for c in got[0])
+    for i, text in enumerate(texts):
+        if text is None:
+            assert got[i] is None
+            continue
+        found = sorted((int(s), pii.KINDS.index(k), int(e)) for k, s, e in (x.split(":") for x in spans[i].split(",") if x))
+        want, at = [], 0
+        while found:
+            start, kind, end = found.pop(0)
+            while found and found[0][0] < end:
+                end = max(end, found.pop(0)[2])
+            want += [text[at:start], f"<{pii.KINDS[kind].upper()}>"]
+            at = end
+        assert got[i] == "".join(want) + text[at:]
+
+
 def test_pii_em_learns_who_is_right():
     """A labeler that contradicts the others is found unreliable."""
     counts = [("card", 1, 1, 0, 1, 300), ("card", -1, -1, 0, 1, 300), ("card", -1, 1, 0, 1, 40), ("card", 1, -1, 0, 1, 20)]
