@@ -233,7 +233,8 @@ def _distance() -> Column:
     for i in range(p):
         for j in range(i, p):
             total = total + F.lit(1.0 if i == j else 2.0) * off[i] * off[j] * F.col("precision")[i * p + j]
-    return F.greatest(total, F.lit(0.0))
+    # greatest() skips nulls: without an estimate there is no distance.
+    return F.when(total.isNotNull(), F.greatest(total, F.lit(0.0)))
 
 
 def _with_params(stats: DataFrame, params: DataFrame, key: str) -> DataFrame:

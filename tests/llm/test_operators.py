@@ -146,6 +146,11 @@ def test_quality_outliers(spark):
     assert bad and sum(bad) <= 0.1 * len(bad)
 
 
+def test_quality_without_an_estimate_has_no_distance(spark):
+    docs = spark.createDataFrame([(i, "en", "a", " ".join(f"word{i}x{j}" for j in range(30))) for i in range(5)], "doc_id long, lang string, source string, text string")
+    assert [(r.distance, r.kept) for r in quality_rules.quality_verdicts(docs).collect()] == [(None, True)] * 5
+
+
 def test_chi_square_quantiles():
     assert abs(quality_rules.chi2_quantile(0.95, 1) - 3.841) < 1e-3
     assert abs(quality_rules.chi2_quantile(0.99, 5) - 15.086) < 1e-3
