@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from captally.llm.text_batches import LOWER, SpanHasher, mix64, text_chunks, word_spans
+from captally.llm.text_batches import LOWER, PrimeHasher, SpanHasher, mix64, text_chunks, word_spans
 from captally.operators.materialize import cut
 
 MIN_COUNT = 100
@@ -75,37 +75,6 @@ def language_seed(lang: str | None) -> int:
     return int.from_bytes(hashlib.blake2b(("und" if lang is None else lang).encode(), digest_size=8).digest(), "little")
 
 
-class PrimeHasher:
-    """Hashes of byte spans from prefix sums modulo the prime 2**31 - 1."""
-
-    PRIME = np.uint64((1 << 31) - 1)
-    BASE = 1_103_515_245
-
-    def __init__(self) -> None:
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def powers(self, base: int, n: int) -> np.ndarray:
-        out = np.ones(n, np.uint64)
-        have = 1
-        while have < n:
-            more = min(have, n - have)
-            out[have : have + more] = out[:more] * np.uint64(pow(base, have, int(self.PRIME))) % self.PRIME
-            have += more
-        return out
-
-    def load(self, data: np.ndarray) -> "PrimeHasher":
-        n = len(data)
-        if len(self.up) <= n:
-            size = n + n // 8 + 1
-            self.up, self.down = self.powers(self.BASE, size), self.powers(pow(self.BASE, -1, int(self.PRIME)), size)
-        self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((data + np.uint64(1)) * self.up[:n] % self.PRIME, out=self.sums[1:])
-        return self
-
-    def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return (self.sums[ends] - self.sums[starts]) % self.PRIME * self.down[starts] % self.PRIME
-
-
 class Hashers:
     """The two hashers of a task; their tables of powers grow with the longest chunk."""
 

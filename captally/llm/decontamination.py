@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from captally.llm.text_batches import ALNUM_WORD, LOWER, SpanHasher, map_texts, odd_weights, row_of, window_hashes, word_spans
+from captally.llm.text_batches import ALNUM_WORD, LOWER, TextHasher, map_texts, odd_weights, row_of, window_hashes, word_spans
 from captally.operators.materialize import cut
 
 MASKS = ("111111", "111000111", "111000000111")
@@ -53,7 +53,7 @@ def _lists(values: np.ndarray, counts: np.ndarray, kind) -> pa.Array:
 
 
 def _tokeniser():
-    hasher = SpanHasher()
+    hasher = TextHasher()
 
     def tokens(data, offsets):
         low = LOWER[data]

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from captally.llm.text_batches import ALNUM_WORD, LOWER, SpanHasher, map_texts, row_of, word_spans
+from captally.llm.text_batches import ALNUM_WORD, LOWER, TextHasher, map_texts, row_of, word_spans
 
 # Base phrases and their labels.
 BASE_PHRASES = {
@@ -164,7 +164,7 @@ def _scanner(templates: dict[str, str], phrases: dict[str, str]):
         known = sorted({w for a in automata.values() for s in a.words for w in s} | {w for p in phrases for w in p.split()})
         data = np.frombuffer("".join(known).encode(), np.uint8)
         ends = np.cumsum([len(w.encode()) for w in known])
-        hasher = SpanHasher()
+        hasher = TextHasher()
         hashes = hasher.load(data).spans(ends - [len(w.encode()) for w in known], ends)
         order = np.argsort(hashes)
         hashes, known = hashes[order], [known[i] for i in order]

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from captally.llm.text_batches import LOWER, SPACED_WORD, SpanHasher, map_texts, row_of, word_spans
+from captally.llm.text_batches import LOWER, SPACED_WORD, SpanHasher, TextHasher, map_texts, row_of, word_spans
 from captally.operators.materialize import cut
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -210,7 +210,7 @@ def _spans_as_strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) ->
 
 def _distinct_words():
     """Distinct words of each chunk with their counts; a row per (chunk, word)."""
-    hasher = SpanHasher()
+    hasher = TextHasher()
 
     def words(data, offsets):
         low = LOWER[data]
@@ -288,7 +288,7 @@ def _scorer(frequent: list[tuple[str, int, float]]):
     known_p = np.array([p for _, _, p in frequent], float)
 
     def make():
-        hasher = SpanHasher()
+        hasher = TextHasher()
         ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
         h = hasher.load(np.frombuffer(b"".join(texts), np.uint8)).spans(ends - [len(t) for t in texts], ends) if texts else np.zeros(0, np.uint64)
         order = np.argsort(h)

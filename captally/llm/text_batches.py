@@ -123,7 +123,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 class SpanHasher:
-    """64-bit hashes of byte spans from one polynomial prefix sum (mod 2**64)."""
+    """64-bit hashes of short byte spans from one polynomial prefix sum (mod 2**64)."""
 
     BASE = 0x9E3779B97F4A7C15
     INVERSE = pow(BASE, -1, 1 << 64)
@@ -147,6 +147,68 @@ class SpanHasher:
         return mix64((self._sums[ends] - self._sums[starts]) * self._down[starts])
 
 
+class PrimeHasher:
+    """Hashes of byte spans from prefix sums modulo the prime 2**31 - 1."""
+
+    PRIME = np.uint64((1 << 31) - 1)
+    BASE = 1_103_515_245
+
+    def __init__(self) -> None:
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def powers(self, base: int, n: int) -> np.ndarray:
+        out = np.ones(n, np.uint64)
+        have = 1
+        while have < n:
+            more = min(have, n - have)
+            out[have : have + more] = out[:more] * np.uint64(pow(base, have, int(self.PRIME))) % self.PRIME
+            have += more
+        return out
+
+    def load(self, data: np.ndarray) -> "PrimeHasher":
+        n = len(data)
+        if len(self.up) <= n:
+            size = n + n // 8 + 1
+            self.up, self.down = self.powers(self.BASE, size), self.powers(pow(self.BASE, -1, int(self.PRIME)), size)
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((data + np.uint64(1)) * self.up[:n] % self.PRIME, out=self.sums[1:])
+        return self
+
+    def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return (self.sums[ends] - self.sums[starts]) % self.PRIME * self.down[starts] % self.PRIME
+
+
+class TextHasher(SpanHasher):
+    """64-bit hashes of spans of any length.
+
+    A polynomial modulo 2**64 gives certain long strings of few distinct bytes
+    the same hash whatever its base.  Spans over ``LONG`` bytes therefore also
+    carry their hash modulo a prime, whose sums are made only if such a span
+    is asked for.
+    """
+
+    LONG = 64
+
+    def __init__(self) -> None:
+        super().__init__()
+        self._prime = PrimeHasher()
+
+    def load(self, data: np.ndarray) -> "TextHasher":
+        super().load(data)
+        self._waiting = data
+        return self
+
+    def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        out = super().spans(starts, ends)
+        long = np.flatnonzero(ends - starts > self.LONG)
+        if len(long):
+            if self._waiting is not None:
+                self._prime.load(self._waiting)
+                self._waiting = None
+            out[long] = mix64(out[long] + self._prime.spans(starts[long], ends[long]) * np.uint64(self.BASE))
+        return out
+
+
 def window_hashes(units: np.ndarray, weights: Sequence[int]) -> np.ndarray:
     """Hash of every run of ``len(weights)`` unit hashes; weight 0 skips a position."""
     n = len(units) - len(weights) + 1
