@@ -16,8 +16,10 @@ look-behind in place of restarts inside a run of the same characters, which
 changes no match and keeps the search linear and free of deep recursion.
 
 Defined results: null and empty texts have no spans; repeated rows get the
-same spans; an empty table gives an empty result and an untrained classifier
-(base spans only).
+same spans; a kind without candidates (an empty table) has an untrained classifier
+(base spans only); spans of several kinds may overlap and all are reported, by
+kind, then start; ties in the classifier (score zero) are no spans.  Other
+columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -47,10 +49,15 @@ PATTERNS = {
 #: Cheap tests that a text with a match must pass.
 GUARDS = {"email": "@", "phone": "+", "secret": '"', "person": " "}
 
-# Gazetteers.
-TOP_DOMAINS = "com org net edu gov info io de fr es uk eu it nl ch at be".split()
+# Gazetteers.  Top domains are the generic ones and every two-letter country code.
+TOP_DOMAINS = "com org net edu gov mil int arpa info biz name pro aero coop museum jobs mobi tel travel app dev cloud online site shop xyz [a-z]{2}".split()
 CARD_PREFIXES = "34 35 36 37 4 51 52 53 54 55 60 62 65 22 23 24 25 26 27".split()
-CALLING_CODES = "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 52 55 61 81 86 91".split()
+# The calling codes in use: one, two or three digits.
+CALLING_CODES = (
+    "1 7 20 27 30 31 32 33 34 36 39 4[013-9] 5[1-8] 6[0-6] 81 82 84 86 9[0-58] "
+    "21[1-368] 22[0-9] 23[0-9] 24[0-9] 25[0-8] 26[0-9] 29[01789] 35[0-9] 37[0-9] 38[0-25-79] 42[013] "
+    "50[0-9] 59[0-9] 67[02-9] 68[0-35-9] 69[0-2] 85[02356] 88[06] 96[0-8] 97[0-7] 99[2-68]"
+).split()
 SECRET_NAMES = "token secret password passwd api_key apikey access_key auth key".split()
 CONTEXT_WORDS = {
     "email": "email e-mail mail contact write correo courriel".split(),
@@ -193,60 +200,77 @@ def vote_counts(df: DataFrame) -> list[tuple]:
     return sorted(tuple(r) for r in rows)
 
 
-def reliabilities(counts: list[tuple], rounds: int = 60) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """EM over vote patterns: (per-kind prior, labeler vote probabilities [class, labeler, vote], posterior per pattern).
+#: Pseudo-votes of the opening beliefs, per kind, class and labeler: real votes beyond them decide.
+PRIOR_VOTES = 50
+#: Opening beliefs, votes -1, 0, +1 out of ten for (false, true) spans.
+BELIEFS = {
+    "regex": ([8, 1, 1], [1, 1, 8]),
+    "gazetteer": ([5, 1, 4], [2, 1, 7]),
+    "context": ([1, 8, 1], [1, 6, 3]),
+    "shape": ([5, 1, 4], [1, 1, 8]),
+}
+
 
-    A labeler's vote is independent of the others given the truth; priors of
-    ``strength`` pseudo-votes say that a labeler is right more often than not
-    and keep the two classes from changing places.
+def reliabilities(counts: list[tuple], rounds: int = 200) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """EM over vote patterns: (per-kind prior, vote probabilities [kind, class, labeler, vote], posterior per pattern).
+
+    A labeler's vote is independent of the others given kind and truth.  It
+    opens with beliefs that it is right more often than not, which weigh as
+    much as ``PRIOR_VOTES`` votes however many there are: they keep the two
+    classes from changing places where votes are few, and give way to the
+    votes where these are many.
     """
     kind = np.array([KINDS.index(c[0]) for c in counts], int)
     votes = np.array([c[1:-1] for c in counts], int).reshape(len(counts), len(LABELERS)) + 1
     n = np.array([c[-1] for c in counts], float)
-    # Prior weight of the votes -1, 0, +1 for false and true spans.
-    belief = {"regex": ([8, 1, 1], [1, 1, 8]), "gazetteer": ([5, 1, 4], [2, 1, 7]), "context": ([1, 8, 1], [1, 6, 3]), "shape": ([5, 1, 4], [1, 1, 8])}
-    pseudo = np.array([[belief[x][y] for x in LABELERS] for y in (0, 1)], float) * 0.1 * (n.sum() + 10)
+    belief = np.array([[BELIEFS[x][y] for x in LABELERS] for y in (0, 1)], float) / 10
+    pseudo = np.tile(belief * PRIOR_VOTES, (len(KINDS), 1, 1, 1))
+    labeler = np.arange(len(LABELERS))
     prior = np.full(len(KINDS), 0.5)
-    table = pseudo / pseudo.sum(2, keepdims=True)
+    table = pseudo / pseudo.sum(3, keepdims=True)
     post = np.zeros(len(counts))
     for _ in range(rounds if len(counts) else 0):
-        like = [np.prod(table[y, np.arange(len(LABELERS)), votes], axis=1) for y in (0, 1)]
+        like = [np.prod(table[kind[:, None], y, labeler, votes], axis=1) for y in (0, 1)]
         true = prior[kind] * like[1]
-        post = true / (true + (1 - prior[kind]) * like[0])
-        for k in range(len(KINDS)):
-            at = kind == k
-            prior[k] = (1 + (n[at] * post[at]).sum()) / (2 + n[at].sum())
+        before, post = post, true / (true + (1 - prior[kind]) * like[0])
+        if np.abs(post - before).max() < 1e-9:
+            break
+        total = np.bincount(kind, n, len(KINDS))
+        prior = (1 + np.bincount(kind, n * post, len(KINDS))) / (2 + total)
         table = pseudo.copy()
         for y, w in ((0, n * (1 - post)), (1, n * post)):
-            for j in range(len(LABELERS)):
-                np.add.at(table[y, j], votes[:, j], w)
-        table /= table.sum(2, keepdims=True)
+            np.add.at(table, (kind[:, None], y, labeler, votes), w[:, None])
+        table /= table.sum(3, keepdims=True)
     return prior, table, post
 
 
 def train(counts: list[tuple], ridge: float = 1.0, rounds: int = 50) -> dict[str, list[float]]:
-    """Logistic span classifier fitted to the EM posteriors: kind -> intercept and a weight per labeler.
+    """Logistic span classifier of each kind, fitted to the EM posteriors: kind -> intercept and a weight per labeler.
 
-    Untrained (no candidates) it accepts nothing.
+    The ridge holds a labeler whose vote never changes at no weight.  A kind
+    without candidates accepts nothing.
     """
-    k, p = len(KINDS), len(LABELERS)
-    if not counts:
-        return {kind: [-10.0] + [0.0] * p for kind in KINDS}
-    _, _, post = reliabilities(counts)
-    n = np.array([c[-1] for c in counts], float)
-    x = np.zeros((len(counts), k + p))
-    x[np.arange(len(counts)), [KINDS.index(c[0]) for c in counts]] = 1
-    x[:, k:] = [c[1:-1] for c in counts]
-    w = np.zeros(k + p)
-    for _ in range(rounds):
-        mu = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (n * (post - mu)) - ridge * w
-        hessian = (x * (n * mu * (1 - mu))[:, None]).T @ x + ridge * np.eye(k + p)
-        step = np.linalg.solve(hessian, gradient)
-        w += np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-9:
-            break
-    return {kind: [float(w[i]), *map(float, w[k:])] for i, kind in enumerate(KINDS)}
+    p = len(LABELERS)
+    weights = {}
+    post = reliabilities(counts)[2]
+    for kind in KINDS:
+        at = [i for i, c in enumerate(counts) if c[0] == kind]
+        if not at:
+            weights[kind] = [-10.0] + [0.0] * p
+            continue
+        n = np.array([counts[i][-1] for i in at], float)
+        x = np.array([(1, *counts[i][1:-1]) for i in at], float)
+        w = np.zeros(1 + p)
+        for _ in range(rounds):
+            mu = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            gradient = x.T @ (n * (post[at] - mu)) - ridge * w
+            hessian = (x * (n * mu * (1 - mu))[:, None]).T @ x + ridge * np.eye(1 + p)
+            step = np.linalg.solve(hessian, gradient)
+            w += np.clip(step, -2, 2)
+            if np.abs(step).max() < 1e-9:
+                break
+        weights[kind] = list(map(float, w))
+    return weights
 
 
 def accepted(span: Column, kind: str, weights: dict[str, list[float]]) -> Column:

@@ -369,6 +369,25 @@ def test_pii_em_learns_who_is_right():
     assert weights[1] > 0
 
 
+def test_pii_votes_outweigh_the_opening_beliefs():
+    """A gazetteer that is wrong as often as right: the more votes, the nearer its estimate to that; other kinds keep theirs."""
+    pattern = [(1, 1, 0, 1, 3), (1, -1, 0, 1, 3), (-1, 1, 0, -1, 3), (-1, -1, 0, -1, 3)]
+    found = []
+    for times in (1, 100, 10_000):
+        counts = [("card", *v[:-1], v[-1] * times) for v in pattern] + [("phone", 1, 1, 0, 1, 20), ("phone", -1, -1, 0, -1, 20)]
+        _, table, _ = pii.reliabilities(counts)
+        found.append(table[pii.KINDS.index("card"), 1, 1, 2])
+        assert table[pii.KINDS.index("phone"), 1, 1, 2] > 0.7
+    assert found[0] > found[1] > found[2] and abs(found[2] - 0.5) < 0.01
+
+
+def test_pii_gazetteers_know_every_country(spark):
+    texts = ["+962 6 500 0000 00", "+998 71 123 4567", "+210 71 123 4567", "a@b.travel", "a@b.zw", "a@b.notadomain"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    votes = {r.doc_id: [s.gazetteer for s in r.s] for r in pii.with_candidates(docs).select("doc_id", F.concat("pii_phone", "pii_email").alias("s")).collect()}
+    assert [votes[i] for i in range(6)] == [[1], [1], [-1], [1], [1], [-1]]
+
+
 @pytest.mark.parametrize("name", ["mixing", "suffix", "language", "quality", "lm", "simhash", "license", "pii", "decontamination"])
 def test_empty_tables(spark, none, name):
     bench = spark.createDataFrame([], "item_id long, text string")
