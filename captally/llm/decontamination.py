@@ -11,14 +11,22 @@ segment (+1 a match, -4 a substitution) if it reaches as many matches, else
 the longest run of such windows.
 
 Every overlap that has 12 aligned tokens with at most two substitutions is
-found.  Texts are read once: a fixed-size Bloom filter of the benchmark's
-hashes (2**24 bits, whatever the benchmark's size) lets only likely hits out
-of the scan, with ``CONTEXT`` tokens around them.  The exact join behind it
-decides, so a full filter costs time and no result.
+found.  Items too short for the masks, of ``least_tokens`` (four) to five
+tokens, are found where they stand whole: their only seed is the hash of all
+their tokens, looked up at every document window of that length.
+
+Texts are read once: a Bloom filter of the benchmark's hashes (16 bits a hash,
+2**24 bits at least and 2**26 at most) lets only likely hits out of the scan,
+with ``CONTEXT`` tokens around them.  The exact join behind it decides, so a
+full filter costs time and no result.  Equal items are one class up to the
+last join, and ``drop_contaminated`` never names the single items.
 
 Defined results: null and empty texts and items never match; items with fewer
-than six tokens never match; repeated rows of documents or items are reported
-once per (doc_id, text) and (item_id, text); empty tables give an empty result.
+than ``least_tokens`` tokens never match (single words and pairs stand in
+clean texts too; the parameter may be 1); repeated rows of documents or items
+are reported once per (doc_id, text) and (item_id, text); of equally good
+overlaps the first counts; empty tables give an empty result.  Other columns
+of both tables, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -37,8 +45,11 @@ MIN_MATCHES = 10
 MISMATCH_COST = 4
 SUBSTITUTIONS = 2
 CONTEXT = 48
-BLOOM_BITS = 24
-PROBES = (0, 20, 40)
+BLOOM_BITS = (24, 26)
+PROBES = (0, 19, 38)
+LEAST_TOKENS = 4
+#: Tokens that every mask needs; shorter items are looked up whole.
+MASK_WEIGHT = 6
 
 
 def _mask_weights() -> list[list[int]]:
@@ -46,6 +57,10 @@ def _mask_weights() -> list[list[int]]:
     return [[next(flat) if c == "1" else 0 for c in m] for m in MASKS]
 
 
+def _whole_weights(n_tokens: int) -> list[int]:
+    return odd_weights(n_tokens, seed=100 + n_tokens)
+
+
 def _lists(values: np.ndarray, counts: np.ndarray, kind) -> pa.Array:
     ends = np.zeros(len(counts) + 1, np.int32)
     np.cumsum(counts, out=ends[1:])
@@ -80,18 +95,26 @@ def _seeds(toks: np.ndarray, row: np.ndarray, weights: list[int]) -> tuple[np.nd
     return at, h[at]
 
 
-def _item_seeds():
-    tokens, masks = _tokeniser(), _mask_weights()
+def _item_seeds(least_tokens: int):
+    def make():
+        tokens, masks = _tokeniser(), _mask_weights()
 
-    def seeds(data, offsets):
-        toks, firsts = tokens(data, offsets)
-        row = row_of(firsts, len(toks))
-        found = [_seeds(toks, row, w) for w in masks]
-        at = np.concatenate([a for a, _ in found])
-        h = np.concatenate([x for _, x in found])
-        return row[at], [h.view(np.int64), (at - firsts[row[at]]).astype(np.int32)]
+        def seeds(data, offsets):
+            toks, firsts = tokens(data, offsets)
+            row = row_of(firsts, len(toks))
+            found = [_seeds(toks, row, w) for w in masks]
+            size = np.diff(firsts)
+            for n in range(least_tokens, MASK_WEIGHT):
+                at, h = _seeds(toks, row, _whole_weights(n))
+                whole = size[row[at]] == n
+                found.append((at[whole], h[whole]))
+            at = np.concatenate([a for a, _ in found])
+            h = np.concatenate([x for _, x in found])
+            return row[at], [h.view(np.int64), (at - firsts[row[at]]).astype(np.int32), size[row[at]].astype(np.int32)]
+
+        return seeds
 
-    return seeds
+    return make
 
 
 SEGMENT_FIELDS = [
@@ -102,13 +125,16 @@ SEGMENT_FIELDS = [
 ]
 
 
-def _segments(bloom_words: np.ndarray):
-    """Runs of tokens around likely hits: (first token, tokens, hashes, their places in the run)."""
+def _segments(bloom_words: np.ndarray, short: list[int]):
+    """Runs of tokens around likely hits: (first token, tokens, hashes, their places in the run).
+
+    ``short`` are the lengths of the items that are looked up whole.
+    """
 
     def make():
-        tokens, masks = _tokeniser(), _mask_weights()
+        tokens, masks = _tokeniser(), _mask_weights() + [_whole_weights(n) for n in short]
         bloom = np.unpackbits(bloom_words.view(np.uint8), bitorder="little").view(bool)
-        low = np.uint64((1 << BLOOM_BITS) - 1)
+        low = np.uint64(len(bloom) - 1)
 
         def segments(data, offsets):
             toks, firsts = tokens(data, offsets)
@@ -146,15 +172,17 @@ def _segments(bloom_words: np.ndarray):
     return make
 
 
-def bloom_filter(seeds: DataFrame) -> np.ndarray:
-    """2**BLOOM_BITS bits over the hashes ``h``; at most 2**(BLOOM_BITS-6) rows reach the driver."""
-    probe = F.explode(F.array(*(F.shiftrightunsigned("h", s).bitwiseAND(F.lit((1 << BLOOM_BITS) - 1)) for s in PROBES)))
+def bloom_filter(seeds: DataFrame, n: int) -> np.ndarray:
+    """Bits over the ``n`` hashes ``h``, as 64-bit words; at most 2**20 of them reach the driver."""
+    size = min(max(n * 16 - 1, 1).bit_length(), BLOOM_BITS[1])
+    size = max(size, BLOOM_BITS[0])
+    probe = F.explode(F.array(*(F.shiftrightunsigned("h", s).bitwiseAND(F.lit((1 << size) - 1)) for s in PROBES)))
     bits = seeds.select(probe.alias("p")).select(
         F.shiftright("p", 6).alias("word"), F.expr("shiftleft(1L, cast(p & 63 as int))").alias("bit")
     )
-    words = np.zeros(1 << (BLOOM_BITS - 6), np.int64)
-    for word, bit in bits.groupBy("word").agg(F.bit_or("bit").alias("bit")).collect():
-        words[word] = bit
+    words = np.zeros(1 << (size - 6), np.int64)
+    found = bits.groupBy("word").agg(F.bit_or("bit").alias("bit")).toArrow()
+    words[found["word"].to_numpy()] = found["bit"].to_numpy()
     return words
 
 
@@ -201,9 +229,9 @@ def _verify(min_matches: int):
                     matches.append(found[0])
                     length.append(found[1])
                     start.append(found[2])
-            keep = [cols[c].take(pa.array(rows, pa.int64())) for c in ("doc_id", "tid", "item_id", "iid", "seg")]
+            keep = [cols[c].take(pa.array(rows, pa.int64())) for c in ("doc_id", "tid", "iid", "seg")]
             made = [pa.array(x, pa.int64()) for x in (matches, length, start)]
-            names = ["doc_id", "tid", "item_id", "iid", "seg", "n_matches", "n_overlap", "start"]
+            names = ["doc_id", "tid", "iid", "seg", "n_matches", "n_overlap", "start"]
             yield pa.RecordBatch.from_arrays([*keep, *made], names=names)
 
     return run
@@ -216,45 +244,58 @@ def _same(a: str, b: str, *cols: str) -> Column:
     return cond
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, min_matches: int = MIN_MATCHES) -> DataFrame:
-    """(doc_id, tid, item_id, n_matches, n_overlap, first_word): best overlap per document and item.
-
-    ``tid`` is the XXH64 of the text, for telling apart rows with one doc_id;
-    ``first_word`` is the overlap's first token in the document.
-    """
-    items = benchmark.select("item_id", "text").distinct().withColumn("iid", F.xxhash64("text"))
-    items = cut(items, "bench-items")
-    seeds = cut(map_texts(items, "text", ["item_id", "iid"], [T.StructField("h", T.LongType()), T.StructField("pos", T.IntegerType())], _item_seeds), "bench-seeds")
-    item_toks = map_texts(items, "text", ["item_id", "iid"], [T.StructField("item_toks", T.ArrayType(T.LongType()))], _item_tokens)
+def _class_overlaps(docs: DataFrame, texts: DataFrame, min_matches: int, least_tokens: int) -> DataFrame:
+    """(doc_id, tid, iid, n_matches, n_overlap, first_word): best overlap per document and item text (iid, text)."""
+    fields = [T.StructField("h", T.LongType()), T.StructField("pos", T.IntegerType()), T.StructField("size", T.IntegerType())]
+    seeds = cut(map_texts(texts, "text", ["iid"], fields, _item_seeds(least_tokens)), "bench-seeds")
+    item_toks = map_texts(texts, "text", ["iid"], [T.StructField("item_toks", T.ArrayType(T.LongType()))], _item_tokens)
+    short = sorted(r[0] for r in seeds.where(F.col("size") < MASK_WEIGHT).select("size").distinct().collect())  # at most five
 
     rows = docs.select("doc_id", "text").withColumn("tid", F.xxhash64("text"))
-    segs = map_texts(rows, "text", ["doc_id", "tid"], SEGMENT_FIELDS, _segments(bloom_filter(seeds)))
+    segs = map_texts(rows, "text", ["doc_id", "tid"], SEGMENT_FIELDS, _segments(bloom_filter(seeds, seeds.count()), short))
     segs = cut(segs, "bench-segments")
 
     hits = segs.select("doc_id", "tid", "seg", F.explode(F.arrays_zip("hits", "places")).alias("x"))
     hits = hits.select("doc_id", "tid", "seg", F.col("x.hits").alias("h"), F.col("x.places").alias("place"))
-    aligned = hits.join(seeds, "h").select("doc_id", "tid", "seg", "item_id", "iid", (F.col("place") - F.col("pos")).alias("diagonal"))
+    aligned = hits.join(seeds, "h").select("doc_id", "tid", "seg", "iid", (F.col("place") - F.col("pos")).alias("diagonal"))
     aligned = cut(aligned.distinct(), "bench-aligned")
     runs = segs.select("doc_id", "tid", "seg", "toks").dropDuplicates(["doc_id", "tid", "seg"])
     pairs = (
         aligned.alias("a")
         .join(runs.alias("s"), _same("a", "s", "doc_id", "tid", "seg"))
-        .join(item_toks.alias("i"), _same("a", "i", "item_id", "iid"))
-        .select("a.doc_id", "a.tid", "a.seg", "a.item_id", "a.iid", "a.diagonal", "s.toks", "i.item_toks")
+        .join(item_toks.alias("i"), F.col("a.iid") == F.col("i.iid"))
+        .select("a.doc_id", "a.tid", "a.seg", "a.iid", "a.diagonal", "s.toks", "i.item_toks")
     )
     id_types = {f.name: f.dataType.simpleString() for f in aligned.schema.fields}
-    schema = ", ".join(f"{c} {id_types[c]}" for c in ("doc_id", "tid", "item_id", "iid", "seg")) + ", n_matches long, n_overlap long, start long"
+    schema = ", ".join(f"{c} {id_types[c]}" for c in ("doc_id", "tid", "iid", "seg")) + ", n_matches long, n_overlap long, start long"
     verified = pairs.mapInArrow(_verify(min_matches), schema)
     best = F.max(F.struct("n_matches", (-F.col("n_overlap")).alias("shorter"), (-F.col("seg") - F.col("start")).alias("earlier"))).alias("b")
     return (
-        verified.groupBy("doc_id", "tid", "item_id", "iid")
+        verified.groupBy("doc_id", "tid", "iid")
         .agg(best)
-        .select("doc_id", "tid", "item_id", "b.n_matches", (-F.col("b.shorter")).alias("n_overlap"), (-F.col("b.earlier")).alias("first_word"))
+        .select("doc_id", "tid", "iid", "b.n_matches", (-F.col("b.shorter")).alias("n_overlap"), (-F.col("b.earlier")).alias("first_word"))
     )
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, min_matches: int = MIN_MATCHES) -> DataFrame:
+def _item_texts(items: DataFrame) -> DataFrame:
+    return cut(items.select(F.xxhash64("text").alias("iid"), "text").dropDuplicates(["iid"]), "bench-texts")
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, min_matches: int = MIN_MATCHES, least_tokens: int = LEAST_TOKENS) -> DataFrame:
+    """(doc_id, tid, item_id, n_matches, n_overlap, first_word): best overlap per document and item.
+
+    ``tid`` is the XXH64 of the text, for telling apart rows with one doc_id;
+    ``first_word`` is the overlap's first token in the document.
+    """
+    items = cut(benchmark.select("item_id", "text").distinct(), "bench-items")
+    found = _class_overlaps(docs, _item_texts(items), min_matches, least_tokens)
+    members = items.select("item_id", F.xxhash64("text").alias("iid"))
+    return found.join(members, "iid").select("doc_id", "tid", "item_id", "n_matches", "n_overlap", "first_word")
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, min_matches: int = MIN_MATCHES, least_tokens: int = LEAST_TOKENS) -> DataFrame:
     """The rows of ``docs`` without a benchmark overlap, with their columns as they were."""
-    found = cut(contaminated(docs, benchmark, min_matches).select("doc_id", "tid").distinct(), "bench-found")
+    found = _class_overlaps(docs, _item_texts(benchmark), min_matches, least_tokens)
+    found = cut(found.select("doc_id", "tid").distinct(), "bench-found")
     packed = docs.select(F.struct("*").alias("whole"), "doc_id", F.xxhash64("text").alias("tid"))
     return packed.alias("d").join(found.alias("f"), _same("d", "f", "doc_id", "tid"), "left_anti").select("whole.*")

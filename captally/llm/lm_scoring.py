@@ -40,7 +40,6 @@ EM_ROUNDS = 2
 ZIPF_SHIFT = 10.0
 FREQUENT = 1 << 17
 FREQUENT_BYTES = 32
-MAX_PIECE_CHARS = 16
 #: Distinct words of one training task.
 TASK_WORDS = 1 << 17
 #: Word characters of one lattice batch.
@@ -97,7 +96,7 @@ class Lattice:
         self.hashes = h[self.order]
         self.maybe = np.zeros(1 << 22, bool)
         self.maybe[h & np.uint64((1 << 22) - 1)] = True
-        self.longest = min(MAX_PIECE_CHARS, max(int(((np.frombuffer(t, np.uint8) & 0xC0) != 0x80).sum()) for t in pieces.texts))
+        self.longest = max(int(((np.frombuffer(t, np.uint8) & 0xC0) != 0x80).sum()) for t in pieces.texts)
 
     def _pieces_of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Piece number of every span, -1 if it is none."""

@@ -3,6 +3,12 @@
 Part of the training-data subpackage.  Each stage takes the documents that
 the one before it kept, whole, and its decisions take effect; what a stage
 returns is written as Parquet in the shared checkpoint folder and read again.
+
+Defined results: rows with a null or empty text fail the quality rules' base;
+null ids, languages and sources are values like any other; repeated rows are
+one SimHash component, of which the smallest doc_id stays; texts are never
+cut; columns that documents carry besides stay as they are up to the last
+stage; without documents every stage gives no rows.
 """
 
 from __future__ import annotations
@@ -34,9 +40,9 @@ def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pii.redact(docs)
 
 
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the mix takes of every document that is left."""
-    return mixing.mix_report(docs)
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str, out: str | None = None) -> DataFrame:
+    """What the mix takes of every document that is left; the mixed texts stay in folder ``out`` if it is given."""
+    return mixing.mix_report(docs, out=out)
 
 
 STAGES = [
@@ -51,8 +57,9 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run(spark: SparkSession, sf_dir: str, out: str | None = None) -> DataFrame:
+    """All stages over ``documents``; with ``out`` the mixed corpus itself is kept in that folder."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = cut(stage(spark, docs, sf_dir), f"stage-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    return mix(spark, docs, sf_dir, out)

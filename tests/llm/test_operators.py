@@ -260,6 +260,29 @@ def test_decontamination_stands_substitutions(spark):
     assert [(r.doc_id, r.item_id, r.n_matches, r.n_overlap, r.first_word) for r in got] == [(1, 5, 28, 30, 3)]
 
 
+def test_decontamination_finds_short_items_whole(spark):
+    texts = ["x Paris is, the capital CITY y", "paris is the capital", "paris is the big city", "the capital city paris is", "a b c d", "e f", "paris is the capital city", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = [(1, "paris is the capital city", "?"), (2, "Paris is the capital", "?"), (3, "b c d", "?"), (4, "e f", "?"), (5, "a b c d", "?"), (6, None, "?"), (7, "paris is the capital city", "?")]
+    bench = spark.createDataFrame(items, "item_id long, text string, tid string")
+    split = [brute.alnum(brute.low(t)) for t in texts]
+
+    def whole(least):
+        want = set()
+        for i, toks in enumerate(split):
+            for j, t, _ in items:
+                w = brute.alnum(brute.low(t))
+                if len(w) >= least and any(toks[k : k + len(w)] == w for k in range(len(toks) - len(w) + 1)):
+                    want.add((i, j))
+        return want
+
+    for least in (4, 1):
+        got = decontamination.contaminated(docs, bench, least_tokens=least).collect()
+        assert {(r.doc_id, r.item_id) for r in got} == whole(least) and len(got) == len(whole(least))
+    kept = decontamination.drop_contaminated(docs, bench).collect()
+    assert {r.doc_id for r in kept} == set(range(len(texts))) - {i for i, _ in whole(4)}
+
+
 @pytest.mark.parametrize("which", [0, 1])
 def test_license_base(odd, given, which):
     df, rows = (odd, given)[which], tables(odd, given)[which]
