@@ -13,6 +13,7 @@ import base64
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -103,6 +104,22 @@ class SubwordTokenizer:
         """The words of a text, in order; joined they are the text."""
         return F.regexp_extract_all(c, F.lit(self.pattern), F.lit(0))
 
+    def encode_lists(self, lists: pa.Array) -> pa.Array:
+        """Token ids of every list of words, one after the other; null has none."""
+        sizes = pc.fill_null(lists.value_lengths(), 0).to_numpy(zero_copy_only=False)
+        coded = lists.flatten().dictionary_encode()
+        known = self.encode_words(coded.dictionary)
+        at, ends = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), known.offsets.to_numpy().astype(np.int64)
+        n = np.diff(ends)[at]
+        places = np.repeat(ends[at], n) + expand(n)
+        word_ends = np.append(0, np.cumsum(n))
+        ids = known.values.take(pa.array(places)).cast(pa.int32())
+        return pa.ListArray.from_arrays(pa.array(word_ends[np.append(0, np.cumsum(sizes))], pa.int32()), ids)
+
+    def encode(self, words: Column) -> Column:
+        """Token ids of a list of words; a batch's distinct words are encoded once."""
+        return F.arrow_udf(self.encode_lists, T.ArrayType(T.IntegerType()))(words)
+
     def word_table(self, words: DataFrame) -> DataFrame:
         """(word, ids) of a table of distinct words."""
         encode = F.arrow_udf(self.encode_words, T.ArrayType(T.IntegerType()))

@@ -1,8 +1,9 @@
 """Training-example preparation (SFT-1..7): the data side of fine-tuning.
 
 The tokenizer is a vocabulary table of whole words, or a ``SubwordTokenizer``.
-Either way encoding is a relational job (explode, join, ordered collect per
-text): sub-words are found once for each distinct word and joined back.
+With a table encoding is a relational job (explode, join, ordered collect per
+text); sub-words are found once for each distinct word of an Arrow batch, where
+the text is.
 Reserved ids of a vocabulary table: 0 unknown, 1 begin, 2 end (also padding); a
 sub-word tokenizer has no begin id and its ``eos`` ends and pads.
 """
@@ -10,6 +11,7 @@ sub-word tokenizer has no begin id and its ``eos`` ends and pads.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,26 +55,37 @@ def encode(
     ``keys`` must identify a row.  Words are joined to the vocabulary with
     ``skew_join`` (a frequent one is dealt over many tasks) and gathered back
     per text.  With ``max_tokens`` only that many words of a text are looked
-    up: what a fixed-length example has room for.  With a ``tokenizer`` the
-    vocabulary is made here: the sub-words of each distinct word.
+    up: what a fixed-length example has room for.  With a ``tokenizer`` nothing
+    is joined: a batch's distinct words are encoded where their texts are.
     """
     keys = list(keys)
     tokens = whitespace_tokens(F.col(text)) if tokenizer is None else tokenizer.words(F.col(text))
     if max_tokens is not None:
         tokens = F.slice(tokens, 1, max_tokens)
+    if tokenizer is None:
+        return _joined_ids(df, tokens, vocab.select("token", F.array("id").alias("ids")), keys, bos)
+    again = cut(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"), "repeated-keys")
+    whole = lambda rows: rows.select(*keys, tokenizer.encode(tokens).alias("ids"))
+    if again.isEmpty():
+        return whole(df)
+    # Rows that share their keys are one text, word by word.
+    other = again.select(*(F.col(k).alias(f"_{k}") for k in keys))
+    same = reduce(lambda x, y: x & y, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
+    rest = df.join(other, same, "left_semi")
+    words = rest.select(F.explode(tokens).alias("word")).distinct()
+    table = cut(tokenizer.word_table(words), "subwords").withColumnRenamed("word", "token")
+    return whole(df.join(other, same, "left_anti")).unionByName(_joined_ids(rest, tokens, table, keys, False))
+
+
+def _joined_ids(df: DataFrame, tokens: Column, table: DataFrame, keys: Sequence[str], bos: bool) -> DataFrame:
+    """(keys..., ids) by a join of every token with ``table`` (token, ids)."""
     # An empty text stays as one row without a token.
     toks = df.select(*keys, F.posexplode_outer(tokens).alias("p", "token"))
-    if tokenizer is None:
-        table = vocab.select("token", F.array("id").alias("ids"))
-    else:
-        toks = cut(toks, "words")
-        distinct = toks.where(F.col("token").isNotNull()).select(F.col("token").alias("word")).distinct()
-        table = cut(tokenizer.word_table(distinct), "subwords").withColumnRenamed("word", "token")
     ided = skew_join(toks, table, ["token"], "left")
     at = F.when(F.col("p").isNotNull(), F.struct("p", F.coalesce("ids", F.array(F.lit(UNK_ID))).alias("ids")))
     gathered = ided.groupBy(*keys).agg(F.sort_array(F.collect_list(at)).alias("_t"))
     ids = F.flatten(F.transform("_t", lambda s: s["ids"]))
-    if bos and tokenizer is None:
+    if bos:
         ids = F.concat(F.array(F.lit(BOS_ID)), ids)
     return gathered.select(*keys, ids.alias("ids"))
 
