@@ -56,6 +56,9 @@ BITS_PER_KEY = 16
 PROBES = 3
 #: Distinct fingerprints or phrases that a task holds before it passes their counts on.
 BUFFER = 1 << 19
+#: Bytes of text that a task lays out at a time, and rows that it hands to Spark at a time.
+CHUNK_BYTES = 1 << 19
+ROWS_OUT = 1 << 16
 
 #: Bytes that end a piece, and those that end a word.
 PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -179,7 +182,7 @@ def _chunks(batches):
     for b in batches:
         langs, texts, pointers = b.column(0), b.column(1), b.column(2).to_numpy(zero_copy_only=False)
         seeds = np.array([language_seed(x) for x in langs.to_pylist()], np.uint64)
-        for lo, hi, data, offsets in text_chunks(texts):
+        for lo, hi, data, offsets in text_chunks(texts, CHUNK_BYTES):
             yield langs.slice(lo, hi - lo), Runs(hashers, data, offsets, seeds[lo:hi], pointers[lo:hi])
 
 
@@ -195,7 +198,11 @@ def count_fingerprints(texts: DataFrame, choose) -> DataFrame:
     def run(batches):
         held, size = [], 0
         joined = lambda: combined(*(np.concatenate(x) for x in zip(*held)))
-        out = lambda got: pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in got], names=Counts._fields)
+
+        def out(got):
+            for at in range(0, len(got.fp), ROWS_OUT):
+                yield pa.RecordBatch.from_arrays([pa.array(x[at : at + ROWS_OUT].view(np.int64)) for x in got], names=Counts._fields)
+
         for _, runs in _chunks(batches):
             for found in choose(runs):
                 held.append(found)
@@ -204,10 +211,10 @@ def count_fingerprints(texts: DataFrame, choose) -> DataFrame:
                 held = [joined()]
                 size = len(held[0].fp)
                 if size > 2 * BUFFER:
-                    yield out(held[0])
+                    yield from out(held[0])
                     held, size = [], 0
         if held:
-            yield out(joined())
+            yield from out(joined())
 
     return texts.mapInArrow(run, schema).groupBy("fp", "check").agg(F.sum("c").alias("c"), F.min("ptr").alias("ptr"))
 
